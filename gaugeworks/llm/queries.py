@@ -61,3 +61,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gaugeworks.llm.quality_rules import apply_policy, build_ledger
 
     return apply_policy(build_ledger(table(spark, sf_dir, "documents")), "v2")
+
+
+@query("op8_simhash")
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of 3-word shingles and component of every document."""
+    from gaugeworks.llm.simhash import hex_fingerprint, near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"), width=3)
+    return found.select("doc_id", hex_fingerprint().alias("fingerprint"), "component_id")
