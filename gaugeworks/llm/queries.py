@@ -70,3 +70,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = near_duplicates(table(spark, sf_dir, "documents"), width=3)
     return found.select("doc_id", hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+@query("op2_media_gif")
+def op2_media_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text stored as GIF frames, read back and digested."""
+    from gaugeworks.llm.gif import media_digests
+
+    return media_digests(table(spark, sf_dir, "documents"))
