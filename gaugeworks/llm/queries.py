@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import table
+from gaugeworks.llm.common import fold, table
 
 QUERIES = {}
 ORACLES = {}
@@ -78,3 +79,13 @@ def op2_media_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gaugeworks.llm.gif import media_digests
 
     return media_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; rows of fold 0 teach nothing."""
+    from gaugeworks.llm.language_id import fit, identify
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.where(fold("doc_id", 5) != 0))
+    return identify(docs, model).select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
