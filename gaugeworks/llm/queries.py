@@ -89,3 +89,13 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit(docs.where(fold("doc_id", 5) != 0))
     return identify(docs, model).select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op1_quality_classifier")
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; rows of fold 2 teach nothing."""
+    from gaugeworks.llm.quality_classifier import fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.where(fold("doc_id", 4) != 2), table(spark, sf_dir, "labels"))
+    return score(docs, model).select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
