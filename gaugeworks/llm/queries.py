@@ -99,3 +99,12 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit(docs.where(fold("doc_id", 4) != 2), table(spark, sf_dir, "labels"))
     return score(docs, model).select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query("op3_lm_scoring")
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of every document; rows of fold 2 teach nothing."""
+    from gaugeworks.llm.language_model import score
+
+    found = score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+    return found.select("doc_id", F.coalesce(fold("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
