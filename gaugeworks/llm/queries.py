@@ -108,3 +108,13 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
     return found.select("doc_id", F.coalesce(fold("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op7_packing")
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces, packed into sequences of at most 4096 tokens."""
+    import public_tokenizers
+
+    from gaugeworks.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
