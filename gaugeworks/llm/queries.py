@@ -118,3 +118,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gaugeworks.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op6_mixing")
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot and place of every document in a mix of equal target weights."""
+    from gaugeworks.llm.mixing import interleave
+
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", F.xxhash64("text").alias("text_hash"))
+    return interleave(rows, id_cols=("doc_id", "text_hash")).drop("text_hash")
