@@ -127,3 +127,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = table(spark, sf_dir, "documents").select("doc_id", "source", F.xxhash64("text").alias("text_hash"))
     return interleave(rows, id_cols=("doc_id", "text_hash")).drop("text_hash")
+
+
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 100 bytes that start earlier."""
+    from gaugeworks.llm.repeats import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
