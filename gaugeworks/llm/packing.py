@@ -11,7 +11,7 @@
 
 Edge cases: null and empty texts are one piece of the end id; repeated rows are packed each; an
 empty table gives an empty result; extra columns are ignored; texts of any length are tokenised
-whole, and a word at a time, as no token crosses white space.
+whole, a word at a time, as no token crosses white space.
 """
 
 from __future__ import annotations
@@ -30,12 +30,20 @@ from gaugeworks.llm.textbatch import LOWER, Words, text_slices
 CAPACITY = 4096
 END_ID = 1
 BINS, DEPTH = 64, 4
-#: Words whose ids a worker keeps, and the longest such word in bytes.
-KEPT_WORDS, KEPT_BYTES = 300_000, 64
+#: Units whose ids a worker keeps before it starts anew.
+KEPT_UNITS = 500_000
+#: Marks that end a word as a unit of their own: none of those in contractions or special tokens.
+_MARK = np.zeros(256, bool)
+_MARK[[ord(c) for c in ".,!?;:#$%&*"]] = True
+_ALNUM = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
 
 
 class Encoder:
-    """Token ids of whole texts, from ids of words: each distinct word of a slice is looked up once."""
+    """Token ids of whole texts, from ids of units: each distinct unit of a slice is looked up once.
+
+    A unit is a word, or a word's stem and the marks after it: the tokenizer splits there too, if
+    the stem ends with an ASCII letter or digit.
+    """
 
     def __init__(self, path: str):
         import os
@@ -44,43 +52,68 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, np.ndarray] = {}
+        self.separator = self.tokenizer.encode("\x01", add_special_tokens=False).ids
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.sizes, self.pool = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
 
-    def _learn(self, new: list[bytes]) -> dict[bytes, np.ndarray]:
-        """Ids of new words: all in one text, split again by the tokens' places."""
-        out: dict[bytes, np.ndarray] = {}
+    def _learn(self, new: list[bytes]) -> None:
+        """Ids of new units: all in one text, split again at a separator that no unit holds."""
         for a in range(0, len(new), 20_000):
             part = [w.decode() for w in new[a : a + 20_000]]
-            enc = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            lens = np.fromiter(map(len, part), np.int64, len(part))
-            ends = np.cumsum(lens + 1)
-            begins = np.fromiter((o[0] for o in enc.offsets), np.int64, len(enc))
-            cuts = np.searchsorted(begins, ends - lens - 1)
-            ids = np.array(enc.ids, np.uint32)
-            out.update(zip(new[a : a + 20_000], np.split(ids, cuts[1:])))
-        return out
+            ids = np.array(self.tokenizer.encode_batch_fast([" \x01 ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            cuts = np.flatnonzero(ids == self.separator[0]) if len(self.separator) == 1 else np.zeros(0, np.int64)
+            if len(cuts) == len(part) - 1:
+                size = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+                ids = np.delete(ids, cuts)
+            else:
+                each = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in part]
+                size, ids = np.array([len(x) for x in each]), np.array(sum(each, []), np.uint32)
+            first = len(self.known)
+            self.known.update(zip(new[a : a + 20_000], range(first, first + len(part))))
+            self.sizes.append(size)
+            self.pool.append(ids)
+
+    def _units(self, w: Words, buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and text numbers of the units."""
+        place = np.where(_MARK[buf], 0, np.arange(len(buf)))
+        np.maximum.accumulate(place, out=place)
+        stem = place[w.ends - 1]
+        cut = (stem >= w.starts) & (stem < w.ends - 1) & _ALNUM[buf[stem]]
+        starts = np.concatenate([w.starts, stem[cut] + 1])
+        order = np.argsort(starts, kind="stable")
+        return starts[order], np.concatenate([w.doc, w.doc[cut]])[order]
 
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a slice's texts in order, an end id after each, and how many each has."""
         w = Words(buf, offs)
-        lens = w.ends - w.starts
-        cuts = np.concatenate([[0], np.cumsum(lens)])
-        data = np.ascontiguousarray(LOWER[buf[w.inside]])
-        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lens), [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        number = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        new = [x for x in distinct if x not in self.known]
-        found = self._learn(new) if new else {}
-        lists = [found[x] if x in found else self.known[x] for x in distinct]
-        if len(self.known) + len(found) > KEPT_WORDS:
-            self.known = {}
-        if len(found) <= KEPT_WORDS:
-            self.known.update((k, v) for k, v in found.items() if len(k) <= KEPT_BYTES)
-        size = np.fromiter(map(len, lists), np.int64, len(lists))
-        pool = np.concatenate([*lists, np.array([END_ID], np.uint32)])
+        starts, doc = self._units(w, buf)
+        data = LOWER[buf]
+        if (angle := buf == 60).any():  # special tokens are matched before lower-casing
+            spelt = np.unique(np.searchsorted(w.starts, np.flatnonzero(angle & w.inside), "right") - 1)
+            for k in spelt.tolist():
+                data[w.starts[k] : w.ends[k]] = buf[w.starts[k] : w.ends[k]]
+        before = np.cumsum(w.inside)
+        cuts = np.concatenate([before[starts] - 1, before[-1:]]) if len(starts) else np.zeros(1, np.int64)
+        data = np.ascontiguousarray(data[w.inside])
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.known) > KEPT_UNITS:
+            self._forget()
+        new = [x for x, k in zip(distinct, map(self.known.get, distinct)) if k is None]
+        if (buf == 1).any():
+            for x in [x for x in new if b"\x01" in x]:
+                self._learn([x])
+            new = [x for x in new if b"\x01" not in x]
+        self._learn(new)
+        self.sizes, self.pool = [np.concatenate(self.sizes)], [np.concatenate(self.pool)]
+        size, pool = self.sizes[0], np.append(self.pool[0], np.uint32(END_ID))
         start = np.cumsum(size) - size
-        # each text's words, then its end
-        n = w.counts + 1
+        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)]
+        # each text's units, then its end
+        n = np.bincount(doc, minlength=len(offs) - 1) + 1
         ends = np.cumsum(n) - 1
         inner = np.ones(int(n.sum()), bool)
         inner[ends] = False
@@ -88,8 +121,7 @@ class Encoder:
         at[inner], k[inner] = start[number], size[number]
         past = np.cumsum(k)
         ids = pool[np.repeat(at - (past - k), k) + np.arange(int(k.sum()))]
-        total = past[ends]
-        return ids, np.diff(total, prepend=0)
+        return ids, np.diff(past[ends], prepend=0)
 
 
 _ENCODERS: dict[str, Encoder] = {}

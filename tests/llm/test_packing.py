@@ -49,21 +49,31 @@ def test_documents(spark):
 
 
 def test_edge_cases(spark):
-    odd = [(100, "<|endoftext|> a<|endoftext|>b", *rows()[0][2:]), (101, "é ́x İSTANBUL ΣΑΣ x\x85y a​b don't I'LL", *rows()[0][2:])]
+    odd = [(100, "<|endoftext|> a<|endoftext|>b <|ENDOFTEXT|>. x<|endoftext|>,", *rows()[0][2:]), (101, "é ́x İSTANBUL ΣΑΣ x\x85y a​b don't I'LL", *rows()[0][2:])]
     data = rows() + odd
     check(packing.pack(frame(spark, data), PATH).collect(), brute_pieces([(r[0], r[1]) for r in data]), 1)
     assert packing.pack(frame(spark, []), PATH).count() == 0
 
 
-def test_words_are_kept_within_bounds(monkeypatch):
-    monkeypatch.setattr(packing, "KEPT_WORDS", 3)
+def test_units_are_kept_within_bounds(monkeypatch):
+    monkeypatch.setattr(packing, "KEPT_UNITS", 3)
     e = packing.Encoder(PATH)
     raw = "one two three four five one two Six, seven!".encode()
     for _ in range(3):
         ids, n = e.encode(np.frombuffer(raw, np.uint8), np.array([0, 20, len(raw)]))
         want = [[*e.tokenizer.encode(x.decode(), add_special_tokens=False).ids, 1] for x in (raw[:20], raw[20:])]
         assert ids.tolist() == sum(want, []) and n.tolist() == [len(x) for x in want]
-        assert len(e.known) <= 3
+        assert len(e.known) <= 12
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list("aZ9é'st.,!#$ <|endoftx>\n\x01\u0301\u0130\u03a3")), max_size=40), min_size=1, max_size=4))
+def test_units_give_the_same_ids(texts):
+    e = packing.encoder(PATH)
+    raw = [t.encode() for t in texts]
+    ids, n = e.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    want = [[*e.tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert ids.tolist() == sum(want, []) and n.tolist() == [len(x) for x in want]
 
 
 @settings(max_examples=60, deadline=None)
