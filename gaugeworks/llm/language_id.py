@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeworks.llm.common import bounded_sample
 from gaugeworks.llm.textbatch import LOWER, text_slices
@@ -129,20 +130,37 @@ def decide(model: Filter, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray
     return np.where(top > 0, best, -1), np.clip(top / np.maximum(n, 1), 0, 1)
 
 
-def identify(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score) of every whole text.  The model sent along has a fixed size."""
+def with_language(docs: DataFrame, model: Filter, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:
+    """The input's columns and the predicted language and score of every whole text, without a join.
+
+    The model sent along has a fixed size.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema[id_col].dataType.simpleString()
+    own = docs.columns
+    at = own.index(text_col)
 
     def run(batches):
         m = sent.value
-        names = np.array([*m.languages, m.default], object)
+        langs = np.array([*m.languages, m.default], object)
         for batch in batches:
-            found = [decide(m, buf, offs) for _, _, buf, offs in text_slices(batch.column(1))]
-            lettered = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            found = [decide(m, buf, offs) for _, _, buf, offs in text_slices(batch.column(at))]
+            lettered = batch.column(len(own)).to_numpy(zero_copy_only=False).astype(bool)
             which = np.concatenate([x for x, _ in found]) if found else np.zeros(0, int)
             score = np.concatenate([x for _, x in found]) if found else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.where(lettered, names[which], "und"), pa.string()), pa.array(np.where(lettered, score, 0.0))], ["doc_id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(own)], pa.array(np.where(lettered, langs[which], "und"), pa.string()), pa.array(np.where(lettered, score, 0.0))], [*own, *names])
+
+    letters = F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False))
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    return docs.select("*", letters.alias(f"{names[0]}_lettered")).mapInArrow(run, schema)
+
+
+def identify(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, lang_pred, score) of every whole text."""
+    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return with_language(narrow, model, names=("lang_pred", "score")).drop("text")
+
 
-    letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), letters.alias("lettered")).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+def accepted(docs: DataFrame, model: Filter, least: float = 0.05, text_col: str = "text") -> DataFrame:
+    """The rows whose text is in a learned language: not `und`, and LEAST of its n-grams are the language's."""
+    found = with_language(docs, model, text_col, ("_lang_pred", "_lang_score"))
+    return found.where((F.col("_lang_pred") != "und") & (F.col("_lang_score") >= least)).select(docs.columns)

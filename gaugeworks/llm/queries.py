@@ -144,3 +144,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     left = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select("doc_id", F.col("dedup_lines").alias("n_lines"), F.col("dedup_removed").alias("n_removed"), F.col("dedup_copy").alias("is_copy"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline from documents to packed sequences."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -111,5 +111,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", tex
     return prints.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input without near-duplicates: of each component, one row of the smallest id stays."""
+    names = docs.columns
+    found = near_duplicates(docs, width, id_col, text_col)
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_stays")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = docs.join(stay, F.col(id_col).eqNullSafe(F.col("_stays")))
+    return rows.where("_n = 1").select(names).unionAll(rows.where("_n > 1").dropDuplicates([id_col]).select(names))
+
+
 def hex_fingerprint(col: str = "fp") -> F.Column:
     return F.lower(F.lpad(F.hex(col), 16, "0"))
