@@ -10,8 +10,8 @@ bucket.  Anchors are counted first; fragments are made only of those that may re
 a Bloom filter of fixed size (a false yes costs work, never a result).  Buckets of very many
 fragments are dealt out by the core of every eight windows, which equal windows share too.
 
-Equal fragments are merged to their first occurrence.  The others of a bucket are put into one
-text; its suffixes are sorted, and the interval expansion goes breadth first over backward
+Equal fragments are merged to their first occurrence; its bytes are fetched only where a bucket
+has several.  Those are put into one text; its suffixes are sorted, and the interval expansion goes breadth first over backward
 extensions in the Burrows-Wheeler transform: level by level it finds the places where neighbouring
 suffixes share exactly that many bytes, and stops at `length`.  Neighbours without such a place
 share at least `length` bytes; the earliest of each such interval stays, the others go.
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import durable
-from gaugeworks.llm.textbatch import text_slices, xxh64
+from gaugeworks.llm.textbatch import P1, P2, P3, P4, P5, text_slices, xxh64
 
 LENGTH = 100
 K = 32
@@ -225,17 +225,26 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-class _Keep:
-    """Membership in the anchor filter."""
+def _held(bits: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Which of the hashes a filter may hold."""
+    at = (x >> np.uint64(64 - (FILTER_BITS.bit_length() - 1))).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
 
-    def __call__(self, anchor: np.ndarray) -> np.ndarray:
-        if self.bits is None:
-            return np.ones(len(anchor), bool)
-        at = (anchor >> np.uint64(64 - (FILTER_BITS.bit_length() - 1))).astype(np.int64)
-        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+def _mixed(*columns: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of 64-bit columns."""
+    h = np.full(len(columns[0]), 42, np.uint64)
+    rotl = lambda x, r: (x << np.uint64(r)) | (x >> np.uint64(64 - r))
+    with np.errstate(over="ignore"):
+        for c in columns:
+            h = (h + P5 + np.uint64(8)) ^ (rotl(c.view(np.uint64) * P2, 31) * P1)
+            h = rotl(h, 27) * P1 + P4
+            h ^= h >> np.uint64(33)
+            h *= P2
+            h ^= h >> np.uint64(29)
+            h *= P3
+            h ^= h >> np.uint64(32)
+    return h
 
 
 def _release(spark) -> None:
@@ -244,9 +253,31 @@ def _release(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def filter_of(hashes: DataFrame) -> np.ndarray:
+    """Bits of a filter of fixed size over a frame's one column of 64-bit hashes, built in parts."""
+    width = FILTER_BITS // FILTER_PARTS
+
+    def bits(batches):
+        part, made = None, np.zeros(width // 8, np.uint8)
+        for batch in batches:
+            place = batch.column(1).to_numpy()
+            for p in np.unique(batch.column(0).to_numpy()).tolist():
+                assert part in (None, p)
+                part = p
+            np.bitwise_or.at(made, place >> 3, np.left_shift(np.uint8(1), (place & 7).astype(np.uint8)))
+        if part is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([made.tobytes()], pa.binary())], ["part", "bits"])
+
+    place = F.shiftrightunsigned(hashes.columns[0], 64 - (FILTER_BITS.bit_length() - 1))
+    split = hashes.select(F.floor(place / width).cast("int").alias("part"), (place % width).cast("int").alias("place"))
+    whole = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in split.repartitionById(FILTER_PARTS, F.col("part")).mapInArrow(bits, "part int, bits binary").collect():
+        whole[r.part * (width // 8) : (r.part + 1) * (width // 8)] = np.frombuffer(r.bits, np.uint8)
+    return whole
+
+
 def repeated_anchors(docs: DataFrame, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Filter of the anchors that occur twice or more, and the sorted hot ones."""
-    spark = docs.sparkSession
 
     def run(batches):
         held, size = [], 0
@@ -264,109 +295,93 @@ def repeated_anchors(docs: DataFrame, length: int) -> tuple[np.ndarray, np.ndarr
         keys, n = np.unique(np.concatenate(held), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["anchor", "n"])
 
-    counts = docs.select("text").mapInArrow(run, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
-    counts = durable(counts)
-    width = FILTER_BITS // FILTER_PARTS
-
-    def bits(batches):
-        part, made = None, np.zeros(width // 8, np.uint8)
-        for batch in batches:
-            place = batch.column(1).to_numpy()
-            for p in np.unique(batch.column(0).to_numpy()).tolist():
-                assert part in (None, p)
-                part = p
-            np.bitwise_or.at(made, place >> 3, np.left_shift(np.uint8(1), (place & 7).astype(np.uint8)))
-        if part is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([made.tobytes()], pa.binary())], ["part", "bits"])
-
-    shift = 64 - (FILTER_BITS.bit_length() - 1)
-    place = F.shiftrightunsigned("anchor", shift)
-    split = counts.select(F.floor(place / width).cast("int").alias("part"), (place % width).cast("int").alias("place"))
-    whole = np.zeros(FILTER_BITS // 8, np.uint8)
-    for r in split.repartitionById(FILTER_PARTS, F.col("part")).mapInArrow(bits, "part int, bits binary").collect():
-        whole[r.part * (width // 8) : (r.part + 1) * (width // 8)] = np.frombuffer(r.bits, np.uint8)
+    counts = durable(docs.select("text").mapInArrow(run, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"))
     total = counts.agg(F.sum("n").alias("n")).first().n or 0
     hot = counts.where(F.col("n") > max(HOT, int(total * HOT_SHARE))).select("anchor").toArrow().column("anchor").to_numpy()
-    _release(spark)
-    return whole, np.sort(hot.view(np.uint64))
+    return filter_of(counts.select("anchor")), np.sort(hot.view(np.uint64))
 
 
 def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_key, text_hash, begin, past): byte ranges to remove, not yet joined.  docs: doc_key, text_hash, text."""
-    sent = docs.sparkSession.sparkContext.broadcast(repeated_anchors(docs, length))
+    spark = docs.sparkSession
+    texts = docs.select("doc_key", "text_hash", "text")
+    sent = spark.sparkContext.broadcast(repeated_anchors(docs, length))
+    _release(spark)
 
-    def emit(batches, whole: bool):
+    def cut(batches):
+        """Fragments of each slice: ids, text hashes, starts in the text, windows, buckets, codes, the slice and starts there."""
         bits, hot = sent.value
-        keep = _Keep(bits)
         for batch in batches:
             keys, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for a, _, buf, offs in text_slices(batch.column(2)):
-                doc, start, windows, bucket, code = fragments(buf, offs, keep, hot, length)
-                local = start - offs[doc]
-                if whole:  # one row for each distinct fragment of the slice: its first occurrence
-                    order = np.lexsort((local, keys[a + doc], code, bucket))
-                    b, c = bucket[order], code[order]
-                    new = np.ones(len(order), bool)
-                    new[1:] = (b[1:] != b[:-1]) | (c[1:] != c[:-1])
-                    first = np.flatnonzero(new)
-                    times = np.diff(np.append(first, len(order)))
-                    order = order[first]
-                    doc, start, windows, bucket, code, local = (x[order] for x in (doc, start, windows, bucket, code, local))
-                    size = windows + length - 1
-                    raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(buf[_ragged(start, size)]))]).cast(pa.binary())
-                    last = [pa.array(times.astype(np.int64)), raw]
-                else:
-                    last = [pa.array(hashes[a + doc]), pa.array(windows.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(code.view(np.int64)), pa.array(keys[a + doc]), pa.array(local), *last], ["bucket", "code", "doc_key", "start", *(("times", "raw") if whole else ("text_hash", "windows"))])
+                doc, start, windows, bucket, code = fragments(buf, offs, lambda x: _held(bits, x), hot, length)
+                yield keys[a + doc], hashes[a + doc], start - offs[doc], windows, bucket, code, buf, start
+
+    def all_of(batches):
+        for key, text, local, windows, bucket, code, _, _ in cut(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(code.view(np.int64)), pa.array(key), pa.array(local), pa.array(text), pa.array(windows.astype(np.int32))], ["bucket", "code", "doc_key", "start", "text_hash", "windows"])
+
+    def merged(batches):
+        """A row for each distinct fragment of a slice, with its first occurrence there."""
+        for key, _, local, _, bucket, code, _, _ in cut(batches):
+            order = np.lexsort((local, key, code, bucket))
+            b, c = bucket[order], code[order]
+            new = np.ones(len(order), bool)
+            new[1:] = (b[1:] != b[:-1]) | (c[1:] != c[:-1])
+            at = np.flatnonzero(new)
+            times = np.diff(np.append(at, len(order)))
+            yield pa.RecordBatch.from_arrays([pa.array(b[at].view(np.int64)), pa.array(c[at].view(np.int64)), pa.array(key[order][at]), pa.array(local[order][at]), pa.array(times.astype(np.int64))], ["bucket", "code", "doc_key", "start", "times"])
+
+    distinct = texts.mapInArrow(merged, "bucket bigint, code bigint, doc_key bigint, start bigint, times bigint").groupBy("bucket", "code").agg(F.min(F.struct("doc_key", "start")).alias("first"), F.sum("times").alias("times"))
+    distinct = durable(distinct.select("bucket", "code", F.col("first.doc_key").alias("first_key"), F.col("first.start").alias("first_start"), "times"))
+    _release(spark)
+    several = distinct.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    wanted = spark.sparkContext.broadcast(filter_of(distinct.join(several, "bucket", "left_semi").select(F.xxhash64("bucket", "code", "first_key", "first_start").alias("x"))))
+
+    def bytes_of(batches):
+        """First occurrences of the fragments that have others in their bucket, with their bytes."""
+        for key, _, local, windows, bucket, code, buf, start in cut(batches):
+            ok = _held(wanted.value, _mixed(bucket, code, key, local))
+            size = windows[ok] + length - 1
+            raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(buf[_ragged(start[ok], size)]))]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[ok].view(np.int64)), pa.array(code[ok].view(np.int64)), pa.array(key[ok]), pa.array(local[ok]), raw], ["bucket", "code", "doc_key", "start", "raw"])
 
     def judge(batches):
-        """Rows sorted by bucket and code; buckets are gathered to texts of about CHUNK bytes."""
-        pending: list[list] = []  # buckets: rows [bucket, code, key, start, times, raw]
-        bucket: list[list] = []
+        """Rows sorted by bucket, code and place; whole buckets are gathered to texts of about CHUNK bytes."""
+        pending: list[tuple] = []
+        bucket: list[tuple] = []
         size = 0
 
         def flush():
-            rows = [r for b in pending for r in b]
-            compare = [r for b in pending if len(b) > 1 for r in b]
-            flags = earlier([np.frombuffer(r[5], np.uint8) for r in compare], np.array([r[2] for r in compare]), np.array([r[3] for r in compare]), length) if compare else []
-            found = {id(r): f for r, f in zip(compare, flags)}
-            out = []
-            for r in rows:
-                begin, past = _runs(found[id(r)]) if id(r) in found else ((), ())
-                if r[4] > 1 or len(begin):
-                    out.append((r[0], r[1], r[2], r[3], [int(x) for x in begin], [int(x) for x in past]))
-            cols = list(zip(*out)) if out else [()] * 6
-            kinds = [pa.int64()] * 4 + [pa.list_(pa.int32())] * 2
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["bucket", "code", "first_key", "first_start", "begin", "past"])
+            flags = earlier([np.frombuffer(r[4], np.uint8) for r in pending], np.array([r[2] for r in pending]), np.array([r[3] for r in pending]), length) if pending else []
+            out = [(*r[:2], *(x.tolist() for x in _runs(f))) for r, f in zip(pending, flags) if f.any()]
+            cols = list(zip(*out)) if out else [()] * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())))], ["bucket", "code", "begin", "past"])
 
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(6))):
+            for row in zip(*(batch.column(k).to_pylist() for k in range(5))):
                 if bucket and row[0] != bucket[-1][0]:
-                    pending.append(bucket)
+                    if len(bucket) > 1:
+                        pending += bucket
+                        size += sum(len(r[4]) for r in bucket)
                     bucket = []
                     if size > CHUNK:
                         yield flush()
                         pending, size = [], 0
-                if bucket and row[1] == bucket[-1][1]:
-                    last = bucket[-1]
-                    last[4] += row[4]
-                    if (row[2], row[3]) < (last[2], last[3]):
-                        last[2], last[3] = row[2], row[3]
-                else:
-                    bucket.append(list(row))
-                    size += len(row[5])
-        if bucket:
-            pending.append(bucket)
+                if not bucket or row[1] != bucket[-1][1]:
+                    bucket.append(row)
+        if len(bucket) > 1:
+            pending += bucket
         if pending:
             yield flush()
 
-    texts = docs.select("doc_key", "text_hash", "text")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = texts.mapInArrow(lambda b: emit(b, True), "bucket bigint, code bigint, doc_key bigint, start bigint, times bigint, raw binary")
-    judged = durable(distinct.repartition(n, "bucket").sortWithinPartitions("bucket", "code").mapInArrow(judge, "bucket bigint, code bigint, first_key bigint, first_start bigint, begin array<int>, past array<int>"))
-    _release(docs.sparkSession)
-    seen = texts.mapInArrow(lambda b: emit(b, False), "bucket bigint, code bigint, doc_key bigint, start bigint, text_hash bigint, windows int")
-    both = seen.join(judged, ["bucket", "code"])
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = texts.mapInArrow(bytes_of, "bucket bigint, code bigint, doc_key bigint, start bigint, raw binary").repartition(n, "bucket").sortWithinPartitions("bucket", "code", "doc_key", "start")
+    judged = durable(parts.mapInArrow(judge, "bucket bigint, code bigint, begin array<int>, past array<int>"))
+    _release(spark)
+    verdicts = distinct.join(judged, ["bucket", "code"], "left").where("times > 1 or begin is not null").drop("times")
+    seen = texts.mapInArrow(all_of, "bucket bigint, code bigint, doc_key bigint, start bigint, text_hash bigint, windows int")
+    both = seen.join(verdicts, ["bucket", "code"])
     own = (F.col("doc_key") == F.col("first_key")) & (F.col("start") == F.col("first_start"))
     runs = F.when(own, F.arrays_zip("begin", "past")).otherwise(F.array(F.struct(F.lit(0).alias("begin"), F.col("windows").alias("past"))))
     return both.select("doc_key", "text_hash", "start", F.explode(runs).alias("r")).select("doc_key", "text_hash", (F.col("start") + F.col("r.begin")).alias("begin"), (F.col("start") + F.col("r.past") + (length - 1)).alias("past"))

@@ -82,3 +82,12 @@ def test_edge_cases(spark):
     compare(got.drop("kept").collect(), brute([(r[0], r[1]) for r in data]))
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got.collect())
     assert repeats.remove_repeats(frame(spark, [])).count() == 0
+
+
+def test_hash_of_longs(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(2)
+    x = rng.integers(-(2**63), 2**63 - 1, (50, 3))
+    got = spark.createDataFrame(x.tolist(), "a long, b long, c long").select(F.xxhash64("a", "b", "c").alias("h")).collect()
+    assert [r.h for r in got] == repeats._mixed(*(np.ascontiguousarray(c) for c in x.T)).view(np.int64).tolist()
