@@ -35,7 +35,8 @@ from gaugeworks.llm.common import durable
 from gaugeworks.llm.textbatch import P1, P2, P3, P4, P5, text_slices, xxh64
 
 LENGTH = 100
-K = 32
+#: Bytes of an anchor: long enough that chance repeats of it stay rare as the corpus grows.
+K = 48
 #: Bits of the anchor filter, parts in which it is built, bytes of a text whose suffixes are sorted at once.
 FILTER_BITS, FILTER_PARTS = 1 << 27, 64
 CHUNK = 1 << 20
@@ -302,7 +303,7 @@ def repeated_anchors(docs: DataFrame, length: int) -> tuple[np.ndarray, np.ndarr
 
 
 def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_key, text_hash, begin, past): byte ranges to remove, not yet joined.  docs: doc_key, text_hash, text."""
+    """(doc_key, text_hash, begins, pasts): byte ranges to remove, not yet joined.  docs: doc_key, text_hash, text."""
     spark = docs.sparkSession
     texts = docs.select("doc_key", "text_hash", "text")
     sent = spark.sparkContext.broadcast(repeated_anchors(docs, length))
@@ -319,7 +320,8 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def all_of(batches):
         for key, text, local, windows, bucket, code, _, _ in cut(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(code.view(np.int64)), pa.array(key), pa.array(local), pa.array(text), pa.array(windows.astype(np.int32))], ["bucket", "code", "doc_key", "start", "text_hash", "windows"])
+            packed = local << 28 | windows << 16 | (bucket & np.uint64(0xFFFF)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(key), pa.array(text), pa.array(packed)], ["code", "doc_key", "text_hash", "packed"])
 
     def merged(batches):
         """A row for each distinct fragment of a slice, with its first occurrence there."""
@@ -379,12 +381,17 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     parts = texts.mapInArrow(bytes_of, "bucket bigint, code bigint, doc_key bigint, start bigint, raw binary").repartition(n, "bucket").sortWithinPartitions("bucket", "code", "doc_key", "start")
     judged = durable(parts.mapInArrow(judge, "bucket bigint, code bigint, begin array<int>, past array<int>"))
     _release(spark)
-    verdicts = distinct.join(judged, ["bucket", "code"], "left").where("times > 1 or begin is not null").drop("times")
-    seen = texts.mapInArrow(all_of, "bucket bigint, code bigint, doc_key bigint, start bigint, text_hash bigint, windows int")
-    both = seen.join(verdicts, ["bucket", "code"])
-    own = (F.col("doc_key") == F.col("first_key")) & (F.col("start") == F.col("first_start"))
-    runs = F.when(own, F.arrays_zip("begin", "past")).otherwise(F.array(F.struct(F.lit(0).alias("begin"), F.col("windows").alias("past"))))
-    return both.select("doc_key", "text_hash", "start", F.explode(runs).alias("r")).select("doc_key", "text_hash", (F.col("start") + F.col("r.begin")).alias("begin"), (F.col("start") + F.col("r.past") + (length - 1)).alias("past"))
+    tag = F.col("bucket").bitwiseAND(F.lit(0xFFFF))
+    verdicts = distinct.join(judged, ["bucket", "code"], "left").where("times > 1 or begin is not null").select("code", tag.alias("tag"), "first_key", "first_start", "begin", "past")
+    seen = texts.mapInArrow(all_of, "code bigint, doc_key bigint, text_hash bigint, packed bigint")
+    both = seen.join(verdicts, "code").where(F.col("packed").bitwiseAND(F.lit(0xFFFF)) == F.col("tag"))
+    start, windows = F.shiftright("packed", 28), F.shiftright("packed", 16).bitwiseAND(F.lit(0xFFF)).cast("int")
+    own = (F.col("doc_key") == F.col("first_key")) & (start == F.col("first_start"))
+    runs = F.when(own, F.arrays_zip("begin", "past")).otherwise(F.array(F.struct(F.lit(0).alias("begin"), windows.alias("past"))))
+    found = both.select("doc_key", "text_hash", start.alias("start"), F.explode(runs).alias("r")).select("doc_key", "text_hash", (F.col("start") + F.col("r.begin")).alias("begin"), (F.col("start") + F.col("r.past") + (length - 1)).alias("past"))
+    found = durable(found.groupBy("doc_key", "text_hash").agg(F.collect_list("begin").alias("begins"), F.collect_list("past").alias("pasts")))
+    _release(spark)
+    return found
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -394,8 +401,7 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), and the `kept` bytes if asked for."""
     rows = keyed(docs, id_col, text_col)
-    found = spans(rows, length).groupBy("doc_key", "text_hash").agg(F.collect_list("begin").alias("begins"), F.collect_list("past").alias("pasts"))
-    both = rows.join(found, ["doc_key", "text_hash"], "left").select("doc_id", "text", "begins", "pasts")
+    both = rows.join(spans(rows, length), ["doc_key", "text_hash"], "left").select("doc_id", "text", "begins", "pasts")
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
