@@ -227,8 +227,8 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _held(bits: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Which of the hashes a filter may hold."""
-    at = (x >> np.uint64(64 - (FILTER_BITS.bit_length() - 1))).astype(np.int64)
+    """Which of the hashes a filter may hold.  Low bits: an anchor is a least hash, so its high bits are nearly alike."""
+    at = (x & np.uint64(FILTER_BITS - 1)).astype(np.int64)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
@@ -269,7 +269,7 @@ def filter_of(hashes: DataFrame) -> np.ndarray:
         if part is not None:
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([made.tobytes()], pa.binary())], ["part", "bits"])
 
-    place = F.shiftrightunsigned(hashes.columns[0], 64 - (FILTER_BITS.bit_length() - 1))
+    place = F.col(hashes.columns[0]).bitwiseAND(F.lit(FILTER_BITS - 1))
     split = hashes.select(F.floor(place / width).cast("int").alias("part"), (place % width).cast("int").alias("place"))
     whole = np.zeros(FILTER_BITS // 8, np.uint8)
     for r in split.repartitionById(FILTER_PARTS, F.col("part")).mapInArrow(bits, "part int, bits binary").collect():
