@@ -139,9 +139,9 @@ def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
 
 def gsc_signals(df: DataFrame, position: str, impressions: str, ctr: str) -> DataFrame:
     """striking_distance: a position in 5..20; low_ctr_high_impr: impressions above, rate below the medians."""
-    mid = df.agg(F.median(impressions).alias("_i"), F.median(ctr).alias("_c"))
+    mid = df.agg(F.median(impressions).alias("_median_i"), F.median(ctr).alias("_median_c"))
     out = df.crossJoin(F.broadcast(mid))  # one row of medians
-    return out.withColumns({"striking_distance": F.col(position).between(5, 20), "low_ctr_high_impr": (F.col(impressions) > F.col("_i")) & (F.col(ctr) < F.col("_c"))}).drop("_i", "_c")
+    return out.withColumns({"striking_distance": F.col(position).between(5, 20), "low_ctr_high_impr": (F.col(impressions) > F.col("_median_i")) & (F.col(ctr) < F.col("_median_c"))}).drop("_median_i", "_median_c")
 
 
 def status_after(old: Column, scored: Column, briefed: Column, owner_items: Column) -> Column:
