@@ -125,10 +125,10 @@ def share_above(df: DataFrame, key: str, group: str, share: float) -> DataFrame:
 def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     """1..n in an order, without one task for all rows.
 
-    A range-partitioned sort is written once; partitions are numbered by their sizes, of which there
-    are as many as partitions.
+    The input is written first, as a range-partitioned sort reads it twice; so is the sort, and its
+    partitions are numbered by their sizes, of which there are as many as partitions.
     """
-    at = materialise(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
+    at = materialise(materialise(df).orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
     low = (1 << 33) - 1
     sizes = at.groupBy(F.shiftright("_at", 33).alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
