@@ -77,3 +77,49 @@ def test_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(300, 300), (7, 6)], "a long, b long")
     got = connected_components(edges)
     assert got.count() == 201 and got.select("root").distinct().count() == 1
+
+
+def shingle_set(text, width=5):
+    w = words(lower(text))
+    return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))}
+
+
+def test_similar_documents(spark):
+    """Recall and precision against exact Jaccard similarities of all pairs."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    data = docs.select("doc_id", "text").orderBy("doc_id").collect()
+    sets = [shingle_set(r.text) for r in data]
+    holders = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    shared = {}
+    for h in holders.values():
+        for k, i in enumerate(h):
+            for j in h[k + 1 :]:
+                shared[i, j] = shared.get((i, j), 0) + 1
+    sim = {p: n / (len(sets[p[0]]) + len(sets[p[1]]) - n) for p, n in shared.items()}
+    comp = {r.doc_id: r.component_id for r in simhash.similar_documents(docs).collect()}
+    near = [p for p, v in sim.items() if v >= 0.8]
+    kept = sum(comp[data[i].doc_id] == comp[data[j].doc_id] for i, j in near)
+    assert len(near) > 50 and kept >= 0.95 * len(near)
+    best = {}
+    for (i, j), v in sim.items():
+        for k in (i, j):
+            best[k] = max(best.get(k, 0), v)
+    wrong = sum(comp[r.doc_id] != r.doc_id and best.get(i, 0) < 0.75 for i, r in enumerate(data))
+    assert wrong == 0
+
+
+def test_dense_group_of_near_copies(spark):
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(300)]
+    data = [(0, " ".join(base))]
+    for i in range(1, 150):
+        t = list(base)
+        for k in rng.integers(0, 300, 2):
+            t[k] = f"x{i}_{k}"
+        data.append((i, " ".join(t)))
+    data += [(1000 + i, " ".join(f"u{i}_{k}" for k in range(80))) for i in range(30)]
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert all(got[i] == 0 for i in range(150)) and all(got[1000 + i] == 1000 + i for i in range(30))
