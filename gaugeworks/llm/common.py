@@ -49,3 +49,12 @@ def fold(col: str, modulus: int) -> F.Column:
 def bounded_sample(keys: DataFrame, limit: int, key: str = "doc_id") -> DataFrame:
     """At most `limit` rows, those of the smallest key hash: a documented bound for model fitting."""
     return keys.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(limit)
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """One column `_all` with all of a row's, so that working columns can't clash with any of the input's."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_all"))
+
+
+def field(name: str) -> F.Column:
+    return F.col("_all")[name]

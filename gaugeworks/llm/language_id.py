@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import bounded_sample
+from gaugeworks.llm.common import bounded_sample, field, whole_rows
 from gaugeworks.llm.textbatch import LOWER, text_slices
 
 #: Bytes of an n-gram, labelled rows read at most, least share of a language's rows, bits of the slot number.
@@ -162,5 +162,6 @@ def identify(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: s
 
 def accepted(docs: DataFrame, model: Filter, least: float = 0.05, text_col: str = "text") -> DataFrame:
     """The rows whose text is in a learned language: not `und`, and LEAST of its n-grams are the language's."""
-    found = with_language(docs, model, text_col, ("_lang_pred", "_lang_score"))
-    return found.where((F.col("_lang_pred") != "und") & (F.col("_lang_score") >= least)).select(docs.columns)
+    rows = whole_rows(docs).withColumn("_text", field(text_col))
+    found = with_language(rows, model, "_text", ("_lang_pred", "_lang_score"))
+    return found.where((F.col("_lang_pred") != "und") & (F.col("_lang_score") >= least)).select("_all.*")

@@ -31,7 +31,7 @@ CAPACITY = 4096
 END_ID = 1
 BINS, DEPTH = 64, 4
 #: Units whose ids a worker keeps before it starts anew.
-KEPT_UNITS = 500_000
+KEPT_UNITS = 1_000_000
 #: Marks that end a word as a unit of their own: none of those in contractions or special tokens.
 _MARK = np.zeros(256, bool)
 _MARK[[ord(c) for c in ".,!?;:#$%&*"]] = True
@@ -141,7 +141,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches):
         e = encoder(path)
         for batch in batches:
-            for a, b, buf, offs in text_slices(batch.column(1), 1 << 19):
+            for a, b, buf, offs in text_slices(batch.column(1), 1 << 21):
                 ids, n = e.encode(buf, offs)
                 cut = np.maximum(1, -(-n // capacity))
                 row = np.repeat(np.arange(len(n)), cut)

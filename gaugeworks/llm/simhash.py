@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import durable
+from gaugeworks.llm.common import durable, field, whole_rows
 from gaugeworks.llm.components import connected_components
 from gaugeworks.llm.textbatch import LOWER, Words, text_slices, xxh64
 
@@ -205,11 +205,11 @@ def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8,
 
 def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input without near-duplicates: of each component, one row of the smallest id stays."""
-    names = docs.columns
     found = similar_documents(docs, width, similarity, id_col, text_col)
     stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_stays")).agg(F.count(F.lit(1)).alias("_n"))
-    rows = docs.join(stay, F.col(id_col).eqNullSafe(F.col("_stays")))
-    return rows.where("_n = 1").select(names).unionAll(rows.where("_n > 1").dropDuplicates([id_col]).select(names))
+    rows = whole_rows(docs).withColumn("_id", field(id_col))
+    rows = rows.join(stay, F.col("_id").eqNullSafe(F.col("_stays")))
+    return rows.where("_n = 1").select("_all.*").unionAll(rows.where("_n > 1").dropDuplicates(["_id"]).select("_all.*"))
 
 
 def hex_fingerprint(col: str = "fp") -> F.Column:
