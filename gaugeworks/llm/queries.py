@@ -129,7 +129,23 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave(rows, id_cols=("doc_id", "text_hash")).drop("text_hash")
 
 
-@query("op9_suffix_dedup")
+@query(
+    "op9_suffix_dedup",
+    """
+    with d as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+    b as (select r, doc_id, b, substring(h, 2 * b + 1, 1198) as t from (select r, doc_id, h, unnest(range(0, length(h) // 2 - 99, 500)) as b from d)),
+    w as (select r, doc_id, b + i as s, md5(substring(t, 2 * i + 1, 200)) as k from (select r, doc_id, b, t, unnest(range(0, least(500, length(t) // 2 - 99))) as i from b)),
+    k as (select r, s, row_number() over (partition by k order by doc_id, s) as nth from w),
+    g as (select r, s, s - lag(s, 1, -101) over (partition by r order by s) > 100 as new from k where nth > 1),
+    n as (select r, s, sum(new::int) over (partition by r order by s rows unbounded preceding) as span from g),
+    p as (select r, span, min(s) as a, max(s) + 100 as z from n group by r, span),
+    q as (select r, a, z, lag(z, 1, 0) over (partition by r order by a) as before from p),
+    x as (select q.r, sum(z - a)::bigint as n_removed, count(*)::bigint as n_spans, max(z) as past, string_agg(substring(h, 2 * before + 1, 2 * (a - before)), '' order by a) as kept from q join d on q.r = d.r group by q.r)
+    select doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+      sha256(unhex(coalesce(kept, '') || substring(h, 2 * coalesce(past, 0) + 1))) as kept_sha256
+    from d left join x on d.r = x.r
+    """,
+)
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without strings of 100 bytes that start earlier."""
     from gaugeworks.llm.repeats import remove_repeats
