@@ -32,13 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import durable
-from gaugeworks.llm.textbatch import P1, P2, P3, P4, P5, text_slices, xxh64
+from gaugeworks.llm.filters import filter_of, held, mixed
+from gaugeworks.llm.textbatch import text_slices, xxh64
 
 LENGTH = 100
 #: Bytes of an anchor: long enough that chance repeats of it stay rare as the corpus grows.
 K = 48
-#: Bits of the anchor filter, parts in which it is built, bytes of a text whose suffixes are sorted at once.
-FILTER_BITS, FILTER_PARTS = 1 << 27, 64
+#: Bytes of a text whose suffixes are sorted at once.
 CHUNK = 1 << 20
 #: An anchor is hot if it has this many occurrences and this share of all.
 HOT, HOT_SHARE = 20_000, 1 / (1 << 16)
@@ -226,74 +226,29 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def _held(bits: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Which of the hashes a filter may hold.  Low bits: an anchor is a least hash, so its high bits are nearly alike."""
-    at = (x & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-
-
-def _mixed(*columns: np.ndarray) -> np.ndarray:
-    """Spark's xxhash64 of 64-bit columns."""
-    h = np.full(len(columns[0]), 42, np.uint64)
-    rotl = lambda x, r: (x << np.uint64(r)) | (x >> np.uint64(64 - r))
-    with np.errstate(over="ignore"):
-        for c in columns:
-            h = (h + P5 + np.uint64(8)) ^ (rotl(c.view(np.uint64) * P2, 31) * P1)
-            h = rotl(h, 27) * P1 + P4
-            h ^= h >> np.uint64(33)
-            h *= P2
-            h ^= h >> np.uint64(29)
-            h *= P3
-            h ^= h >> np.uint64(32)
-    return h
-
-
 def _release(spark) -> None:
     """Lets Spark delete the shuffle files of finished steps."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
-def filter_of(hashes: DataFrame) -> np.ndarray:
-    """Bits of a filter of fixed size over a frame's one column of 64-bit hashes, built in parts."""
-    width = FILTER_BITS // FILTER_PARTS
-
-    def bits(batches):
-        part, made = None, np.zeros(width // 8, np.uint8)
-        for batch in batches:
-            place = batch.column(1).to_numpy()
-            for p in np.unique(batch.column(0).to_numpy()).tolist():
-                assert part in (None, p)
-                part = p
-            np.bitwise_or.at(made, place >> 3, np.left_shift(np.uint8(1), (place & 7).astype(np.uint8)))
-        if part is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([made.tobytes()], pa.binary())], ["part", "bits"])
-
-    place = F.col(hashes.columns[0]).bitwiseAND(F.lit(FILTER_BITS - 1))
-    split = hashes.select(F.floor(place / width).cast("int").alias("part"), (place % width).cast("int").alias("place"))
-    whole = np.zeros(FILTER_BITS // 8, np.uint8)
-    for r in split.repartitionById(FILTER_PARTS, F.col("part")).mapInArrow(bits, "part int, bits binary").collect():
-        whole[r.part * (width // 8) : (r.part + 1) * (width // 8)] = np.frombuffer(r.bits, np.uint8)
-    return whole
-
-
 def repeated_anchors(docs: DataFrame, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Filter of the anchors that occur twice or more, and the sorted hot ones."""
 
     def run(batches):
-        held, size = [], 0
+        kept, size = [], 0
         for batch in batches:
             for _, _, buf, offs in text_slices(batch.column(0)):
-                held.append(anchors(buf, offs, length)[4])
-                size += len(held[-1])
+                kept.append(anchors(buf, offs, length)[4])
+                size += len(kept[-1])
                 if size > 1 << 19:
-                    yield out(held)
-                    held, size = [], 0
-        if held:
-            yield out(held)
+                    yield out(kept)
+                    kept, size = [], 0
+        if kept:
+            yield out(kept)
 
-    def out(held):
-        keys, n = np.unique(np.concatenate(held), return_counts=True)
+    def out(kept):
+        keys, n = np.unique(np.concatenate(kept), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["anchor", "n"])
 
     counts = durable(docs.select("text").mapInArrow(run, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"))
@@ -315,7 +270,7 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         for batch in batches:
             keys, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for a, _, buf, offs in text_slices(batch.column(2)):
-                doc, start, windows, bucket, code = fragments(buf, offs, lambda x: _held(bits, x), hot, length)
+                doc, start, windows, bucket, code = fragments(buf, offs, lambda x: held(bits, x), hot, length)
                 yield keys[a + doc], hashes[a + doc], start - offs[doc], windows, bucket, code, buf, start
 
     def all_of(batches):
@@ -343,7 +298,7 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def bytes_of(batches):
         """First occurrences of the fragments that have others in their bucket, with their bytes."""
         for key, _, local, windows, bucket, code, buf, start in cut(batches):
-            ok = _held(wanted.value, _mixed(bucket, code, key, local))
+            ok = held(wanted.value, mixed(bucket, code, key, local))
             size = windows[ok] + length - 1
             raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(buf[_ragged(start[ok], size)]))]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(bucket[ok].view(np.int64)), pa.array(code[ok].view(np.int64)), pa.array(key[ok]), pa.array(local[ok]), raw], ["bucket", "code", "doc_key", "start", "raw"])

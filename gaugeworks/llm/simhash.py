@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import durable, field, whole_rows
 from gaugeworks.llm.components import connected_components
+from gaugeworks.llm.filters import filter_of, held, mixed
 from gaugeworks.llm.textbatch import LOWER, Words, text_slices, xxh64
 
 #: Distinct fingerprints of a block key that are still compared pairwise.
@@ -141,8 +142,9 @@ def long_fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, sig array<bigint>")
 
 
-def block_keys(sigs: DataFrame) -> DataFrame:
-    """(key, sid): BLOCKS keys of each distinct long fingerprint."""
+def block_keys(sigs: DataFrame, repeated: np.ndarray | None = None) -> DataFrame:
+    """(key, sid): BLOCKS keys of each distinct long fingerprint, or those that a filter holds."""
+    sent = None if repeated is None else sigs.sparkSession.sparkContext.broadcast(repeated)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = (1 << np.arange(BLOCK_BITS)).astype(np.int64)
@@ -152,7 +154,11 @@ def block_keys(sigs: DataFrame) -> DataFrame:
                 sig = part.column(1).flatten().to_numpy().reshape(-1, WORDS)
                 bits = np.unpackbits(np.ascontiguousarray(sig).view(np.uint8).reshape(len(sig), -1), axis=1, bitorder="little")
                 keys = np.stack([bits[:, at] @ weight + (b << 32) for b, at in enumerate(_AT)], axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(part.column(0).to_numpy(), BLOCKS))], ["key", "sid"])
+                keys, sids = keys.ravel(), np.repeat(part.column(0).to_numpy(), BLOCKS)
+                if sent is not None:
+                    ok = held(sent.value, mixed(keys))
+                    keys, sids = keys[ok], sids[ok]
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sids)], ["key", "sid"])
 
     return sigs.select("sid", "sig").mapInArrow(run, "key bigint, sid bigint")
 
@@ -162,29 +168,46 @@ def most_bits(similarity: float) -> int:
     return int(64 * WORDS * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
 
-def similar_links(sigs: DataFrame, similarity: float) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints (sid, sig) whose Hamming distance tells of the similarity.
+def similar_components(sigs: DataFrame, similarity: float) -> DataFrame:
+    """(node, root) of distinct fingerprints (sid, sig) that links of a Hamming distance join.
 
-    A block's members are held against its first one.  Those close to it are linked and done with
-    in that block; the others form the block's next round, until a round has none.  So a block of
-    any size costs rows in proportion to it, and all its members are read.
+    A block's members are held against one of them: that which meets most others over all blocks, as
+    the original of a group of copies does.  Members that no link, of whatever block, has joined
+    to it by then are compared pairwise where a block has at most PAIRWISE of them, unless links join
+    them already; in larger blocks they form the next round.  So a block costs rows in proportion to its
+    size, and all its members are read.  Of a pair of which only one is close to a block's first,
+    that block doesn't tell; another may.
+
+    Most keys have one member: after they are counted, a filter keeps them out of the join.
     """
     limit = most_bits(similarity)
-    rows = block_keys(sigs)
-    found = None
+    one, two = sigs.select(F.col("sid").alias("a"), F.col("sig").alias("x")), sigs.select(F.col("sid").alias("b"), F.col("sig").alias("y"))
+    far = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    close = lambda pairs: pairs.distinct().join(one, "a").join(two, "b").where(far <= limit).select("a", "b")
+    sizes = durable(block_keys(sigs).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    members = durable(block_keys(sigs, filter_of(sizes.select(F.xxhash64("key").alias("x")))).join(sizes, "key"))
+    degree = durable(members.groupBy("sid").agg(F.sum(F.col("n") - 1).alias("met")))
+    members = members.withColumn("root", F.col("sid"))
+    best = F.max(F.struct("met", F.xxhash64("key", "sid").alias("tie"), "sid")).alias("best")
+    links = None
     while True:
-        firsts = rows.groupBy("key").agg(F.min("sid").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        met = durable(rows.join(firsts, "key").where("sid <> first").select("key", "sid", "first", "n"))
-        if met.isEmpty():
-            break
-        one, two = sigs.select(F.col("sid"), F.col("sig").alias("x")), sigs.select(F.col("sid").alias("first"), F.col("sig").alias("y"))
-        far = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-        close = durable(met.select("sid", "first").distinct().join(one, "sid").join(two, "first").where(far <= limit).select("sid", "first"))
-        found = close if found is None else found.unionAll(close)
-        rows = met.where("n > 2").join(close, ["sid", "first"], "left_anti").select("key", "sid")
-    if found is None:
-        return sigs.select(F.col("sid").alias("a"), F.col("sid").alias("b")).where("false")
-    return found.select(F.col("sid").alias("a"), F.col("first").alias("b")).distinct()
+        firsts = members.join(degree, "sid").groupBy("key").agg(best).select("key", F.col("best.sid").alias("first"))
+        met = durable(members.join(firsts, "key").where("sid <> first"))
+        made = close(met.select(F.col("sid").alias("a"), F.col("first").alias("b")))
+        if links is not None:
+            x, y = few.alias("x"), few.alias("y")
+            pairs = x.join(y, F.expr("x.key = y.key and x.sid < y.sid and x.root <> y.root")).select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
+            made = links.unionAll(made).unionAll(close(pairs))
+        links = durable(made)
+        found = connected_components(links)
+        of = lambda c, r: found.select(F.col("node").alias(c), F.col("root").alias(r))
+        rest = met.where("n > 2").select("key", "sid", "first").join(of("sid", "r"), "sid", "left").join(of("first", "q"), "first", "left")
+        rest = durable(rest.where(F.coalesce("r", "sid") != F.coalesce("q", "first")).select("key", "sid", F.coalesce("r", "sid").alias("root")))
+        again = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        rest = durable(rest.join(again, "key"))
+        if rest.isEmpty():
+            return found
+        few, members = rest.where(F.col("n") <= PAIRWISE), rest.where(F.col("n") > PAIRWISE)
 
 
 def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -196,7 +219,7 @@ def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8,
     """
     prints = durable(long_fingerprints(docs, width, id_col, text_col).withColumn("sid", F.xxhash64("sig")))
     sigs = durable(prints.groupBy("sid").agg(F.first("sig").alias("sig"), F.min("doc_id").alias("least")))
-    roots = connected_components(similar_links(sigs, similarity))
+    roots = similar_components(sigs, similarity)
     member = roots.join(sigs.select("sid", "least"), roots["node"] == sigs["sid"]).select("root", "sid", "least")
     named = member.join(member.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("sid", "component_id")
     of_sid = sigs.join(named, "sid", "left").select("sid", F.coalesce("component_id", "least").alias("component_id"))

@@ -3,7 +3,7 @@ import hashlib
 import numpy as np
 import pytest
 
-from gaugeworks.llm import repeats
+from gaugeworks.llm import filters, repeats
 from tests.llm.cases import frame, rows
 
 
@@ -90,4 +90,4 @@ def test_hash_of_longs(spark):
     rng = np.random.default_rng(2)
     x = rng.integers(-(2**63), 2**63 - 1, (50, 3))
     got = spark.createDataFrame(x.tolist(), "a long, b long, c long").select(F.xxhash64("a", "b", "c").alias("h")).collect()
-    assert [r.h for r in got] == repeats._mixed(*(np.ascontiguousarray(c) for c in x.T)).view(np.int64).tolist()
+    assert [r.h for r in got] == filters.mixed(*(np.ascontiguousarray(c) for c in x.T)).view(np.int64).tolist()
