@@ -52,7 +52,7 @@ PRIORITY_CATEGORIES = ("steam_iron", "handheld_steamer", "suction_steamer")
 class Rubric:
     """What page scoring may be told to do otherwise."""
 
-    own_domain: str = "ecomusa.example"
+    own_domain: str = "own.example"
     weights: dict = field(default_factory=lambda: dict(WEIGHTS))
     answer_words: tuple[int, int] = (15, 80)
     low_density: float = 0.02

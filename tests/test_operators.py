@@ -101,7 +101,7 @@ def test_gates(spark):
 
 def test_classify(spark):
     slugs = {
-        "airlift-vs-velora-steam-iron": ("comparison_vs", True, "vs"),
+        "alpha-vs-beta-steam-iron": ("comparison_vs", True, "vs"),
         "best-handheld-steamers-for-travel": ("buying_guide", True, "best"),
         "choosing-a-steam-iron-for-quilting": ("buying_guide", True, "choosing"),
         "steamer-gift-ideas-for-him": ("gift_guide", True, "gift"),
@@ -157,13 +157,13 @@ def test_sections(spark):
 
 
 def test_own_copy(spark):
-    heads = [(cap.TOP, "x"), ("Air Iron", "buy"), ("Reviews (12)", "r"), ("More", "r2"), ("FAQ", "f"), ("Related Products", ""), ("Velora Steam", "long text of a card"), ("Cheap thing", "only $9"), ("Velora Steam", "again"), ("Care", "text")]
+    heads = [(cap.TOP, "x"), ("Air Iron", "buy"), ("Reviews (12)", "r"), ("More", "r2"), ("FAQ", "f"), ("Related Products", ""), ("Beta Steam", "long text of a card"), ("Cheap thing", "only $9"), ("Beta Steam", "again"), ("Care", "text")]
     s = spark.createDataFrame([(1, i, h, x) for i, (h, x) in enumerate(heads)], "page long, index long, heading string, text string")
-    lab = cap.label_sections(s, F.lit("Air Iron"), F.array(F.lit("Velora Steam Iron")))
+    lab = cap.label_sections(s, F.lit("Air Iron"), F.array(F.lit("Beta Steam Iron")))
     assert [x.role for x in lab.orderBy("index").collect()] == ["kept", "kept", "review", "review", "kept", "related", "card", "card", "card", "kept"]
     assert [(x["index"], x.heading) for x in cap.own_copy(lab).orderBy("index").collect()] == [(0, cap.TOP), (1, "Air Iron"), (2, "FAQ"), (3, "Care")]
     x = cap.excluded(lab).first()
-    assert (x.related_product_cards, x.reviews, x.related_products) == (4, 2, ["Velora Steam", "Cheap thing"])
+    assert (x.related_product_cards, x.reviews, x.related_products) == (4, 2, ["Beta Steam", "Cheap thing"])
 
 
 def _sequential(sections, fixed, h1):

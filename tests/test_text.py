@@ -14,12 +14,12 @@ def ev(spark, value, f):
     [
         (t.normalize_slug, "  /A/B// ", "/a/b"),
         (t.normalize_slug, None, None),
-        (t.slug, "AirLift + Spin, 12 min!", "airlift-plus-spin-12-min"),
+        (t.slug, "Airy + Spin, 12 min!", "airy-plus-spin-12-min"),
         (t.section_slug, "???", "section"),
         (t.section_slug, "a" * 60, "a" * 50),
-        (t.base_name, "AirLift, Pro, Red Coral ", "AirLift, Pro"),
-        (t.base_name, "AirLift, 12 min", "AirLift, 12 min"),
-        (lambda c: t.base_name(c, same={"Air": "Joined"}), "AirLift", "Joined"),
+        (t.base_name, "Airy, Pro, Red Coral ", "Airy, Pro"),
+        (t.base_name, "Airy, 12 min", "Airy, 12 min"),
+        (lambda c: t.base_name(c, same={"Air": "Joined"}), "Airy", "Joined"),
         (t.last_part, "a, b", " b"),
         (t.last_part, "a", None),
         (lambda c: t.norm(c, "Brand"), "The Brand  X-200!", "the x 200"),
