@@ -31,7 +31,7 @@ CAPACITY = 4096
 END_ID = 1
 BINS, DEPTH = 64, 4
 #: Units whose ids a worker keeps before it starts anew.
-KEPT_UNITS = 1_000_000
+KEPT_UNITS = 600_000
 #: Marks that end a word as a unit of their own: none of those in contractions or special tokens.
 _MARK = np.zeros(256, bool)
 _MARK[[ord(c) for c in ".,!?;:#$%&*"]] = True

@@ -168,11 +168,19 @@ def most_bits(similarity: float) -> int:
     return int(64 * WORDS * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
 
+def still_apart(met: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows whose member and first are in different components, with the member's `root`."""
+    of = lambda c, r: found.select(F.col("node").alias(c), F.col("root").alias(r))
+    both = met.drop("root").join(of("sid", "_r"), "sid", "left").join(of("first", "_q"), "first", "left")
+    return both.where(F.coalesce("_r", "sid") != F.coalesce("_q", "first")).withColumn("root", F.coalesce("_r", "sid")).drop("_r", "_q")
+
+
 def similar_components(sigs: DataFrame, similarity: float) -> DataFrame:
     """(node, root) of distinct fingerprints (sid, sig) that links of a Hamming distance join.
 
     A block's members are held against one of them: that which meets most others over all blocks, as
-    the original of a group of copies does.  Members that no link, of whatever block, has joined
+    the original of a group of copies does; a member first against the most met of all its blocks,
+    then against those to which no link joins it yet.  Members that no link, of whatever block, has joined
     to it by then are compared pairwise where a block has at most PAIRWISE of them, unless links join
     them already; in larger blocks they form the next round.  So a block costs rows in proportion to its
     size, and all its members are read.  Of a pair of which only one is close to a block's first,
@@ -191,18 +199,21 @@ def similar_components(sigs: DataFrame, similarity: float) -> DataFrame:
     best = F.max(F.struct("met", F.xxhash64("key", "sid").alias("tie"), "sid")).alias("best")
     links = None
     while True:
-        firsts = members.join(degree, "sid").groupBy("key").agg(best).select("key", F.col("best.sid").alias("first"))
+        firsts = members.join(degree, "sid").groupBy("key").agg(best).select("key", F.col("best.sid").alias("first"), F.col("best.met").alias("top"))
         met = durable(members.join(firsts, "key").where("sid <> first"))
-        made = close(met.select(F.col("sid").alias("a"), F.col("first").alias("b")))
+        # each member's most met first, before all its others: links of a large group come from its original
+        chosen = met.groupBy("sid").agg(F.max(F.struct("top", "first")).alias("c")).select(F.col("sid").alias("a"), F.col("c.first").alias("b"))
+        made = close(chosen)
         if links is not None:
             x, y = few.alias("x"), few.alias("y")
             pairs = x.join(y, F.expr("x.key = y.key and x.sid < y.sid and x.root <> y.root")).select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
             made = links.unionAll(made).unionAll(close(pairs))
         links = durable(made)
         found = connected_components(links)
-        of = lambda c, r: found.select(F.col("node").alias(c), F.col("root").alias(r))
-        rest = met.where("n > 2").select("key", "sid", "first").join(of("sid", "r"), "sid", "left").join(of("first", "q"), "first", "left")
-        rest = durable(rest.where(F.coalesce("r", "sid") != F.coalesce("q", "first")).select("key", "sid", F.coalesce("r", "sid").alias("root")))
+        apart = durable(still_apart(met, found))
+        links = durable(links.unionAll(close(apart.select(F.col("sid").alias("a"), F.col("first").alias("b")))))
+        found = connected_components(links)
+        rest = durable(still_apart(apart.where("n > 2").drop("root"), found).select("key", "sid", "root"))
         again = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         rest = durable(rest.join(again, "key"))
         if rest.isEmpty():
