@@ -114,6 +114,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", tex
 
 #: Words of a long fingerprint, blocks it is read in, and bits of a block.
 WORDS, BLOCKS, BLOCK_BITS = 16, 160, 24
+#: Blocks read first; the others are read where these left members apart.
+FIRST_BLOCKS = 40
 _AT = np.random.default_rng(20).permuted(np.tile(np.arange(64 * WORDS), (BLOCKS, 1)), axis=1)[:, :BLOCK_BITS]
 
 
@@ -142,8 +144,8 @@ def long_fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, sig array<bigint>")
 
 
-def block_keys(sigs: DataFrame, repeated: np.ndarray | None = None) -> DataFrame:
-    """(key, sid): BLOCKS keys of each distinct long fingerprint, or those that a filter holds."""
+def block_keys(sigs: DataFrame, repeated: np.ndarray | None = None, low: int = 0, high: int = BLOCKS) -> DataFrame:
+    """(key, sid, root): keys of blocks low to high of each distinct long fingerprint, or those that a filter holds."""
     sent = None if repeated is None else sigs.sparkSession.sparkContext.broadcast(repeated)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,14 +155,14 @@ def block_keys(sigs: DataFrame, repeated: np.ndarray | None = None) -> DataFrame
                 part = batch.slice(a, 1000)
                 sig = part.column(1).flatten().to_numpy().reshape(-1, WORDS)
                 bits = np.unpackbits(np.ascontiguousarray(sig).view(np.uint8).reshape(len(sig), -1), axis=1, bitorder="little")
-                keys = np.stack([bits[:, at] @ weight + (b << 32) for b, at in enumerate(_AT)], axis=1)
-                keys, sids = keys.ravel(), np.repeat(part.column(0).to_numpy(), BLOCKS)
+                keys = np.stack([bits[:, _AT[b]] @ weight + (b << 32) for b in range(low, high)], axis=1).ravel()
+                sids, roots = (np.repeat(part.column(c).to_numpy(), high - low) for c in (0, 2))
                 if sent is not None:
                     ok = held(sent.value, mixed(keys))
-                    keys, sids = keys[ok], sids[ok]
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sids)], ["key", "sid"])
+                    keys, sids, roots = keys[ok], sids[ok], roots[ok]
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sids), pa.array(roots)], ["key", "sid", "root"])
 
-    return sigs.select("sid", "sig").mapInArrow(run, "key bigint, sid bigint")
+    return sigs.select("sid", "sig", "root").mapInArrow(run, "key bigint, sid bigint, root bigint")
 
 
 def most_bits(similarity: float) -> int:
@@ -186,28 +188,38 @@ def similar_components(sigs: DataFrame, similarity: float) -> DataFrame:
     size, and all its members are read.  Of a pair of which only one is close to a block's first,
     that block doesn't tell; another may.
 
-    Most keys have one member: after they are counted, a filter keeps them out of the join.
+    Most keys have one member: after they are counted, a filter keeps them out of the join.  The first
+    blocks are read by themselves; of the others, those whose members they joined are not read again.
     """
+    found = _of_blocks(sigs.withColumn("root", F.col("sid")), None, similarity, 0, FIRST_BLOCKS)
+    links = found.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    named = found.select(F.col("node").alias("sid"), F.col("root").alias("_r"))
+    rooted = durable(sigs.join(named, "sid", "left").withColumn("root", F.coalesce("_r", "sid")).drop("_r"))
+    return _of_blocks(rooted, links, similarity, FIRST_BLOCKS, BLOCKS)
+
+
+def _of_blocks(sigs: DataFrame, links: DataFrame | None, similarity: float, low: int, high: int) -> DataFrame:
+    """Components after blocks low to high of fingerprints (sid, sig, root), given links so far."""
     limit = most_bits(similarity)
     one, two = sigs.select(F.col("sid").alias("a"), F.col("sig").alias("x")), sigs.select(F.col("sid").alias("b"), F.col("sig").alias("y"))
     far = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
     close = lambda pairs: pairs.distinct().join(one, "a").join(two, "b").where(far <= limit).select("a", "b")
-    sizes = durable(block_keys(sigs).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    members = durable(block_keys(sigs, filter_of(sizes.select(F.xxhash64("key").alias("x")))).join(sizes, "key"))
+    several = F.min("root") != F.max("root")
+    sizes = durable(block_keys(sigs, None, low, high).groupBy("key").agg(F.count(F.lit(1)).alias("n"), several.alias("apart")).where("apart").drop("apart"))
+    members = durable(block_keys(sigs, filter_of(sizes.select(F.xxhash64("key").alias("x"))), low, high).join(sizes, "key"))
     degree = durable(members.groupBy("sid").agg(F.sum(F.col("n") - 1).alias("met")))
-    members = members.withColumn("root", F.col("sid"))
+    few = None
     best = F.max(F.struct("met", F.xxhash64("key", "sid").alias("tie"), "sid")).alias("best")
-    links = None
     while True:
         firsts = members.join(degree, "sid").groupBy("key").agg(best).select("key", F.col("best.sid").alias("first"), F.col("best.met").alias("top"))
         met = durable(members.join(firsts, "key").where("sid <> first"))
         # each member's most met first, before all its others: links of a large group come from its original
         chosen = met.groupBy("sid").agg(F.max(F.struct("top", "first")).alias("c")).select(F.col("sid").alias("a"), F.col("c.first").alias("b"))
-        made = close(chosen)
-        if links is not None:
+        made = close(chosen) if links is None else links.unionAll(close(chosen))
+        if few is not None:
             x, y = few.alias("x"), few.alias("y")
             pairs = x.join(y, F.expr("x.key = y.key and x.sid < y.sid and x.root <> y.root")).select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
-            made = links.unionAll(made).unionAll(close(pairs))
+            made = made.unionAll(close(pairs))
         links = durable(made)
         found = connected_components(links)
         apart = durable(still_apart(met, found))
