@@ -113,18 +113,38 @@ def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", tex
 
 
 #: Words of a long fingerprint, blocks it is read in, and bits of a block.
-WORDS, BLOCKS, BLOCK_BITS = 16, 160, 24
+WORDS, BLOCKS, BLOCK_BITS = 16, 240, 24
+#: Standard deviations over the expected distance at which a pair is still proposed.
+SLACK = 3.0
 _AT = np.random.default_rng(20).permuted(np.tile(np.arange(64 * WORDS), (BLOCKS, 1)), axis=1)[:, :BLOCK_BITS]
 
 
+def distinct_hashes(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's distinct hashes in order, and how many each text has."""
+    doc = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((h, doc))
+    h, doc = h[order], doc[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    return h[new], np.bincount(doc[new], minlength=len(n))
+
+
+def set_ids(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """64-bit ids of sets of distinct hashes."""
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(h), dtype=np.uint64)])
+        ends = np.cumsum(n)
+        return mixed(sums[ends] - sums[ends - n], n.astype(np.uint64)).view(np.int64)
+
+
 def long_fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, sig): WORDS independent fingerprints of each whole text, as longs."""
+    """(doc_id, sid, sig): of each whole text's distinct shingles the set's id and WORDS independent fingerprints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = []
+            made, ids = [], []
             for _, _, buf, offs in text_slices(batch.column(1)):
-                h, n = shingle_hashes(LOWER[buf], offs, width)
+                h, n = distinct_hashes(*shingle_hashes(LOWER[buf], offs, width))
                 sig = np.empty((len(n), WORDS), np.uint64)
                 with np.errstate(over="ignore"):
                     for k in range(WORDS):
@@ -134,12 +154,32 @@ def long_fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_
                         x ^= x >> np.uint64(32)
                         sig[:, k] = majority(x, n)
                 made.append(sig)
+                ids.append(set_ids(h, n))
             sig = np.concatenate(made) if made else np.zeros((0, WORDS), np.uint64)
+            sid = np.concatenate(ids) if ids else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, sig.size + 1, WORDS), pa.int32()), pa.array(sig.view(np.int64).ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sid), lists], ["doc_id", "sid", "sig"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, sig array<bigint>")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, sid bigint, sig array<bigint>")
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int, text_col: str = "text") -> DataFrame:
+    """(sid, hashes): distinct shingle hashes of the sets whose `sid` is wanted, and of few others that a filter lets through."""
+    sent = docs.sparkSession.sparkContext.broadcast(filter_of(wanted.select(F.xxhash64("sid").alias("x"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, buf, offs in text_slices(batch.column(0)):
+                h, n = distinct_hashes(*shingle_hashes(LOWER[buf], offs, width))
+                sid = set_ids(h, n)
+                ok = held(sent.value, mixed(sid))
+                ends = np.concatenate([[0], np.cumsum(n[ok])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(h[np.repeat(ok, n)].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(sid[ok]), lists], ["sid", "hashes"])
+
+    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "sid bigint, hashes array<bigint>")
+    return found.groupBy("sid").agg(F.first("hashes").alias("hashes"))
 
 
 def block_keys(sigs: DataFrame, repeated: np.ndarray | None = None) -> DataFrame:
@@ -164,8 +204,22 @@ def block_keys(sigs: DataFrame, repeated: np.ndarray | None = None) -> DataFrame
 
 
 def most_bits(similarity: float) -> int:
-    """Bits of a long fingerprint in which sets of this Jaccard similarity differ, as expected of SimHash."""
-    return int(64 * WORDS * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    """Bits of a long fingerprint in which sets of this Jaccard similarity differ, SLACK deviations over what is expected."""
+    bits, p = 64 * WORDS, np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(bits * p + SLACK * np.sqrt(bits * p * (1 - p)))
+
+
+def alike(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, similarity: float, width: int, text_col: str = "text") -> DataFrame:
+    """The pairs (a, b) of this Jaccard similarity or more; fingerprints only spare the comparison of those far apart."""
+    one, two = sigs.select(F.col("sid").alias("a"), F.col("sig").alias("x")), sigs.select(F.col("sid").alias("b"), F.col("sig").alias("y"))
+    far = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    near = durable(pairs.distinct().join(one, "a").join(two, "b").where(far <= most_bits(similarity)).select("a", "b"))
+    if near.isEmpty():
+        return near
+    sets = durable(shingle_sets(docs, near.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), width, text_col))
+    x, y = sets.select(F.col("sid").alias("a"), F.col("hashes").alias("x")), sets.select(F.col("sid").alias("b"), F.col("hashes").alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    return near.join(x, "a").join(y, "b").where(both / (F.size("x") + F.size("y") - both) >= similarity).select("a", "b")
 
 
 def still_apart(met: DataFrame, found: DataFrame) -> DataFrame:
@@ -175,8 +229,8 @@ def still_apart(met: DataFrame, found: DataFrame) -> DataFrame:
     return both.where(F.coalesce("_r", "sid") != F.coalesce("_q", "first")).withColumn("root", F.coalesce("_r", "sid")).drop("_r", "_q")
 
 
-def similar_components(sigs: DataFrame, similarity: float) -> DataFrame:
-    """(node, root) of distinct fingerprints (sid, sig) that links of a Hamming distance join.
+def similar_components(sigs: DataFrame, docs: DataFrame, similarity: float, width: int, text_col: str = "text") -> DataFrame:
+    """(node, root) of distinct shingle sets (sid, sig) that links of a Jaccard similarity join.
 
     A block's members are held against one of them: that which meets most others over all blocks, as
     the original of a group of copies does; a member first against the most met of all its blocks,
@@ -188,10 +242,7 @@ def similar_components(sigs: DataFrame, similarity: float) -> DataFrame:
 
     Most keys have one member: after they are counted, a filter keeps them out of the join.
     """
-    limit = most_bits(similarity)
-    one, two = sigs.select(F.col("sid").alias("a"), F.col("sig").alias("x")), sigs.select(F.col("sid").alias("b"), F.col("sig").alias("y"))
-    far = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-    close = lambda pairs: pairs.distinct().join(one, "a").join(two, "b").where(far <= limit).select("a", "b")
+    close = lambda pairs: alike(pairs, sigs, docs, similarity, width, text_col)
     sizes = durable(block_keys(sigs).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     members = durable(block_keys(sigs, filter_of(sizes.select(F.xxhash64("key").alias("x")))).join(sizes, "key"))
     degree = durable(members.groupBy("sid").agg(F.sum(F.col("n") - 1).alias("met")))
@@ -225,12 +276,13 @@ def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8,
     """(doc_id, component_id) at a similarity of the word shingles, by long fingerprints.
 
     At two bits of 64 only texts of a similarity near one are found.  Here BLOCKS blocks of
-    BLOCK_BITS bits are read from 64 * WORDS bits: a pair of similarity 0.8 shares a block with a
-    probability of 0.96, one of 0.85 with 0.997; the distance over all bits then decides.
+    BLOCK_BITS bits are read from 64 * WORDS bits of the distinct shingles: a pair of similarity 0.8
+    shares a block with a probability of 0.99.  Pairs that share one are decided by the Jaccard
+    similarity of their distinct shingles, compared by 64-bit hashes.
     """
-    prints = durable(long_fingerprints(docs, width, id_col, text_col).withColumn("sid", F.xxhash64("sig")))
+    prints = durable(long_fingerprints(docs, width, id_col, text_col))
     sigs = durable(prints.groupBy("sid").agg(F.first("sig").alias("sig"), F.min("doc_id").alias("least")))
-    roots = similar_components(sigs, similarity)
+    roots = similar_components(sigs, docs, similarity, width, text_col)
     member = roots.join(sigs.select("sid", "least"), roots["node"] == sigs["sid"]).select("root", "sid", "least")
     named = member.join(member.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("sid", "component_id")
     of_sid = sigs.join(named, "sid", "left").select("sid", F.coalesce("component_id", "least").alias("component_id"))

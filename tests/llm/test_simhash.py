@@ -123,3 +123,18 @@ def test_dense_group_of_near_copies(spark):
     data += [(1000 + i, " ".join(f"u{i}_{k}" for k in range(80))) for i in range(30)]
     got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(data, "doc_id long, text string")).collect()}
     assert sum(got[i] == 0 for i in range(150)) >= 147 and all(got[1000 + i] == 1000 + i for i in range(30))
+
+
+def test_pairs_near_the_limit(spark):
+    """400 shingles of which 43 or 47 differ: 0.806 or 0.790; and texts dominated by one repeated phrase."""
+    data, k = [], 0
+    for changed in (43, 47):
+        for _ in range(40):
+            base = [f"w{k}_{i}" for i in range(404)]
+            data += [(k, " ".join(base)), (k + 1, " ".join(base[:-changed] + [f"x{k}_{i}" for i in range(changed)]))]
+            k += 2
+    data += [(k + j, "one two three four five " * 400 + " ".join(f"p{j}_{i}" for i in range(60))) for j in range(2)]
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    joined = [got[i] == got[i + 1] for i in range(0, k, 2)]
+    assert sum(joined[:40]) >= 37 and not any(joined[40:])
+    assert got[k] != got[k + 1]
