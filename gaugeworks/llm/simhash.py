@@ -229,16 +229,27 @@ def still_apart(met: DataFrame, found: DataFrame) -> DataFrame:
     return both.where(F.coalesce("_r", "sid") != F.coalesce("_q", "first")).withColumn("root", F.coalesce("_r", "sid")).drop("_r", "_q")
 
 
+def open_pairs(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members (key, sid) of one key that are in different components."""
+    at = members.select("key", "sid").join(found.select(F.col("node").alias("sid"), "root"), "sid", "left").select("key", "sid", F.coalesce("root", "sid").alias("root"))
+    sizes = at.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    split = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    at = durable(at.join(split.select("key", F.col("top.root").alias("main")), "key"))
+    x, y = at.where("root <> main").alias("x"), at.alias("y")
+    pairs = x.join(y, F.expr("x.key = y.key and x.root <> y.root and (y.root = y.main or x.sid < y.sid)"))
+    return pairs.select(F.expr("least(x.sid, y.sid)").alias("a"), F.expr("greatest(x.sid, y.sid)").alias("b"))
+
+
 def similar_components(sigs: DataFrame, docs: DataFrame, similarity: float, width: int, text_col: str = "text") -> DataFrame:
     """(node, root) of distinct shingle sets (sid, sig) that links of a Jaccard similarity join.
 
-    A block's members are held against one of them: that which meets most others over all blocks, as
-    the original of a group of copies does; a member first against the most met of all its blocks,
-    then against those to which no link joins it yet.  Members that no link, of whatever block, has joined
-    to it by then are compared pairwise where a block has at most PAIRWISE of them, unless links join
-    them already; in larger blocks they form the next round.  So a block costs rows in proportion to its
-    size, and all its members are read.  Of a pair of which only one is close to a block's first,
-    that block doesn't tell; another may.
+    First stars: a block's members are held against one of them, that which meets most others over all
+    blocks, as the original of a group of copies does; a member first against the most met of all its
+    blocks, then against those to which no link joins it yet.  Members of blocks of more than PAIRWISE that are
+    still apart from it form the next round, while rounds at least halve them.  Then all pairs that share a block and that
+    no link has joined are compared, so none of them stays unjudged.  Stars cost rows in proportion to
+    a block's size; the last step costs the members outside a block's largest component times
+    the block's size.
 
     Most keys have one member: after they are counted, a filter keeps them out of the join.
     """
@@ -246,30 +257,27 @@ def similar_components(sigs: DataFrame, docs: DataFrame, similarity: float, widt
     sizes = durable(block_keys(sigs).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     members = durable(block_keys(sigs, filter_of(sizes.select(F.xxhash64("key").alias("x")))).join(sizes, "key"))
     degree = durable(members.groupBy("sid").agg(F.sum(F.col("n") - 1).alias("met")))
-    members = members.withColumn("root", F.col("sid"))
     best = F.max(F.struct("met", F.xxhash64("key", "sid").alias("tie"), "sid")).alias("best")
-    links = None
+    links, live, before = None, members, None
     while True:
-        firsts = members.join(degree, "sid").groupBy("key").agg(best).select("key", F.col("best.sid").alias("first"), F.col("best.met").alias("top"))
-        met = durable(members.join(firsts, "key").where("sid <> first"))
+        firsts = live.join(degree, "sid").groupBy("key").agg(best).select("key", F.col("best.sid").alias("first"), F.col("best.met").alias("top"))
+        met = durable(live.join(firsts, "key").where("sid <> first"))
         # each member's most met first, before all its others: links of a large group come from its original
         chosen = met.groupBy("sid").agg(F.max(F.struct("top", "first")).alias("c")).select(F.col("sid").alias("a"), F.col("c.first").alias("b"))
         made = close(chosen)
-        if links is not None:
-            x, y = few.alias("x"), few.alias("y")
-            pairs = x.join(y, F.expr("x.key = y.key and x.sid < y.sid and x.root <> y.root")).select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
-            made = links.unionAll(made).unionAll(close(pairs))
-        links = durable(made)
-        found = connected_components(links)
-        apart = durable(still_apart(met, found))
+        links = durable(made if links is None else links.unionAll(made))
+        apart = durable(still_apart(met, connected_components(links)))
         links = durable(links.unionAll(close(apart.select(F.col("sid").alias("a"), F.col("first").alias("b")))))
         found = connected_components(links)
-        rest = durable(still_apart(apart.where("n > 2").drop("root"), found).select("key", "sid", "root"))
-        again = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        rest = durable(rest.join(again, "key"))
-        if rest.isEmpty():
-            return found
-        few, members = rest.where(F.col("n") <= PAIRWISE), rest.where(F.col("n") > PAIRWISE)
+        rest = still_apart(apart.where("n > 2").drop("root"), found).select("key", "sid")
+        again = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PAIRWISE)
+        live = durable(rest.join(again, "key"))
+        left = live.count()
+        if not left or before is not None and 2 * left > before:
+            break
+        before = left
+    links = durable(links.unionAll(close(open_pairs(members, found))))
+    return connected_components(links)
 
 
 def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -138,3 +138,26 @@ def test_pairs_near_the_limit(spark):
     joined = [got[i] == got[i + 1] for i in range(0, k, 2)]
     assert sum(joined[:40]) >= 37 and not any(joined[40:])
     assert got[k] != got[k + 1]
+
+
+def test_copies_of_variants_in_a_large_group(spark):
+    """Each copy is close to a variant (0.84), but not to the original, to which all variants are close."""
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(404)]
+
+    def change(text, at, mark):
+        return text[:at] + [f"{mark}_{i}" for i in range(31)] + text[at + 31 :]
+
+    variants = [change(base, int(rng.integers(0, 170)), f"v{k}") for k in range(600)]
+    copies = [change(variants[k], int(rng.integers(210, 370)), f"c{k}") for k in range(80)]
+    data = [(k, " ".join(t)) for k, t in enumerate([base, *variants, *copies])]
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    # those that share a block with their variant, as read from the fingerprints
+    prints = {r.doc_id: r for r in simhash.long_fingerprints(spark.createDataFrame(data, "doc_id long, text string"), 5).collect()}
+    keys = {d: set() for d in prints}
+    for d, r in prints.items():
+        bits = np.unpackbits(np.array(r.sig, np.int64).view(np.uint8), bitorder="little")
+        keys[d] = {(b, bits[at].tobytes()) for b, at in enumerate(simhash._AT)}
+    share = [k for k in range(80) if keys[1 + k] & keys[601 + k]]
+    missed = [k for k in share if got[601 + k] != got[1 + k]]
+    assert len(share) >= 70 and len(missed) == 0
