@@ -3,8 +3,11 @@
 Each source's documents are cut into blocks of BLOCK_DOCS.  While a set of sources lasts, a source
 of share c/Q owns block i between its release floor(i * Q / c) and its deadline
 ceil((i + 1) * Q / c); one block runs in each slot, the released one of the earliest deadline.
-At any slot a source is less than one block from its share.  After Q slots all are even, so the
-schedule of a phase is a table of Q rows that repeats.  When a source ends, the others' weights are
+Where the exact weights are whole tickets of at most QUANTUM slots, a period of as many slots repeats and
+a source is less than one block from its target at any slot.  Else, and in the rest of a phase that is no whole period, runs of at
+most RUN_SLOTS slots follow each other; each takes what the exact target still lacks after those before it,
+so roundings don't add up: a source is less than one block from a run's line, and that line's ends are a
+rounding from the target.  When a source ends, the others' weights are
 scaled up and a new phase begins; no document is dropped or repeated.
 
 The phases follow from one count for each source on the driver; at most MAX_SOURCES are scheduled
@@ -30,41 +33,54 @@ from gaugeworks.llm.common import field, whole_rows
 
 BLOCK_DOCS = 64
 QUANTUM = 1024
+#: Slots of a run whose weights have no short exact period; rows of tables that are still broadcast.
+RUN_SLOTS = 8192
+BROADCAST_ROWS = 1 << 20
 MAX_SOURCES = 256
 _NULL, _POOL = "\x00null", "\x00pool"
 
 
-def tickets(weights: dict[str, Fraction], quantum: int) -> dict[str, int]:
-    """Whole shares of the quantum, one at least, by largest remainders."""
+def tickets(weights: dict[str, Fraction], quantum: int) -> dict[str, int] | None:
+    """Exact whole shares of a period of at most `quantum` slots; None where there are none."""
+    scale = math.lcm(*[w.denominator for w in weights.values()])
+    whole = {s: int(w * scale) for s, w in weights.items()}
+    common = math.gcd(*whole.values())
+    total = sum(whole.values()) // common
+    return {s: n // common * (quantum // total) for s, n in whole.items()} if total <= quantum else None
+
+
+def runs(left: dict[str, int], weights: dict[str, Fraction]) -> list[dict[str, int]]:
+    """Blocks of each source in each run, until the first source ends."""
     total = sum(weights.values())
-    share = {s: max(Fraction(1), w * quantum / total) for s, w in weights.items()}
-    scale = Fraction(quantum) / sum(share.values())
-    exact = {s: x * scale for s, x in share.items()}
-    out = {s: max(1, math.floor(x)) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (math.floor(exact[s]) - exact[s], s))[: max(0, quantum - sum(out.values()))]:
-        out[s] += 1
+    ends = min(n / weights[s] for s, n in left.items()) * total
+    out, given, done = [], dict.fromkeys(left, 0), Fraction(0)
+    while done < ends:
+        done = min(done + RUN_SLOTS, ends)
+        lack = {s: max(Fraction(0), weights[s] * done / total - given[s]) for s in left}
+        own = {s: math.floor(x) for s, x in lack.items()}
+        more = round(done) - sum(given.values()) - sum(own.values())
+        for s in sorted((s for s in left if given[s] + own[s] < left[s]), key=lambda s: (own[s] - lack[s], s))[: max(0, more)]:
+            own[s] += 1
+        given = {s: given[s] + n for s, n in own.items()}
+        out.append({s: n for s, n in own.items() if n})
     return out
 
 
 def phases(blocks: dict[str, int], weights: dict[str, float], quantum: int = QUANTUM) -> list[dict]:
-    """Phases in order: blocks of each source in a period, and how often the period repeats."""
+    """Phases in order: blocks of each source in a period or run, and how often it repeats."""
     out: list[dict] = []
     for tier in (True, False):  # sources without a positive weight come after the others
         left = {s: n for s, n in blocks.items() if n and (weights.get(s, 1.0) > 0) == tier}
-        share = {s: Fraction(weights.get(s, 1.0) if tier else 1.0).limit_denominator(10**6) or Fraction(1, 10**6) for s in left}
+        share = {s: Fraction(str(weights.get(s, 1.0))) if tier else Fraction(1) for s in left}
         while left:
             own = tickets({s: share[s] for s in left}, max(quantum, 2 * len(left)))
-            repeat = min(left[s] // own[s] for s in left)
-            if not repeat:  # one shorter period, in which the first source ends
-                cut = min(Fraction(left[s], own[s]) for s in left)
-                exact = {s: own[s] * cut for s in left}
-                own = {s: math.floor(x) for s, x in exact.items()}
-                more = round(sum(exact.values())) - sum(own.values())
-                for s in sorted((s for s in left if own[s] < left[s]), key=lambda s: (own[s] - exact[s], s))[: max(0, more)]:
-                    own[s] += 1
-                own, repeat = {s: n for s, n in own.items() if n}, 1
-            out.append({"blocks": own, "repeat": repeat})
-            left = {s: n - own.get(s, 0) * repeat for s, n in left.items() if n > own.get(s, 0) * repeat}
+            repeat = min(left[s] // own[s] for s in left) if own else 0
+            made = [{"blocks": own, "repeat": repeat}] if repeat else [{"blocks": x, "repeat": 1} for x in runs(left, share) if x]
+            for x in made:
+                left = {s: n - x["blocks"].get(s, 0) * x["repeat"] for s, n in left.items()}
+            left = {s: n for s, n in left.items() if n}
+            share = {s: share[s] for s in left}
+            out += made
     return out
 
 
@@ -121,7 +137,9 @@ def interleave(docs: DataFrame, weights: dict[str, float] | None = None, block_d
     ranked = ranked.withColumn("mix_block", F.expr(f"_rank div {block_docs}"))
     ranked = ranked.withColumn("_p", F.element_at(F.filter("_parts", lambda x: x["first"] <= F.col("mix_block")), -1))
     ranked = ranked.withColumns({"_i": F.expr("(mix_block - _p.first) % _p.c"), "_start": F.expr("_p.base + (mix_block - _p.first) div _p.c * _p.q"), "_phase": F.col("_p.phase")})
-    tables = F.broadcast(period_tables(spark, planned).select(F.col("phase").alias("_phase"), "mix_source", F.col("i").alias("_i"), "slot", "release", "deadline"))
+    tables = period_tables(spark, planned).select(F.col("phase").alias("_phase"), "mix_source", F.col("i").alias("_i"), "slot", "release", "deadline")
+    if sum(sum(x["blocks"].values()) for x in planned) <= BROADCAST_ROWS:
+        tables = F.broadcast(tables)
     joined = ranked.join(tables.withColumnsRenamed({"slot": "_slot", "release": "_release", "deadline": "_deadline"}), ["_phase", "mix_source", "_i"])
     added = {
         "mix_source": F.col("mix_source"),

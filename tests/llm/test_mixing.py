@@ -78,3 +78,29 @@ def test_edge_cases(spark, monkeypatch):
     monkeypatch.setattr(mixing, "MAX_SOURCES", 1)
     pooled = mixing.in_order(mixing.interleave(docs), 3)
     assert pooled.count() == len(rows()) and {r.mix_source for r in pooled.collect()} >= {"\x00pool"}
+
+
+@pytest.mark.parametrize(
+    "weights, bound",
+    [({f"s{i:02}": 1.0 for i in range(20)}, 1), ({"a": 0.0001, "b": 1.0, "c": 2.0}, 2), ({"a": 0.3141592, "b": 0.2718281, "c": 1.7320508, "d": 0.00071}, 2)],
+)
+def test_deviation_from_the_original_target(weights, bound):
+    """Over many periods, until the first source ends."""
+    total = sum(weights.values())
+    blocks = {s: int(30_000 * w / total) + 1 for s, w in weights.items()}
+    done, base, worst = Counter(), 0, 0.0
+    for p in mixing.phases(blocks, weights):
+        q = sum(p["blocks"].values())
+        order = [s for s, *_ in brute_edf(p["blocks"])]
+        for _ in range(p["repeat"]):
+            for s in order:
+                done[s] += 1
+                base += 1
+                worst = max([worst, *(abs(done[x] - w * base / total) for x, w in weights.items())])
+                if done[s] == blocks[s]:
+                    break
+            if any(done[x] == n for x, n in blocks.items()):
+                break
+        if any(done[x] == n for x, n in blocks.items()):
+            break
+    assert base > 9000 and worst < bound
