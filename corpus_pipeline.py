@@ -26,7 +26,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Blocks that an earlier document has go; documents of which nothing is left go with them."""
-    left = line_dedup.dedup_lines(docs)
+    left = line_dedup.dedup_lines(docs, windows=True)
     return left.where("dedup_removed = 0 or text rlike '[^\\\\s]'").selectExpr(*["if(dedup_removed = 0, n_chars, char_length(text)) as n_chars" if c == "n_chars" else f"`{c}`" for c in docs.columns])
 
 

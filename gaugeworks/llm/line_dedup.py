@@ -2,7 +2,9 @@
 
 1. Equal texts are one: the copy of the smallest id stays, later copies are common from end to end.
 2. Lines that several texts share name candidates: a text is paired with the first text that has
-   one of its rare lines (at most RARE texts have it), and if it has none, of its rarest.  Each
+   one of its rare lines (at most RARE texts have it), and if it has none, of its rarest.  With `windows` (op5 and the pipeline) it is also
+   paired with the first text that has one of its windows: least runs of lines of MIN_BYTES, whatever their number of
+   texts; every line of a common block lies in such a window of the block.  Each
    pair is (later, first), so pairs grow with the shared lines and not with their square.
 3. A pair's line hashes are aligned with patience diff: lines that are unique in both are put in
    order by a longest increasing sequence, equal neighbours join them, gaps are aligned again.
@@ -22,16 +24,20 @@ from __future__ import annotations
 
 from bisect import bisect_left
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import WS_CHARS, durable, field, whole_rows
+from gaugeworks.llm.filters import mixed
 
 RARE = 16
 #: Bytes of the least block that is deleted: about twenty words.
 MIN_BYTES = 120
 _LAST = (1 << 63) - 1
+_BASE = 0x9E3779B97F4A7C15
+_BACK = pow(_BASE, -1, 1 << 64)
 
 
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -132,6 +138,43 @@ def candidates(lines: DataFrame, rare: int = RARE, least: int = MIN_BYTES) -> Da
     return by_first.join(text.where(F.col("all") >= least).drop("all"), "th").where(F.col("df") <= F.greatest(F.lit(rare), F.col("rarest"))).select(F.col("th").alias("later"), "first")
 
 
+def window_hashes(h: np.ndarray, b: np.ndarray, offs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Text numbers and hashes of the least runs of lines of `least` bytes that start or end at a line of each text."""
+    n = len(h)
+    text = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+    past = np.cumsum(b)
+    before = past - b
+    start, end = np.arange(n), np.searchsorted(past, before + least, "left")
+    first = np.searchsorted(before, past - least, "right") - 1
+    start, end = np.concatenate([start, first]), np.concatenate([end, np.arange(n)])
+    ok = (start >= 0) & (end < n)
+    start, end = start[ok], end[ok]
+    ok = text[start] == text[end]
+    start, end = start[ok], end[ok]
+    with np.errstate(over="ignore"):
+        power = lambda x: np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, x, np.uint64)]), dtype=np.uint64)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h.view(np.uint64) * power(_BASE)[:n], dtype=np.uint64)])
+        made = mixed((sums[end + 1] - sums[start]) * power(_BACK)[start], (end + 1 - start).astype(np.uint64))
+    return text[start], made.view(np.int64)
+
+
+def window_candidates(lines: DataFrame, least: int = MIN_BYTES) -> DataFrame:
+    """(later, first): each text and the first text that has one of its windows."""
+
+    def run(batches):
+        for batch in batches:
+            h, b = batch.column(2), batch.column(3)
+            offs = h.offsets.to_numpy().astype(np.int64)
+            text, made = window_hashes(h.flatten().to_numpy(zero_copy_only=False), b.flatten().to_numpy(zero_copy_only=False).astype(np.int64), offs - offs[0], least)
+            at = pa.array(text)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(made)], ["key", "th", "w"])
+
+    own = durable(lines.select("key", "th", "h", "b").mapInArrow(run, "key bigint, th bigint, w bigint").groupBy("w", "th").agg(F.min("key").alias("key")))
+    shared = own.groupBy("w").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("key", "th")).alias("first")).where("df > 1")
+    both = own.join(shared, "w").where(F.struct("key", "th") > F.col("first"))
+    return both.select(F.col("th").alias("later"), F.col("first.th").alias("first")).distinct()
+
+
 def common_blocks(lines: DataFrame, pairs: DataFrame, least: int = MIN_BYTES) -> DataFrame:
     """(later, spans): line ranges of the later text to delete."""
     texts = lines.select("th", "h", "b").dropDuplicates(["th"])
@@ -152,10 +195,16 @@ def common_blocks(lines: DataFrame, pairs: DataFrame, least: int = MIN_BYTES) ->
     return found.groupBy("later").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: int = RARE, least: int = MIN_BYTES) -> DataFrame:
-    """The input with the text that is left, and dedup_lines, dedup_removed, dedup_copy."""
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: int = RARE, least: int = MIN_BYTES, windows: bool = False) -> DataFrame:
+    """The input with the text that is left, and dedup_lines, dedup_removed, dedup_copy.
+
+    Without `windows`, passages that more than `rare` texts share may stay where a text also shares a rarer line.
+    """
     lines = durable(line_table(docs, id_col, text_col))
-    spans = common_blocks(lines, candidates(lines, rare, least), least).withColumnRenamed("later", "_th").withColumnRenamed("spans", "_spans")
+    pairs = candidates(lines, rare, least)
+    if windows:
+        pairs = pairs.unionAll(window_candidates(lines, least)).distinct()
+    spans = common_blocks(lines, pairs, least).withColumnRenamed("later", "_th").withColumnRenamed("spans", "_spans")
     firsts = lines.groupBy(F.col("th").alias("_th")).agg(F.min("key").alias("_first"))
     info = durable(firsts.join(spans, "_th", "left"))
     body = field(text_col)

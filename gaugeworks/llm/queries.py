@@ -158,7 +158,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What line dedup leaves of every document."""
     from gaugeworks.llm.line_dedup import dedup_lines
 
-    left = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    left = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), windows=True)
     return left.select("doc_id", F.col("dedup_lines").alias("n_lines"), F.col("dedup_removed").alias("n_removed"), F.col("dedup_copy").alias("is_copy"), F.sha2("text", 256).alias("kept_sha256"))
 
 

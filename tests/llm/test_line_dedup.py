@@ -90,3 +90,15 @@ def test_edge_cases(spark):
     assert got.columns[: len(docs.columns)] == docs.columns
     assert result(got) == sorted(brute([(r[0], r[1]) for r in rows()]), key=str)
     assert ld.dedup_lines(frame(spark, [])).count() == 0
+
+
+def test_common_passage_beside_a_rare_line(spark):
+    """A passage of 40 texts goes from later ones that also share a short line with one other text; so does a block whose lines occurred apart before."""
+    line = lambda k: f"line {k} of a passage that is long enough to be kept apart from others"
+    passage = [line(0), line(1), line(2)]
+    data = [(i, "\n".join([f"own {i}", *passage, f"end {i}"])) for i in range(40)]
+    data += [(100 + i, "\n".join([f"own {100 + i}", f"rare {i // 2}", *passage])) for i in range(10)]
+    data += [(200, line("x") + "\na"), (201, line("y") + "\nb"), (202, line("x") + "\n" + line("y") + "\nc"), (203, line("x") + "\n" + line("y") + "\nd")]
+    texts = dict(result(ld.dedup_lines(spark.createDataFrame(data, "doc_id long, text string"), windows=True)))
+    assert line(1) in texts[0] and not any(line(1) in texts[i] for i in [*range(1, 40), *range(100, 110)])
+    assert line("y") in texts[202] and texts[203] == "d"
