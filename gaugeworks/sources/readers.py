@@ -110,11 +110,13 @@ def text_tree(spark: SparkSession, folder: str, skip: Sequence[str] = (".git", "
 
 
 def deny_terms(spark: SparkSession, path: str) -> list[str]:
-    """Terms of a deny list; an empty list is an error, as nothing could be certified by it."""
+    """Terms of a deny list; an empty list is an error, as nothing could be certified by it, and so is one of over 10,000 terms."""
     df = spark.read.text(path).select(F.btrim("value").alias("term")).where("term <> '' and not startswith(term, '#')")
-    terms = [r.term for r in df.limit(10_000).collect()]
+    terms = [r.term for r in df.limit(10_001).collect()]
     if not terms:
         raise GateError("the deny list is empty")
+    if len(terms) > 10_000:
+        raise GateError("the deny list has more than 10,000 terms")
     return terms
 
 

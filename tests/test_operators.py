@@ -255,3 +255,15 @@ def test_brief_rules(spark):
     df = spark.createDataFrame([tuple(x[c.split()[0]] for c in ("file", "variant_group", "page", "edits", "for_client_editor", "for_owner", "gifting_bullet", "target_scores", "warnings")) for x in (good, bad, none)], kind)
     got = [sorted({e.rule for e in x.e}, key=lambda s: int(s[1:])) for x in df.select(k.brief_errors().alias("e")).collect()]
     assert got == [[], ["B1", "B3", "B4", "B5", "B6", "B7", "B8", "B9", "B10", "B11", "B12", "B13", "B14"], ["B2"]]
+
+
+def test_deny_list_of_too_many_terms(spark, tmp_path):
+    from gaugeworks.operators.relational import GateError
+    from gaugeworks.sources import readers
+
+    path = tmp_path / "deny.txt"
+    path.write_text("\n".join(f"term {i}" for i in range(10_000)))
+    assert len(readers.deny_terms(spark, str(path))) == 10_000
+    path.write_text("\n".join(f"term {i}" for i in range(10_001)))
+    with pytest.raises(GateError):
+        readers.deny_terms(spark, str(path))
