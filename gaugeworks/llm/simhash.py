@@ -112,11 +112,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", tex
     return prints.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-#: Words of a long fingerprint, blocks it is read in, and bits of a block.
-WORDS, BLOCKS, BLOCK_BITS = 16, 240, 24
+#: Words of a long fingerprint; blocks that a set is found by at each of its two levels, at least.
+WORDS, KEYS = 16, 24
 #: Standard deviations over the expected distance at which a pair is still proposed.
 SLACK = 3.0
-_AT = np.random.default_rng(20).permuted(np.tile(np.arange(64 * WORDS), (BLOCKS, 1)), axis=1)[:, :BLOCK_BITS]
 
 
 def distinct_hashes(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,35 +136,84 @@ def set_ids(h: np.ndarray, n: np.ndarray) -> np.ndarray:
         return mixed(sums[ends] - sums[ends - n], n.astype(np.uint64)).view(np.int64)
 
 
-def long_fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, sid, sig): of each whole text's distinct shingles the set's id and WORDS independent fingerprints."""
+def levels(similarity: float, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least sizes of the size classes up to `most`, and the blocks of each level.
+
+    Sets of this similarity or more are in one class or in neighbouring ones.  At level k meet the
+    sets of classes k - 1 and k; such a pair differs in at most D hashes, so of D + 1 blocks one is equal.
+    """
+    least = [1, 2]
+    while least[-1] <= most:
+        least.append(max(least[-1] + 1, int(np.ceil(least[-1] / similarity - 1e-9))))
+    least.append(int(np.ceil(least[-1] / similarity)))
+    least = np.array(least)
+    return least, (2 * (least[1:] - 1) * (1 - similarity) / (1 + similarity) + 1e-9).astype(np.int64) + 1
+
+
+def block_keys(h: np.ndarray, n: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of each set's blocks, and how many each set has.  Blocks are parts of the hashes' space.
+
+    Small sets are cut anew until they have KEYS blocks, as a block may hold nothing; of large
+    ones KEYS blocks are read, of about (1 + similarity) / (2 - 2 * similarity) hashes each, so the rows don't grow with a text.
+    """
+    least, blocks = levels(similarity, int(n.max(initial=1)))
+    kind = np.searchsorted(least, n, "right") - 1
+    keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for level in (kind, kind + 1):
+        parts = np.where(n > 0, blocks[np.minimum(level, len(blocks) - 1)], 1)
+        turns = np.where(parts > 1, -(-KEYS // parts), 0)
+        for turn in range(int(turns.max(initial=0))):
+            sets = turns > turn
+            rows = np.repeat(sets, n)
+            doc = np.repeat(np.arange(len(n)), n)[rows]
+            with np.errstate(over="ignore"):
+                x = h[rows] * np.uint64((2 * turn * 0x9E3779B97F4A7C15 + 1) & ((1 << 64) - 1))
+                part = (((x >> np.uint64(32)) * parts[doc].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+                read = (part < KEYS) | (parts[doc] < KEYS)
+                doc, part, x = doc[read], part[read], mixed(h[rows][read])
+                at = doc * (2 * KEYS) + part
+                sums = np.zeros(len(n) * 2 * KEYS, np.uint64)
+                np.add.at(sums, at, x)
+            some = np.unique(at)
+            doc = some // (2 * KEYS)
+            keys.append(mixed(sums[some], (level[doc] * 4096 + turn * 64 + some % (2 * KEYS)).astype(np.uint64)))
+            owners.append(doc)
+    keys, owners = np.concatenate(keys), np.concatenate(owners)
+    return keys[np.argsort(owners, kind="stable")], np.bincount(owners, minlength=len(n))
+
+
+def long_prints(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """WORDS independent 64-bit fingerprints of each set."""
+    sig = np.empty((len(n), WORDS), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(WORDS):
+            x = (h + np.uint64(k + 1) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+            x ^= x >> np.uint64(29)
+            x *= np.uint64(0x94D049BB133111EB)
+            x ^= x >> np.uint64(32)
+            sig[:, k] = majority(x, n)
+    return sig
+
+
+def _lists(values: np.ndarray, n: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(values.view(np.int64)))
+
+
+def block_prints(docs: DataFrame, width: int, similarity: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, th, sid, keys): of each row the text's hash, the id of its set of distinct shingles and the set's block keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made, ids = [], []
-            for _, _, buf, offs in text_slices(batch.column(1)):
+            for a, b, buf, offs in text_slices(batch.column(2)):
                 h, n = distinct_hashes(*shingle_hashes(LOWER[buf], offs, width))
-                sig = np.empty((len(n), WORDS), np.uint64)
-                with np.errstate(over="ignore"):
-                    for k in range(WORDS):
-                        x = (h + np.uint64(k + 1) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
-                        x ^= x >> np.uint64(29)
-                        x *= np.uint64(0x94D049BB133111EB)
-                        x ^= x >> np.uint64(32)
-                        sig[:, k] = majority(x, n)
-                made.append(sig)
-                ids.append(set_ids(h, n))
-            sig = np.concatenate(made) if made else np.zeros((0, WORDS), np.uint64)
-            sid = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, sig.size + 1, WORDS), pa.int32()), pa.array(sig.view(np.int64).ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sid), lists], ["doc_id", "sid", "sig"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in (0, 1)), pa.array(set_ids(h, n)), _lists(*block_keys(h, n, similarity))], ["doc_id", "th", "sid", "keys"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, sid bigint, sig array<bigint>")
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, th bigint, sid bigint, keys array<bigint>")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int, text_col: str = "text") -> DataFrame:
-    """(sid, hashes): distinct shingle hashes of the sets whose `sid` is wanted, and of few others that a filter lets through."""
+    """(sid, sig, hashes): long fingerprint and hashes of the sets whose `sid` is wanted, and of few others that a filter lets through."""
     sent = docs.sparkSession.sparkContext.broadcast(filter_of(wanted.select(F.xxhash64("sid").alias("x"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,33 +222,11 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int, text_col: str =
                 h, n = distinct_hashes(*shingle_hashes(LOWER[buf], offs, width))
                 sid = set_ids(h, n)
                 ok = held(sent.value, mixed(sid))
-                ends = np.concatenate([[0], np.cumsum(n[ok])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(h[np.repeat(ok, n)].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(sid[ok]), lists], ["sid", "hashes"])
+                h, n = h[np.repeat(ok, n)], n[ok]
+                yield pa.RecordBatch.from_arrays([pa.array(sid[ok]), _lists(long_prints(h, n).ravel(), np.full(len(n), WORDS)), _lists(h, n)], ["sid", "sig", "hashes"])
 
-    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "sid bigint, hashes array<bigint>")
-    return found.groupBy("sid").agg(F.first("hashes").alias("hashes"))
-
-
-def block_keys(sigs: DataFrame, repeated: np.ndarray | None = None) -> DataFrame:
-    """(key, sid): BLOCKS keys of each distinct long fingerprint, or those that a filter holds."""
-    sent = None if repeated is None else sigs.sparkSession.sparkContext.broadcast(repeated)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight = (1 << np.arange(BLOCK_BITS)).astype(np.int64)
-        for batch in batches:
-            for a in range(0, batch.num_rows, 1000):
-                part = batch.slice(a, 1000)
-                sig = part.column(1).flatten().to_numpy().reshape(-1, WORDS)
-                bits = np.unpackbits(np.ascontiguousarray(sig).view(np.uint8).reshape(len(sig), -1), axis=1, bitorder="little")
-                keys = np.stack([bits[:, at] @ weight + (b << 32) for b, at in enumerate(_AT)], axis=1)
-                keys, sids = keys.ravel(), np.repeat(part.column(0).to_numpy(), BLOCKS)
-                if sent is not None:
-                    ok = held(sent.value, mixed(keys))
-                    keys, sids = keys[ok], sids[ok]
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sids)], ["key", "sid"])
-
-    return sigs.select("sid", "sig").mapInArrow(run, "key bigint, sid bigint")
+    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "sid bigint, sig array<bigint>, hashes array<bigint>")
+    return found.groupBy("sid").agg(F.first("sig").alias("sig"), F.first("hashes").alias("hashes"))
 
 
 def most_bits(similarity: float) -> int:
@@ -209,14 +235,19 @@ def most_bits(similarity: float) -> int:
     return int(bits * p + SLACK * np.sqrt(bits * p * (1 - p)))
 
 
-def alike(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, similarity: float, width: int, text_col: str = "text") -> DataFrame:
-    """The pairs (a, b) of this Jaccard similarity or more; fingerprints only spare the comparison of those far apart."""
-    one, two = sigs.select(F.col("sid").alias("a"), F.col("sig").alias("x")), sigs.select(F.col("sid").alias("b"), F.col("sig").alias("y"))
-    far = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-    near = durable(pairs.distinct().join(one, "a").join(two, "b").where(far <= most_bits(similarity)).select("a", "b"))
-    if near.isEmpty():
-        return near
-    sets = durable(shingle_sets(docs, near.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), width, text_col))
+def far(x: str, y: str) -> F.Column:
+    """Bits in which two long fingerprints differ."""
+    return sum((F.bit_count(F.get(x, F.lit(k)).bitwiseXOR(F.get(y, F.lit(k)))) for k in range(1, WORDS)), F.bit_count(F.get(x, F.lit(0)).bitwiseXOR(F.get(y, F.lit(0)))))
+
+
+def near_in_fingerprint(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The distinct pairs (a, b) whose long fingerprints don't rule the similarity out."""
+    one, two = sets.select(F.col("sid").alias("a"), F.col("sig").alias("x")), sets.select(F.col("sid").alias("b"), F.col("sig").alias("y"))
+    return pairs.distinct().join(one, "a").join(two, "b").where(far("x", "y") <= most_bits(similarity)).select("a", "b")
+
+
+def alike(near: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of this Jaccard similarity or more."""
     x, y = sets.select(F.col("sid").alias("a"), F.col("hashes").alias("x")), sets.select(F.col("sid").alias("b"), F.col("hashes").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     return near.join(x, "a").join(y, "b").where(both / (F.size("x") + F.size("y") - both) >= similarity).select("a", "b")
@@ -229,33 +260,38 @@ def still_apart(met: DataFrame, found: DataFrame) -> DataFrame:
     return both.where(F.coalesce("_r", "sid") != F.coalesce("_q", "first")).withColumn("root", F.coalesce("_r", "sid")).drop("_r", "_q")
 
 
-def open_pairs(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs (a, b) of members (key, sid) of one key that are in different components."""
+def open_pairs(members: DataFrame, found: DataFrame, keys: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) that share a key, are in different components and whose long fingerprints don't rule the similarity out.
+
+    Each is made once, at the least key that it shares.  members: (key, sid); keys: (sid, keys).
+    """
     at = members.select("key", "sid").join(found.select(F.col("node").alias("sid"), "root"), "sid", "left").select("key", "sid", F.coalesce("root", "sid").alias("root"))
     sizes = at.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     split = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    at = durable(at.join(split.select("key", F.col("top.root").alias("main")), "key"))
+    at = at.join(split.select("key", F.col("top.root").alias("main")), "key").join(sets.select("sid", "sig"), "sid").join(keys.select("sid", "keys"), "sid")
+    at = durable(at)
     x, y = at.where("root <> main").alias("x"), at.alias("y")
-    pairs = x.join(y, F.expr("x.key = y.key and x.root <> y.root and (y.root = y.main or x.sid < y.sid)"))
+    own = F.expr("x.key = y.key and x.root <> y.root and (y.root = y.main or x.sid < y.sid)")
+    pairs = x.join(y, own & (far("x.sig", "y.sig") <= most_bits(similarity)) & F.expr("array_min(array_intersect(x.keys, y.keys)) = x.key"))
     return pairs.select(F.expr("least(x.sid, y.sid)").alias("a"), F.expr("greatest(x.sid, y.sid)").alias("b"))
 
 
-def similar_components(sigs: DataFrame, docs: DataFrame, similarity: float, width: int, text_col: str = "text") -> DataFrame:
-    """(node, root) of distinct shingle sets (sid, sig) that links of a Jaccard similarity join.
+def similar_components(blocks: DataFrame, docs: DataFrame, similarity: float, width: int, text_col: str = "text") -> DataFrame:
+    """(node, root) of distinct shingle sets (sid, keys) that links of a Jaccard similarity join.
 
-    First stars: a block's members are held against one of them, that which meets most others over all
-    blocks, as the original of a group of copies does; a member first against the most met of all its
-    blocks, then against those to which no link joins it yet.  Members of blocks of more than PAIRWISE that are
-    still apart from it form the next round, while rounds at least halve them.  Then all pairs that share a block and that
-    no link has joined are compared, so none of them stays unjudged.  Stars cost rows in proportion to
-    a block's size; the last step costs the members outside a block's largest component times
-    the block's size.
-
-    Most keys have one member: after they are counted, a filter keeps them out of the join.
+    First stars: a key's members are held against one of them, that which meets most others over all
+    keys, as the original of a group of copies does; a member first against the most met of all its
+    keys, then against those to which no link joins it yet.  Members of keys of more than PAIRWISE that are
+    still apart from it form the next round, while rounds at least halve them.  Then all pairs that share a key and that
+    no link has joined are compared, so none of them stays unjudged.  Stars make rows in proportion to
+    a key's size; the last step compares fingerprints of the members outside a key's largest component with the key's
+    others, and makes rows only of pairs that are close in them.
     """
-    close = lambda pairs: alike(pairs, sigs, docs, similarity, width, text_col)
-    sizes = durable(block_keys(sigs).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    members = durable(block_keys(sigs, filter_of(sizes.select(F.xxhash64("key").alias("x")))).join(sizes, "key"))
+    keys = blocks.select("sid", F.explode("keys").alias("key"))
+    sizes = durable(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    members = durable(keys.join(sizes, "key").select("key", "sid", "n"))
+    sets = durable(shingle_sets(docs, members.select("sid").distinct(), width, text_col))
+    close = lambda pairs: alike(durable(near_in_fingerprint(pairs, sets, similarity)), sets, similarity)
     degree = durable(members.groupBy("sid").agg(F.sum(F.col("n") - 1).alias("met")))
     best = F.max(F.struct("met", F.xxhash64("key", "sid").alias("tie"), "sid")).alias("best")
     links, live, before = None, members, None
@@ -276,34 +312,45 @@ def similar_components(sigs: DataFrame, docs: DataFrame, similarity: float, widt
         if not left or before is not None and 2 * left > before:
             break
         before = left
-    links = durable(links.unionAll(close(open_pairs(members, found))))
+    links = durable(links.unionAll(alike(durable(open_pairs(members, found, blocks, sets, similarity)), sets, similarity)))
     return connected_components(links)
 
 
-def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, component_id) at a similarity of the word shingles, by long fingerprints.
+def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, th, n, least): each distinct id and text hash, its rows, and its component's least (no_id, doc_id, th).
 
-    At two bits of 64 only texts of a similarity near one are found.  Here BLOCKS blocks of
-    BLOCK_BITS bits are read from 64 * WORDS bits of the distinct shingles: a pair of similarity 0.8
-    shares a block with a probability of 0.99.  Pairs that share one are decided by the Jaccard
-    similarity of their distinct shingles, compared by 64-bit hashes.
+    At two bits of 64 only texts of a similarity near one are found.  Here the blocks are parts of
+    the space of the distinct shingles' hashes, and the pigeonhole holds for the similarity itself: see `levels`.
+    Pairs that share a block are compared by long fingerprints and decided by the Jaccard similarity of
+    their distinct shingles' 64-bit hashes.
     """
-    prints = durable(long_fingerprints(docs, width, id_col, text_col))
-    sigs = durable(prints.groupBy("sid").agg(F.first("sig").alias("sig"), F.min("doc_id").alias("least")))
-    roots = similar_components(sigs, docs, similarity, width, text_col)
-    member = roots.join(sigs.select("sid", "least"), roots["node"] == sigs["sid"]).select("root", "sid", "least")
-    named = member.join(member.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("sid", "component_id")
-    of_sid = sigs.join(named, "sid", "left").select("sid", F.coalesce("component_id", "least").alias("component_id"))
-    return prints.join(of_sid, "sid").select("doc_id", "component_id")
+    prints = durable(block_prints(docs, width, similarity, id_col, text_col).groupBy("doc_id", "th", "sid").agg(F.first("keys").alias("keys"), F.count(F.lit(1)).alias("n")))
+    own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")
+    blocks = durable(prints.groupBy("sid").agg(F.first("keys").alias("keys"), F.min(own).alias("least")))
+    roots = similar_components(blocks, docs, similarity, width, text_col)
+    member = roots.join(blocks.select("sid", "least"), roots["node"] == blocks["sid"]).select("root", "sid", "least")
+    named = member.join(member.groupBy("root").agg(F.min("least").alias("whole")), "root").select("sid", "whole")
+    of_sid = blocks.select("sid", "least").join(named, "sid", "left").select("sid", F.coalesce("whole", "least").alias("least"))
+    return prints.select("doc_id", "th", "n", "sid").join(of_sid, "sid").select("doc_id", "th", "n", "least")
+
+
+def similar_documents(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, component_id) of each distinct id and text; component_id is the smallest id that links reach."""
+    return similar_groups(docs, width, similarity, id_col, text_col).select("doc_id", F.col("least.doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input without near-duplicates: of each component, one row of the smallest id stays."""
-    found = similar_documents(docs, width, similarity, id_col, text_col)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_stays")).agg(F.count(F.lit(1)).alias("_n"))
-    rows = whole_rows(docs).withColumn("_id", field(id_col))
-    rows = rows.join(stay, F.col("_id").eqNullSafe(F.col("_stays")))
-    return rows.where("_n = 1").select("_all.*").unionAll(rows.where("_n > 1").dropDuplicates(["_id"]).select("_all.*"))
+    """The input without near-duplicates: of each component, one row of the smallest id stays.
+
+    Rows are told apart by id and text: different texts under one id, or without an id, each stay
+    unless they are near-duplicates; of several texts of the smallest id in one component that of the
+    smallest hash stays, of equal rows any.  Null and wordless texts are one component.  Columns stay as they are.
+    """
+    found = similar_groups(docs, width, similarity, id_col, text_col)
+    stay = durable(found.where(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th") == F.col("least")).select(F.col("doc_id").alias("_stays"), F.col("th").alias("_hash"), F.col("n").alias("_n")))
+    rows = whole_rows(docs).withColumns({"_id": field(id_col), "_th": F.xxhash64(field(text_col))})
+    rows = rows.join(stay, F.col("_id").eqNullSafe(F.col("_stays")) & (F.col("_th") == F.col("_hash")))
+    return rows.where("_n = 1").select("_all.*").unionAll(rows.where("_n > 1").dropDuplicates(["_id", "_th"]).select("_all.*"))
 
 
 def hex_fingerprint(col: str = "fp") -> F.Column:
