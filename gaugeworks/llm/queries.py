@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import fold, table
 
+#: Target weights of the mix; sources that aren't named weigh 1.
+MIX = {"src0": 6.0, "src1": 2.5, "src2": 1.25, "src3": 0.4, "src4": 0.003}
 QUERIES = {}
 ORACLES = {}
 
@@ -122,11 +124,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_mixing")
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slot and place of every document in a mix of equal target weights."""
+    """Slot and place of every document in a mix of unequal target weights."""
     from gaugeworks.llm.mixing import interleave
 
     rows = table(spark, sf_dir, "documents").select("doc_id", "source", F.xxhash64("text").alias("text_hash"))
-    return interleave(rows, id_cols=("doc_id", "text_hash")).drop("text_hash")
+    return interleave(rows, MIX, id_cols=("doc_id", "text_hash")).drop("text_hash")
 
 
 @query(

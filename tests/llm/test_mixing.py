@@ -1,4 +1,3 @@
-import heapq
 from collections import Counter
 
 import pytest
@@ -9,39 +8,73 @@ from gaugeworks.llm import mixing
 from tests.llm.cases import frame, rows
 
 
-def brute_edf(counts):
-    """Slots of a period: the released block of the earliest deadline in each."""
-    q = sum(counts.values())
-    names = sorted(counts)
-    events = sorted((i * q // counts[s], -(-(i + 1) * q // counts[s]), k, i) for k, s in enumerate(names) for i in range(counts[s]))
-    out, ready = [], []
-    for t in range(q):
-        while events and events[0][0] <= t:
-            heapq.heappush(ready, events.pop(0)[1:])
-        out.append(heapq.heappop(ready))
-    return [(names[k], i, t, d) for t, (d, k, i) in enumerate(out)]
-
-
-@settings(max_examples=200, deadline=None)
-@given(st.dictionaries(st.sampled_from("abcdefgh"), st.integers(1, 3000), min_size=1), st.lists(st.floats(0.01, 100), min_size=8, max_size=8))
-def test_phases_use_every_block_once(blocks, weights):
-    planned = mixing.phases(blocks, dict(zip("abcdefgh", weights)), 64)
-    used = Counter()
+def follow(planned, chosen):
+    """Holds a schedule (slot -> source, block) against the windows and shares of its phases; returns blocks by source."""
+    used, slot = Counter(), 0
     for p in planned:
-        for s, c in p["blocks"].items():
-            used[s] += c * p["repeat"]
-    assert used == Counter(blocks) and len(planned) <= 4 * len(blocks) + 4
+        assert p["base"] == slot and p["first"] == [used[s] for s in p["names"]]
+        total, done = sum(p["w"]), Counter()
+        for t in range(p["slots"]):
+            s, block = chosen[slot]
+            w = p["w"][p["names"].index(s)]
+            assert block == used[s]
+            assert done[s] * total // w <= t < -(-(done[s] + 1) * total // w)
+            done[s] += 1
+            used[s] += 1
+            slot += 1
+            for x, y in zip(p["names"], p["w"]):
+                assert abs(done[x] * total - y * (t + 1)) < total
+    assert slot == len(chosen)
+    return used
 
 
-def test_less_than_one_block_from_the_share(spark):
-    counts = {"a": 700, "b": 200, "c": 60, "d": 20, "e": 20}
-    got = mixing.period_tables(spark, [{"blocks": counts, "repeat": 1}]).orderBy("slot").collect()
-    assert [(r.mix_source, r.i, r.slot, r.deadline) for r in got] == brute_edf(counts)
+def brute(planned):
+    """Earliest deadline first, slot by slot."""
+    chosen = {}
+    for p in planned:
+        total, n = sum(p["w"]), [0] * len(p["w"])
+        for t in range(p["slots"]):
+            _, k = min((-(-(n[k] + 1) * total // x), k) for k, x in enumerate(p["w"]) if n[k] < p["cap"][k] and n[k] * total // x <= t)
+            chosen[p["base"] + t] = (p["names"][k], p["first"][k] + n[k])
+            n[k] += 1
+    return chosen
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.dictionaries(st.sampled_from("abcdefgh"), st.integers(1, 300), min_size=1), st.lists(st.one_of(st.floats(0.001, 100), st.integers(1, 4)), min_size=8, max_size=8), st.sampled_from([1, 7, 1024]))
+def test_every_block_in_its_window_and_less_than_one_from_the_share(blocks, weights, run):
+    planned = mixing.phases(blocks, dict(zip("abcdefgh", weights)), run)
+    chosen = brute(planned)
+    assert follow(planned, chosen) == Counter(blocks) and len(planned) <= len(blocks)
+    for p in planned:
+        for r in p["runs"]:
+            done = Counter(chosen[p["base"] + t][0] for t in range(r["begin"]))
+            assert r["n"] == [done[s] for s in p["names"]]
+
+
+def test_a_thousand_sources_of_very_unequal_weights():
+    """Weights from 1e-5 to 1, exact shares, over runs of several lengths."""
+    weights = {f"s{k:04}": 10 ** (-5 * k / 999) for k in range(1000)}
+    planned = mixing.phases({s: 2 + k % 5 for k, s in enumerate(weights)}, weights, 64)
+    total = sum(planned[0]["w"])
+    assert all(abs(w / total - weights[s] / sum(weights.values())) < 1e-12 for s, w in zip(planned[0]["names"], planned[0]["w"]))
+    p = planned[0] | {"slots": min(planned[0]["slots"], 64)}
+    chosen = brute([p])
     done = Counter()
-    for r in got:
-        assert r.release <= r.slot < r.deadline
-        done[r.mix_source] += 1
-        assert all(abs(done[s] - c * (r.slot + 1) / 1000) < 1 for s, c in counts.items())
+    for t in range(p["slots"]):
+        done[chosen[t][0]] += 1
+        assert all(abs(done[s] - w * (t + 1) / total) < 1 for s, w in zip(p["names"], p["w"]))
+    assert sum(x["slots"] for x in planned) == sum(2 + k % 5 for k in range(1000))
+
+
+@pytest.mark.parametrize("run, weights", [(16, (0.3141592, 0.2718281, 1.7320508, 0.00071)), (1024, (0.5, 0.25, 1, 0.01)), (4, (5, 3, 2, 1))])
+def test_schedule_is_that_of_brute_force(spark, run, weights):
+    blocks = {"a": 200, "b": 90, "c": 40, "d": 7, "e": 30}
+    planned = mixing.phases(blocks, dict(zip("abcd", weights)) | {"e": 0}, run)
+    got = {r.slot: r for r in mixing.schedule(spark, planned).collect()}
+    assert {t: (r.mix_source, r.mix_block) for t, r in got.items()} == brute(planned)
+    assert follow(planned, {t: (r.mix_source, r.mix_block) for t, r in got.items()}) == Counter(blocks)
+    assert all(r.release <= t < r.deadline for t, r in got.items())
 
 
 @pytest.mark.parametrize("weights", [None, {"s0": 5.0, "s1": 1.0, "s2": 0.0}])
@@ -51,56 +84,18 @@ def test_interleave(spark, weights):
     got = mixing.interleave(docs, weights, block_docs=8).orderBy("mix_position").collect()
     assert sorted((r.doc_id, r.text, r.source) for r in got) == sorted(data)
     assert len({r.mix_position for r in got}) == 3000
-    sizes = Counter(s for *_, s in data)
     slots = {}
     for r in got:
         slots.setdefault(r.mix_slot, set()).add((r.mix_source, r.mix_block))
         assert r.mix_release <= r.mix_slot < r.mix_deadline
-    assert all(len(x) == 1 for x in slots.values()) and sorted(slots) == list(range(sum(-(-n // 8) for n in sizes.values())))
-    planned = mixing.phases({s: -(-n // 8) for s, n in sizes.items()}, weights or {})
-    want, at, base = {}, Counter(), 0
-    for p in planned:
-        q = sum(p["blocks"].values())
-        for k in range(p["repeat"]):
-            for s, i, t, _ in brute_edf(p["blocks"]):
-                want[base + k * q + t] = (s, at[s] + k * p["blocks"][s] + i)
-        base += q * p["repeat"]
-        for s, c in p["blocks"].items():
-            at[s] += c * p["repeat"]
-    assert {t: next(iter(x)) for t, x in slots.items()} == want
+    assert all(len(x) == 1 for x in slots.values())
+    planned = mixing.phases({s: -(-n // 8) for s, n in Counter(s for *_, s in data).items()}, weights or {})
+    assert {t: next(iter(x)) for t, x in slots.items()} == brute(planned)
 
 
-def test_edge_cases(spark, monkeypatch):
+def test_edge_cases(spark):
     docs = frame(spark)
     got = mixing.interleave(docs, {None: 3.0})
     assert got.columns[: len(docs.columns)] == docs.columns and sorted(map(str, got.select(docs.columns).collect())) == sorted(map(str, docs.collect()))
     assert mixing.interleave(frame(spark, [])).count() == 0
-    monkeypatch.setattr(mixing, "MAX_SOURCES", 1)
-    pooled = mixing.in_order(mixing.interleave(docs), 3)
-    assert pooled.count() == len(rows()) and {r.mix_source for r in pooled.collect()} >= {"\x00pool"}
-
-
-@pytest.mark.parametrize(
-    "weights, bound",
-    [({f"s{i:02}": 1.0 for i in range(20)}, 1), ({"a": 0.0001, "b": 1.0, "c": 2.0}, 2), ({"a": 0.3141592, "b": 0.2718281, "c": 1.7320508, "d": 0.00071}, 2)],
-)
-def test_deviation_from_the_original_target(weights, bound):
-    """Over many periods, until the first source ends."""
-    total = sum(weights.values())
-    blocks = {s: int(30_000 * w / total) + 1 for s, w in weights.items()}
-    done, base, worst = Counter(), 0, 0.0
-    for p in mixing.phases(blocks, weights):
-        q = sum(p["blocks"].values())
-        order = [s for s, *_ in brute_edf(p["blocks"])]
-        for _ in range(p["repeat"]):
-            for s in order:
-                done[s] += 1
-                base += 1
-                worst = max([worst, *(abs(done[x] - w * base / total) for x, w in weights.items())])
-                if done[s] == blocks[s]:
-                    break
-            if any(done[x] == n for x, n in blocks.items()):
-                break
-        if any(done[x] == n for x, n in blocks.items()):
-            break
-    assert base > 9000 and worst < bound
+    assert mixing.in_order(mixing.interleave(docs), 3).count() == len(rows())
