@@ -209,11 +209,11 @@ def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, shares: tuple[float, ...] = (1.0, 0.75, 0.5, 0.25)) -> list[tuple[int, tuple]]:
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, shares: tuple[float, ...] = (1.0, 0.75, 0.5, 0.25, 0.0)) -> list[tuple[int, tuple]]:
     """(how many sequences, their lengths as nested pairs) for a histogram of lengths.
 
     Fitted counts are tried whole and in part: the more is left for best fit, the better its short
-    pieces close the patterns' gaps.  The plan of fewest sequences counts.
+    pieces close the patterns' gaps; with none of them all is best fit.  The plan of fewest sequences counts.
     """
     return min((_plan(histogram, capacity, s) for s in shares), key=lambda p: sum(n for n, _ in p))
 

@@ -76,6 +76,59 @@ def test_units_give_the_same_ids(texts):
     assert ids.tolist() == sum(want, []) and n.tolist() == [len(x) for x in want]
 
 
+def lower_bound(histogram, capacity=4096):
+    """Martello and Toth's L2: for each limit, large pieces need a sequence each, the rest what room they leave."""
+    best = -(-sum(k * v for k, v in histogram.items()) // capacity)
+    for limit in {0, *(k for k in histogram if 2 * k <= capacity)}:
+        alone = sum(v for k, v in histogram.items() if k > capacity - limit)
+        half = [(k, v) for k, v in histogram.items() if capacity - limit >= k > capacity / 2]
+        n = sum(v for _, v in half)
+        rest = sum(k * v for k, v in histogram.items() if capacity / 2 >= k >= limit)
+        best = max(best, alone + n + max(0, -(-(rest - (n * capacity - sum(k * v for k, v in half))) // capacity)))
+    return best
+
+
+def best_fit(histogram, capacity=4096):
+    """Plain best fit, longest first, by counts."""
+    rooms = Counter()
+    for k in sorted(histogram, reverse=True):
+        n = histogram[k]
+        while n:
+            room = min((r for r in rooms if r >= k), default=None)
+            if room is None:
+                each = capacity // k
+                whole, rest = divmod(n, each)
+                rooms[capacity - each * k] += whole
+                if rest:
+                    rooms[capacity - rest * k] += 1
+                n = 0
+                continue
+            have, fit = rooms.pop(room), room // k
+            full, rest = min(have, n // fit), n % fit if n // fit < have else 0
+            used = full + (rest > 0)
+            if have > used:
+                rooms[room] += have - used
+            if full:
+                rooms[room - fit * k] += full
+            if rest:
+                rooms[room - rest * k] += 1
+            n -= full * fit + rest
+    return sum(rooms.values())
+
+
+def test_never_worse_than_best_fit():
+    rng = np.random.default_rng(11)
+    worse, gaps = 0, []
+    for _ in range(200):
+        kinds = rng.integers(2, 60)
+        most = rng.choice([600, 2000, 4096])
+        histogram = dict(zip(rng.integers(1, most + 1, kinds).tolist(), rng.integers(1, 400, kinds).tolist()))
+        n = sum(n for n, _ in packing.plan(histogram))
+        worse += n > best_fit(histogram)
+        gaps.append(n / lower_bound(histogram))
+    assert worse == 0 and np.mean(gaps) < 1.02
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 4096), st.integers(1, 5000), min_size=1, max_size=60))
 def test_plan_uses_every_piece_once(histogram):
@@ -90,7 +143,7 @@ def test_plan_uses_every_piece_once(histogram):
             total += k
         assert 0 < total <= 4096
     assert used == Counter(histogram)
-    assert sequences <= 1.5 * -(-sum(k * v for k, v in histogram.items()) // 4096) + 1 or max(histogram) > 2048
+    assert sequences <= best_fit(histogram)
 
 
 def test_plan_is_tight():
