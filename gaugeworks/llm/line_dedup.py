@@ -1,11 +1,11 @@
 """Line dedup by pairwise alignment.
 
 1. Equal texts are one: the copy of the smallest id stays, later copies are common from end to end.
-2. Lines that several texts share name candidates: a text is paired with the first text that has
-   one of its rare lines (at most RARE texts have it), and if it has none, of its rarest.  With `windows` (op5 and the pipeline) it is also
-   paired with the first text that has one of its windows: least runs of lines of MIN_BYTES, whatever their number of
-   texts; every line of a common block lies in such a window of the block.  Each
-   pair is (later, first), so pairs grow with the shared lines and not with their square.
+2. Hashes of shared lines name candidates, as pairs (later, first text that has them), so that pairs grow with the
+   shared lines and not with their square.  Hashed are windows, the least runs of lines of MIN_BYTES, whatever
+   their number of texts: every line of a common block lies in such a window of the block, so each block of
+   an earlier text is met through the first holders of its windows.  Single lines count too, where they are rare
+   (at most RARE texts have them) or the rarest that a text shares.
 3. A pair's line hashes are aligned with patience diff: lines that are unique in both are put in
    order by a longest increasing sequence, equal neighbours join them, gaps are aligned again.
 4. Aligned runs of MIN_BYTES or more are deleted from the later text.
@@ -129,7 +129,8 @@ def candidates(lines: DataFrame, rare: int = RARE, least: int = MIN_BYTES) -> Da
     """(later, first): pairs of text hashes to align."""
     own = lines.select("key", "th", F.explode(F.array_distinct(F.filter(F.arrays_zip("h", "b"), lambda x: x.b > 0))).alias("x")).select("key", "th", F.col("x.h").alias("h"), F.col("x.b").alias("b"))
     own = durable(own.groupBy("h", "th").agg(F.min("key").alias("key"), F.max("b").alias("b")))
-    shared = own.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("key", "th")).alias("first")).where("df > 1")
+    # written, so that the join can split the rows of a line that very many texts have
+    shared = durable(own.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("key", "th")).alias("first")).where("df > 1"))
     both = own.join(shared, "h")
     both = both.where(F.struct("key", "th") > F.col("first"))
     # bytes in shared lines bound any block; each first text once, by its rarest line
@@ -170,14 +171,15 @@ def window_candidates(lines: DataFrame, least: int = MIN_BYTES) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(made)], ["key", "th", "w"])
 
     own = durable(lines.select("key", "th", "h", "b").mapInArrow(run, "key bigint, th bigint, w bigint").groupBy("w", "th").agg(F.min("key").alias("key")))
-    shared = own.groupBy("w").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("key", "th")).alias("first")).where("df > 1")
+    shared = durable(own.groupBy("w").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("key", "th")).alias("first")).where("df > 1"))
     both = own.join(shared, "w").where(F.struct("key", "th") > F.col("first"))
     return both.select(F.col("th").alias("later"), F.col("first.th").alias("first")).distinct()
 
 
 def common_blocks(lines: DataFrame, pairs: DataFrame, least: int = MIN_BYTES) -> DataFrame:
     """(later, spans): line ranges of the later text to delete."""
-    texts = lines.select("th", "h", "b").dropDuplicates(["th"])
+    used = pairs.select(F.col("later").alias("th")).unionAll(pairs.select(F.col("first").alias("th"))).distinct()
+    texts = durable(lines.select("th", "h", "b").join(used, "th", "left_semi").dropDuplicates(["th"]))
     later = texts.select(F.col("th").alias("later"), F.col("h").alias("lh"), F.col("b").alias("lb"))
     first = texts.select(F.col("th").alias("first"), F.col("h").alias("fh"))
 
@@ -195,15 +197,17 @@ def common_blocks(lines: DataFrame, pairs: DataFrame, least: int = MIN_BYTES) ->
     return found.groupBy("later").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: int = RARE, least: int = MIN_BYTES, windows: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: int = RARE, least: int = MIN_BYTES, windows: bool = True) -> DataFrame:
     """The input with the text that is left, and dedup_lines, dedup_removed, dedup_copy.
 
-    Without `windows`, passages that more than `rare` texts share may stay where a text also shares a rarer line.
+    Without `windows`, single lines alone name candidates: cheaper, but a passage may stay that more than `rare` texts
+    share, or whose lines the first holders don't have together.
     """
     lines = durable(line_table(docs, id_col, text_col))
     pairs = candidates(lines, rare, least)
     if windows:
         pairs = pairs.unionAll(window_candidates(lines, least)).distinct()
+    pairs = durable(pairs)
     spans = common_blocks(lines, pairs, least).withColumnRenamed("later", "_th").withColumnRenamed("spans", "_spans")
     firsts = lines.groupBy(F.col("th").alias("_th")).agg(F.min("key").alias("_first"))
     info = durable(firsts.join(spans, "_th", "left"))

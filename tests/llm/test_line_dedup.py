@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -21,7 +22,33 @@ def test_increasing():
     assert ld._increasing([(0, 3), (1, 1), (2, 2), (3, 9), (4, 4), (5, 5)]) == [(1, 1), (2, 2), (4, 4), (5, 5)]
 
 
-def brute(data, rare=ld.RARE, least=ld.MIN_BYTES):
+def least_runs(sizes, least):
+    """Least runs (from, past) of lines of `least` bytes from each line on and up to each line."""
+    out = set()
+    for i in range(len(sizes)):
+        for step in (1, -1):
+            j, total = i, 0
+            while 0 <= j < len(sizes):
+                total += sizes[j]
+                if total >= least:
+                    out.add((min(i, j), max(i, j) + 1))
+                    break
+                j += step
+    return out
+
+
+def distinct_texts(data):
+    """Distinct texts in order of their least id, as (text, stripped lines, line sizes)."""
+    key = lambda i: ld._LAST if i is None else i
+    first = {}
+    for i, t in data:
+        if t is not None:
+            first[t] = min(first.get(t, ld._LAST), key(i))
+    made = [(t, [x.strip(" \t\n\x0b\x0c\r") for x in t.split("\n")]) for t in sorted(first, key=lambda t: first[t])]
+    return [(t, lines, [len(x.encode()) for x in lines]) for t, lines in made]
+
+
+def brute(data, rare=ld.RARE, least=ld.MIN_BYTES, windows=True):
     """The same rules over all texts in plain loops; strings for hashes."""
     key = lambda i: ld._LAST if i is None else i
     first = {}
@@ -34,7 +61,13 @@ def brute(data, rare=ld.RARE, least=ld.MIN_BYTES):
     for t in texts:
         for x in set(lines[t]) - {""}:
             holders.setdefault(x, []).append(t)
-    gone = {}
+    gone, seen = {}, {}
+    for t, own, sizes in distinct_texts(data) if windows else ():
+        found = {tuple(own[a:z]) for a, z in least_runs(sizes, least)}
+        for e in {seen[w] for w in found if w in seen}:
+            gone.setdefault(t, []).extend(ld.blocks(ld.align(own, lines[e]), sizes, least))
+        for w in found:
+            seen.setdefault(w, t)
     for t in texts:
         mine = [(len(holders[x]), holders[x][0], len(x.encode())) for x in set(lines[t]) - {""} if len(holders[x]) > 1 and holders[x][0] != t]
         if sum(b for *_, b in mine) < least:
@@ -84,6 +117,32 @@ def test_documents(spark):
     assert result(ld.dedup_lines(docs)) == sorted(brute(data), key=str)
 
 
+def test_recall_against_all_pairs(spark):
+    """Lines in a run of MIN_BYTES that any earlier text has too, and how many of them go."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    data = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    left = {r.doc_id: r.text for r in ld.dedup_lines(docs).collect()}
+    seen, common, gone, kept = set(), 0, 0, {}
+    for i, t in sorted(data, key=lambda r: r[0]):
+        kept.setdefault(t, left[i])
+    for t, lines, sizes in distinct_texts(data):
+        found = least_runs(sizes, ld.MIN_BYTES)
+        covered = {k for a, z in found if tuple(lines[a:z]) in seen for k in range(a, z) if sizes[k]}
+        seen |= {tuple(lines[a:z]) for a, z in found}
+        common += len(covered)
+        if covered:
+            gone += min(len(covered), sum(n > 0 for n in sizes) - sum(x.strip(" \t\n\x0b\x0c\r") != "" for x in kept[t].split("\n")))
+    assert common > 100 and gone >= 0.98 * common
+
+
+@pytest.mark.parametrize("windows", [False, True])
+def test_block_whose_lines_occurred_apart_before(spark, windows):
+    a, b, c = (f"line {k} of a block that has one hundred and forty bytes" for k in "abc")
+    data = [(1, a + "\nx"), (2, b + "\ny"), (3, c + "\nz"), (4, "\n".join(["own 4", a, b, c])), (5, "\n".join([a, b, c, "own 5"]))]
+    texts = dict(result(ld.dedup_lines(spark.createDataFrame(data, "doc_id long, text string"), windows=windows)))
+    assert texts[4] == data[3][1] and texts[5] == ("own 5" if windows else data[4][1])
+
+
 def test_edge_cases(spark):
     docs = frame(spark)
     got = ld.dedup_lines(docs)
