@@ -26,15 +26,20 @@ PATTERNS = (
     ("price_bracket", (r"under[- ]?\$?\d+", r"budget", r"cheap"), True),
 )
 FALLBACK_TYPE = "informational"
-# Fixed value: slugs typed by hand.
-OVERRIDES = {"compact-fabric-steamer-for-trips": ("buying_guide", True)}
+# Slugs typed by hand, with their content type and whether a decision page.
+OVERRIDES = {
+    "compact-fabric-steamer-for-trips": ("buying_guide", True),
+    "multi-purpose-fabric-steamer-guide": ("buying_guide", True),
+    "Ecommerce-Beginners-Guide-How-to-use-a-steamer": ("informational", False),
+}
 
 # Word lists.
 QUESTION_WORDS = ("who", "what", "why", "how", "when", "which", "is", "does", "can")
 GIFT_PHRASES = ("gift", "for him", "for her", "present")
-STOPWORDS = tuple(
-    "the a an and or but of to in on for with is are was were be been it its this that as at by from "
-    "your you will can if not so than into up out about then also our we".split()
+STOPWORDS = (
+    "the", "a", "an", "and", "or", "but", "of", "to", "in", "on", "for", "with", "is", "are", "was", "were", "be", "been", "it", "its",
+    "this", "that", "as", "at", "by", "from", "your", "you", "will", "can", "if", "not", "so", "than", "into", "up", "out", "about",
+    "then", "also", "our", "we",
 )
 EXPECTED_SCHEMA = ("Article", "FAQPage", "BreadcrumbList")
 COLOURS = ("black", "silver", "blue", "green", "red coral", "yellow", "aqua green", "copper", "metal", "white")
@@ -42,6 +47,16 @@ REVIEW_START = ("reviews", "customer reviews", "rating snapshot", "ratings & rev
 REVIEW_END = ("faq", "faqs", "frequently asked questions")
 FAQ_HEADINGS = ("FAQ", "FAQS", "FREQUENTLY ASKED QUESTIONS")
 BLOCK_WORDS = ("access denied", "just a moment", "attention required", "captcha", "forbidden", "are you a robot")
+# What a page capture leaves out, where it looks, and which elements are blocks.
+SKIP_TAGS = ("header", "nav", "footer", "script", "style", "noscript")
+SKIP_ATTRIBUTES = (("role", "dialog"), ("aria-modal", "true"))
+SKIP_MARKED = "data-bv-show"
+SKIP_IDS = ("BVRR", "bv-")
+SKIP_CLASSES = ("bv-cv2", "bv_main")
+MAIN_TAG, MAIN_ID, MAIN_CLASS = "main", "maincontent", "page-main"
+BLOCK_TAGS = ("h1", "h2", "h3", "h4", "p", "li", "td", "th", "dt", "dd", "figcaption", "blockquote", "label")
+LEAF_TAGS = ("div", "span")
+HEADING_TAGS = ("h1", "h2", "h3", "h4")
 SPEC_RESERVED = ("category", "product_name", "sku", "url", "source", "last_verified")
 QUESTION_KEYS = ("isA", "used_for_audience", "used_for_function", "used_for_event", "capable_of", "cause_benefit")
 EDIT_ACTIONS = ("replace", "add", "remove")

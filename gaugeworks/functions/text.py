@@ -105,7 +105,7 @@ def top_count(tokens: Column) -> Column:
         run = F.when(s.w == x, s.run + 1).otherwise(F.lit(1))
         return F.struct(x.alias("w"), run.alias("run"), F.greatest(s.best, run).alias("best"))
 
-    return F.aggregate(F.array_sort(tokens), start, step, lambda s: s.best)
+    return F.aggregate(F.sort_array(tokens), start, step, lambda s: s.best)
 
 
 def density(tokens: Column) -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.text import squash, term_pattern
+from gaugeworks.operators.relational import GateError
+from gaugeworks.session import materialise
 
 
 def prefix_pairs(left: DataFrame, right: DataFrame, a: str, b: str, n: int = 35) -> DataFrame:
@@ -35,6 +37,22 @@ def scan_terms(lines: DataFrame, text: str, terms: Sequence[str], whole_word_max
     return lines.withColumn("term", F.explode(hits))
 
 
+def scan_report(files: DataFrame, terms: Sequence[str], text: str = "text", path: str = "path", block: int = 500) -> tuple[DataFrame, int, int]:
+    """(path, line, term) of every hit, the number of hits and of files; nothing scanned is an error, as nothing is certified then.
+
+    Terms go in blocks, so that a plan's size is bounded whatever their number.
+    """
+    scanned = files.count()
+    if not scanned:
+        raise GateError("no files were scanned")
+    rows, out = numbered_lines(files, text, path), None
+    for k in range(0, len(terms), block):
+        part = scan_terms(rows, "content", terms[k : k + block]).select(path, "line", "term")
+        out = part if out is None else out.unionAll(part)
+    out = materialise(out)
+    return out, out.count(), scanned
+
+
 def numbered_lines(files: DataFrame, text: str = "text", path: str = "path") -> DataFrame:
     """(path, line, content): line 0 is the path itself."""
     from gaugeworks.functions.text import lines as split
@@ -49,16 +67,24 @@ def audit_quotes(quotes: DataFrame, pages: DataFrame, key: str, quote: str, page
     return quotes.join(texts, key, "left").withColumn("found", F.coalesce(F.contains("_page", squash(F.col(quote))), F.lit(False))).drop("_page")
 
 
-def contained(needles: Sequence[tuple], haystack: DataFrame, text: str, name: str = "needle_id", block: int = 256) -> DataFrame:
-    """Rows of `haystack` for each needle (id, string) that stands in their text.
+def _windows(words: Column, first: int, past: Column) -> Column:
+    """Hashes of three words in a row, from word `first` on."""
+    return F.transform(F.sequence(F.lit(first), past), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
+
+
+def contained(needles: DataFrame, haystack: DataFrame, text: str, needle: str = "needle", name: str = "needle_id", key: str = "doc_id") -> DataFrame:
+    """Pairs (name, key) of the needles that stand in a text, word borders or not.
 
-    The needles are a stated query set.  They run against all rows in blocks of literals, so a
-    block's plan has a bounded size and nothing is joined.
+    A needle's words but the first and the last must be whole words of the text, so its second to fourth
+    name candidates by an equi-join on their hash; those are then compared in full.  Needles of
+    fewer than five words are compared with each text: they are a stated query set, in one block.
     """
-    out = None
-    for k in range(0, len(needles), block):
-        part = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(s).alias("s")) for i, s in needles[k : k + block]])
-        hits = F.filter(part, lambda x: F.contains(F.col(text), x.s))
-        rows = haystack.withColumn("_hit", F.explode(hits)).withColumn(name, F.col("_hit.i")).drop("_hit")
-        out = rows if out is None else out.unionAll(rows)
-    return haystack.where("false").withColumn(name, F.lit(None).cast("long")) if out is None else out
+    split = lambda col: F.split(col, r"(?U)\s+")
+    own = needles.select(F.col(name), F.col(needle).alias("_needle")).where("_needle is not null and _needle <> ''").withColumn("_w", split("_needle"))
+    hay = haystack.select(F.col(key), F.col(text).alias("_text")).where("_text is not null")
+    long = own.where(F.size("_w") >= 5).select(name, "_needle", _windows(F.col("_w"), 1, F.lit(1)).getItem(0).alias("_h"))
+    words = hay.withColumn("_w", split("_text")).where(F.size("_w") >= 3)
+    found = words.select(key, "_text", F.explode(F.array_distinct(_windows(F.col("_w"), 0, F.size("_w") - 3))).alias("_h")).join(long, "_h").where(F.contains("_text", F.col("_needle")))
+    few = own.where(F.size("_w") < 5).select(name, "_needle")
+    short = hay.join(few, F.contains("_text", F.col("_needle")))
+    return found.select(name, key).unionAll(short.select(name, key))

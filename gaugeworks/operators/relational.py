@@ -102,10 +102,21 @@ def value_counts(df: DataFrame, key: str) -> DataFrame:
 
 def describe(df: DataFrame, column: str) -> DataFrame:
     """count, mean, std, min, quartiles (exact, linear) and max."""
-    q = F.percentile(F.col(column), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return df.agg(F.count(column).alias("count"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.min(column).alias("min"), q.alias("_q"), F.max(column).alias("max")).select(
-        "count", "mean", "std", "min", F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max"
-    )
+    whole = df.agg(F.count(column).alias("count"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.min(column).alias("min"), F.max(column).alias("max"))
+    return whole.crossJoin(quantiles(df, column, {"p25": 0.25, "p50": 0.5, "p75": 0.75})).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
+def quantiles(df: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
+    """One row of exact quantiles, linear between neighbours.  Values are ranked by a range sort, not gathered in one task."""
+    ranked = global_rank(df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("_v")), F.col("_v"), name="_rank")
+    n = ranked.count()
+    cells = []
+    for name, share in shares.items():
+        at = share * (n - 1)
+        low = int(at)
+        x, y = (F.max(F.when(F.col("_rank") == k, F.col("_v"))) for k in (low + 1, min(low + 2, max(n, 1))))
+        cells.append((x + (y - x) * (at - low)).alias(name))
+    return ranked.agg(*cells)
 
 
 def gaps(df: DataFrame, key: str, expected: Sequence[str], least: int = 1) -> DataFrame:
@@ -139,7 +150,8 @@ def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
 
 def gsc_signals(df: DataFrame, position: str, impressions: str, ctr: str) -> DataFrame:
     """striking_distance: a position in 5..20; low_ctr_high_impr: impressions above, rate below the medians."""
-    mid = df.agg(F.median(impressions).alias("_median_i"), F.median(ctr).alias("_median_c"))
+    df = materialise(df)
+    mid = quantiles(df, impressions, {"_median_i": 0.5}).crossJoin(quantiles(df, ctr, {"_median_c": 0.5}))
     out = df.crossJoin(F.broadcast(mid))  # one row of medians
     return out.withColumns({"striking_distance": F.col(position).between(5, 20), "low_ctr_high_impr": (F.col(impressions) > F.col("_median_i")) & (F.col(ctr) < F.col("_median_c"))}).drop("_median_i", "_median_c")
 

@@ -56,14 +56,21 @@ def reindex(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str =
 
 
 def drag_fill(df: DataFrame, file: str, row: str, category: str, values: Sequence[str], least: int = 2, step: float = 1.0) -> DataFrame:
-    """Rows of which `least` values are exactly `step` over the row above in the file, if that is of the same category."""
-    w = Window.partitionBy(file).orderBy(row)
-    above = F.lag(F.struct(category, *values)).over(w)
-    df = df.withColumn("_above", above)
+    """Rows of which `least` values are exactly `step` over the row above in the file, if that is of the same category.
+
+    `row` counts a file's rows without gaps (`relational.global_rank` makes such numbers).
+    """
+    df = adjacent(df, [file], row, [category, *values], "_above")
     hits = F.filter(F.array(*[F.when(F.col(v) - F.col("_above")[v] == step, F.lit(v)) for v in values]), lambda x: x.isNotNull())
     return df.where(F.col("_above")[category] == F.col(category)).withColumn("hits", hits).where(F.size("hits") >= least).drop("_above")
 
 
+def adjacent(df: DataFrame, by: Sequence[str], row: str, columns: Sequence[str], name: str = "above") -> DataFrame:
+    """Adds a struct of the columns of the row above, by a join on consecutive row numbers: no window, so an entity may have any number of rows."""
+    above = df.select(*by, (F.col(row) + 1).alias(row), F.struct(*columns).alias(name))
+    return df.join(above, [*by, row], "left")
+
+
 def streaks(df: DataFrame, by: Sequence[str], order: Sequence[str], fails: Column, least: int = 2) -> DataFrame:
     """Runs of `least` or more failures in a row: by, run, n."""
     marked = df.withColumn("_fails", F.coalesce(fails, F.lit(False)))

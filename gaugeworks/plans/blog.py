@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.config import PATTERNS, WEIGHTS, Rubric
+from gaugeworks.config import PATTERNS, Rubric
 from gaugeworks.functions import html
 from gaugeworks.functions import text as t
 from gaugeworks.operators import constraints as k
@@ -91,8 +91,13 @@ def focus_block() -> Column:
     )
 
 
-def prompts(worklist: DataFrame, pages: DataFrame, focus: DataFrame, spec_text: str = "", vocabulary: str = "", slug: str | None = None) -> DataFrame:
-    """(slug, priority_rank, prompt, ...): page facts, text and focus of each worklist row, the last focus row of a slug counting."""
+def prompts(worklist: DataFrame, pages: DataFrame, focus: DataFrame, spec_text: str = "", vocabulary: str = "", slug: str | None = None, url_prefix: str = "") -> DataFrame:
+    """(slug, priority_rank, prompt, ...): page facts, text and focus of each worklist row, the last focus row of a slug counting.
+
+    A worklist without urls gets them from `url_prefix` and the slug.
+    """
+    own_url = F.concat(F.lit(url_prefix), "slug")
+    worklist = worklist.withColumn("url", F.coalesce("url", own_url) if "url" in worklist.columns else own_url)
     rows = worklist.where(F.lower("slug") == slug.lower()) if slug else worklist
     own = focus.where(F.upper(F.btrim("refocus")) == "YES").withColumns({"_k": F.lower("slug"), "_o": F.monotonically_increasing_id()}).drop("slug")
     df = r.lookup_last(rows.withColumn("_k", F.lower("slug")), own, "_k", "_o").drop("_k")
@@ -157,7 +162,3 @@ def brief_markdown() -> Column:
     have = F.filter(rows, lambda x: ~k.blank(x.b))
     body = F.array_join(F.transform(have, lambda x, i: F.concat(F.lit("## "), (i + 1).cast("string"), F.lit(". "), x.h, F.lit("\n"), x.b)), "\n\n")
     return F.concat(F.lit("# "), "slug", F.lit("\n\nScore: "), F.coalesce(F.col("geo_score").cast("string"), F.lit("none")), F.lit(" (rank "), F.col("priority_rank").cast("string"), F.lit(")\nWeakest: "), F.coalesce("weakest_criteria", F.lit("")), F.lit("\n\n"), body)
-
-
-def subscore_columns() -> list[str]:
-    return list(WEIGHTS)

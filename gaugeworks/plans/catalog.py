@@ -268,8 +268,8 @@ def priority_rank4(spark, d):
 )
 def drag_fill(spark, d):
     """Rows one over the row above in two columns."""
-    p = _t(spark, d, "part").select("p_partkey", "p_type", "p_size", F.lit(0).alias("file"))
-    return q.drag_fill(p, "file", "p_partkey", "p_type", ["p_partkey", "p_size"]).select("p_partkey")
+    p = r.global_rank(_t(spark, d, "part").select("p_partkey", "p_type", "p_size", F.lit(0).alias("file")), F.col("p_partkey"), name="row")
+    return q.drag_fill(p, "file", "row", "p_type", ["p_partkey", "p_size"]).select("p_partkey")
 
 
 _EVENT_ORDER = "partition by user_id order by ts, event_id"
@@ -453,9 +453,8 @@ def prefix_match(spark, d):
 
 @query("select item_id, doc_id from benchmark join documents on contains(documents.text, benchmark.text)")
 def quote_audit(spark, d):
-    """Benchmark passages that stand in documents: a query set in blocks against all rows."""
-    needles = [(x.item_id, x.text) for x in _t(spark, d, "benchmark").where("text is not null").collect()]
-    return m.contained(needles, _t(spark, d, "documents").select("doc_id", "text"), "text", "item_id").select("item_id", "doc_id")
+    """Benchmark passages that stand in documents: candidates by three words, then the whole passage."""
+    return m.contained(_t(spark, d, "benchmark"), _t(spark, d, "documents"), "text", "text", "item_id")
 
 
 @query("select conv_id, turn, contains(regexp_replace(a.text, '\\s+', ' ', 'g'), trim(regexp_replace(substring(b.text, 3, 20), '\\s+', ' ', 'g'))) as found from conversations b left join (select conv_id, text from conversations where turn = 0) a using (conv_id)")

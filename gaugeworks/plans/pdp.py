@@ -76,6 +76,21 @@ def check_scores(files: DataFrame, groups: DataFrame, pages: DataFrame) -> DataF
     return k.validate_scores(rows.withColumns({"known": F.coalesce("known", F.lit(False)), "captured": F.col("page").isNotNull()}))
 
 
+def score_counts(checked: DataFrame, groups: DataFrame) -> DataFrame:
+    """One row: groups with a valid score, files that aren't valid, groups not scored yet."""
+    files = checked.agg(F.count_if(F.size("errors") == 0).alias("valid"), F.count_if(F.size("errors") > 0).alias("invalid"))
+    left = groups.select(F.col("variant_group").alias("file")).distinct().join(checked.select("file"), "file", "left_anti").agg(F.count(F.lit(1)).alias("not_scored"))
+    return files.crossJoin(left)  # one row each
+
+
+def select_groups(index: DataFrame, group: str | None = None, refresh: bool = False, done: DataFrame | None = None) -> DataFrame:
+    """The groups to work on: one by name, or all; those that are done only if asked to do them again."""
+    rows = index.where(F.col("variant_group") == group) if group else index
+    if group and rows.isEmpty():
+        raise r.GateError(f"unknown group: {group}")
+    return rows if refresh or done is None else r.skip_done(rows, done, "variant_group")
+
+
 def check_briefs(files: DataFrame, groups: DataFrame, pages: DataFrame, scores: DataFrame) -> DataFrame:
     """Brief files with errors; one without index row, page or score is INVALID as such."""
     known = groups.groupBy(F.col("variant_group").alias("file")).agg(F.first("category").alias("category"), F.first("priority").alias("priority"))

@@ -17,12 +17,14 @@ def session(app: str = "gaugeworks", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a temporary folder only where none is set, as in tests."""
+    """spark.checkpoint.dir; a temporary folder only where none is set and all runs on one machine, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="gaugeworks-"))
     return sc.getCheckpointDir().rstrip("/")
 

@@ -36,6 +36,12 @@ def write_version(df: DataFrame, base: str) -> str:
     return path
 
 
+def has_version(spark: SparkSession, base: str) -> bool:
+    """Whether a version was written, by the file system that the path belongs to."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/current")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def read_version(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(spark.read.text(f"{base}/current").first().value)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugeworks.sources.sinks import read_version, write_version
+from gaugeworks.sources.sinks import has_version, read_version, write_version
 
 
 def capture_stream(spark: SparkSession, folder: str, schema: str, per_batch: int = 1000) -> DataFrame:
@@ -27,12 +27,7 @@ def upsert_into(stream: DataFrame, base: str, key: str, order: str, checkpoint:
 
     def each(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        try:
-            old = read_version(spark, base)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = None
+        old = read_version(spark, base) if has_version(spark, base) else None
         write_version(upsert_batch(old, batch, key, order), base)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)

@@ -257,13 +257,16 @@ def test_brief_rules(spark):
     assert got == [[], ["B1", "B3", "B4", "B5", "B6", "B7", "B8", "B9", "B10", "B11", "B12", "B13", "B14"], ["B2"]]
 
 
-def test_deny_list_of_too_many_terms(spark, tmp_path):
+def test_long_deny_list(spark, tmp_path):
+    """All terms count, and an empty tree certifies nothing."""
     from gaugeworks.operators.relational import GateError
     from gaugeworks.sources import readers
 
     path = tmp_path / "deny.txt"
-    path.write_text("\n".join(f"term {i}" for i in range(10_000)))
-    assert len(readers.deny_terms(spark, str(path))) == 10_000
     path.write_text("\n".join(f"term {i}" for i in range(10_001)))
+    assert len(readers.deny_terms(spark, str(path))) == 10_001
+    files = spark.createDataFrame([("a.txt", "one term 7\ntwo"), ("acme/b.txt", "clean")], "path string, text string")
+    found, hits, scanned = m.scan_report(files, ["term 7", "acme", "absent"], block=2)
+    assert sorted(map(tuple, found.collect())) == [("a.txt", 1, "term 7"), ("acme/b.txt", 0, "acme")] and (hits, scanned) == (2, 2)
     with pytest.raises(GateError):
-        readers.deny_terms(spark, str(path))
+        m.scan_report(files.limit(0), ["x"])
