@@ -25,6 +25,12 @@ REPLY_SCHEMA = (
 )
 
 
+def whole_score(c: Column) -> Column:
+    """0..3 of a score's text, else null; true and false are 1 and 0."""
+    text = F.lower(F.trim(c))
+    return F.when(text.isin("0", "1", "2", "3"), text.try_cast("int")).when(text == "true", F.lit(1)).when(text == "false", F.lit(0))
+
+
 def blank(c: Column) -> Column:
     return F.coalesce(strip(c), F.lit("")) == ""
 
@@ -44,8 +50,20 @@ def _keys_differ(m: Column, keys: Sequence[str]) -> Column:
     return F.coalesce(F.array_sort(F.map_keys(m)) != F.array(*map(F.lit, sorted(keys))), F.lit(True))
 
 
-def score_errors(keys: Sequence[str] = QUESTION_KEYS) -> Column:
-    """Of a row with file, variant_group, known, captured, page, parsed and questions; stops at an unknown or uncaptured group."""
+def _no_list(raw: Column | None, path: str) -> Column:
+    """Whether a value of a JSON text is there and no list; without the text it can't be told from one that is missing."""
+    if raw is None:
+        return F.lit(False)
+    v = F.try_variant_get(F.try_parse_json(raw), path, "variant")
+    return v.isNotNull() & ~F.schema_of_variant(v).startswith("ARRAY")
+
+
+def score_errors(keys: Sequence[str] = QUESTION_KEYS, raw: Column | None = None) -> Column:
+    """Of a row with file, variant_group, known, captured, page, parsed and questions; stops at an unknown or uncaptured group.
+
+    A question without a whole score isn't looked at further, nor one whose evidence is no list; a missing
+    question has no score, missing evidence is an empty list.  true and false count as 1 and 0.
+    """
     q = F.col("questions")
     page = squash(F.coalesce("page", F.lit("")))
     valid = messages(("V1", ~F.col("parsed"), "not valid JSON"), ("V2", F.col("parsed") & ~F.col("variant_group").eqNullSafe(F.col("file")), "group differs from the file's name"))
@@ -53,14 +71,14 @@ def score_errors(keys: Sequence[str] = QUESTION_KEYS) -> Column:
     parts = [messages(("V5", _keys_differ(q, keys), "questions are not the six"))]
     for k in keys:
         x = F.try_element_at(q, F.lit(k))
-        n = F.when(x["score"].rlike(r"^\s*[0-3]\s*$"), x["score"].cast("int"))
-        have = x.isNotNull()
-        evidence = x["evidence"]
-        quotes = F.coalesce(evidence, F.array().cast("array<struct<quote:string>>"))
+        n = whole_score(x["score"])
+        listed = ~_no_list(raw, f"$.questions.{k}.evidence")
+        have = n.isNotNull() & listed
+        quotes = F.when(have, F.coalesce(x["evidence"], F.array().cast("array<struct<quote:string>>"))).otherwise(F.array().cast("array<struct<quote:string>>"))
         parts.append(
             messages(
-                ("V6", have & n.isNull(), F.concat(F.lit(f"{k}: score "), F.coalesce(x["score"], F.lit("null")))),
-                ("V7", have & evidence.isNull(), f"{k}: evidence is no list"),
+                ("V6", n.isNull(), F.concat(F.lit(f"{k}: score "), F.coalesce(x["score"], F.lit("null")))),
+                ("V7", n.isNotNull() & ~listed, f"{k}: evidence is no list"),
                 ("V8", have & (n > 0) & (F.size(quotes) == 0), f"{k}: a score without a quote"),
                 ("V11", have & (n < 3) & blank(x["gap"]), f"{k}: no gap"),
             )
@@ -72,20 +90,20 @@ def score_errors(keys: Sequence[str] = QUESTION_KEYS) -> Column:
             ),
         )
         parts.append(F.filter(each, lambda e: e.isNotNull()))
-    parts.append(messages(("V12", F.try_element_at(q, F.lit("capable_of")).isNotNull() & F.try_element_at(q, F.lit("capable_of"))["missing_attributes"].isNull(), "capable_of: missing_attributes is no list")))
+    parts.append(messages(("V12", F.try_element_at(q, F.lit("capable_of"))["missing_attributes"].isNull(), "capable_of: missing_attributes is no list")))
     return F.concat(valid, F.when(~F.col("parsed"), stop).when(F.size(stop) > 0, stop).otherwise(F.concat(*parts)))
 
 
 def validate_scores(scores: DataFrame) -> DataFrame:
     """Adds errors, and cosmo_score and missing where there is none."""
-    df = scores.withColumn("errors", score_errors())
-    six = F.transform(F.map_values("questions"), lambda x: F.coalesce(x["score"].try_cast("int"), F.lit(0)))
+    df = scores.withColumn("errors", score_errors(raw=F.col("raw") if "raw" in scores.columns else None))
+    six = F.transform(F.map_values("questions"), lambda x: F.coalesce(whole_score(x["score"]), F.lit(0)))
     ok = F.size("errors") == 0
     return df.withColumns({"cosmo_score": F.when(ok, cosmo(six)), "missing": F.when(ok, F.size(F.try_element_at("questions", F.lit("capable_of"))["missing_attributes"]))})
 
 
-def brief_errors(keys: Sequence[str] = QUESTION_KEYS, actions: Sequence[str] = EDIT_ACTIONS) -> Column:
-    """Of a row with group, page and the brief's columns."""
+def brief_errors(keys: Sequence[str] = QUESTION_KEYS, actions: Sequence[str] = EDIT_ACTIONS, raw: Column | None = None) -> Column:
+    """Of a row with group, page and the brief's columns.  An edit's questions may be an empty list, the owner's may be missing."""
     page = squash(F.coalesce("page", F.lit("")))
     allowed = F.array(*map(F.lit, keys))
     edits = F.coalesce("edits", F.array().cast(f"array<{EDIT_SCHEMA}>"))
@@ -100,17 +118,22 @@ def brief_errors(keys: Sequence[str] = QUESTION_KEYS, actions: Sequence[str] = E
             ("B6", replaces & ~blank(e["current"]) & ~F.contains(page, squash(e["current"])), at),
             ("B7", adds & blank(e["new"]), at),
             ("B8", blank(e["why"]), at),
-            ("B9", F.coalesce(F.size(e["questions"]) == 0, F.lit(True)) | F.exists(e["questions"], lambda x: ~F.array_contains(allowed, x)), at),
+            ("B9", e["questions"].isNull() | F.exists(e["questions"], lambda x: ~F.array_contains(allowed, x)), at),
         )
 
     asks = F.coalesce("for_client_editor", F.array().cast("array<struct<ask:string,if_confirmed:string,if_not:string>>"))
+
+    def of_ask(a: Column, i: Column) -> Column:
+        at = lambda part: F.concat(F.lit("ask "), (i + 1).cast("string"), F.lit(f": {part}"))
+        return messages(*[("B11", blank(a[part]), at(part)) for part in ("ask", "if_confirmed", "if_not")])
+
     return F.concat(
         messages(("B1", ~F.col("variant_group").eqNullSafe(F.col("file")), "group differs from the file's name"), ("B2", F.size(edits) == 0, "no edit")),
         F.flatten(F.transform(edits, of_edit)),
+        F.flatten(F.transform(asks, of_ask)),
         messages(
             ("B10", F.col("warnings").isNotNull(), "warnings is a key of old"),
-            ("B11", F.exists(asks, lambda a: blank(a["ask"]) | blank(a["if_confirmed"]) | blank(a["if_not"])), "an ask is not whole"),
-            ("B12", F.col("for_owner").isNull(), "for_owner is no list"),
+            ("B12", _no_list(raw, "$.for_owner"), "for_owner is no list"),
             ("B13", F.col("gifting_bullet").isNull() | blank(F.col("gifting_bullet.where")) | blank(F.col("gifting_bullet.text")), "no gifting bullet"),
             ("B14", _keys_differ(F.col("target_scores"), keys), "targets are not the six"),
         ),
@@ -135,10 +158,10 @@ def reply_warnings() -> Column:
     return F.concat(F.coalesce("warnings", F.array().cast("array<string>")), F.filter(own, lambda x: x.isNotNull()))
 
 
-def refocus_warnings(intent: Column, fan_outs: Sequence[Column], least: int = 4) -> Column:
-    """A refocused page must be informational and have its fan-outs."""
-    have = sum((F.when(~blank(c), 1).otherwise(0) for c in fan_outs), F.lit(0))
-    return F.filter(F.array(F.when(F.lower(strip(intent)) != "informational", F.lit("Refocus intent is not informational.")), F.when(have < least, F.concat(F.lit("Refocus has "), have, F.lit(f" fan-outs (min {least}).")))), lambda x: x.isNotNull())
+def refocus_warnings(intent: Column, answers: Column, least: int = 4) -> Column:
+    """A refocused page must be informational, and its reply answer the fan-outs."""
+    have = F.coalesce(F.size(answers), F.lit(0))
+    return F.filter(F.array(F.when(F.coalesce(F.lower(strip(intent)), F.lit("")) != "informational", F.lit("Refocus intent is not informational.")), F.when(have < least, F.concat(F.lit("Refocus has "), have, F.lit(f" fan-out answers (min {least}).")))), lambda x: x.isNotNull())
 
 
 def vocabulary_audit(texts: DataFrame, key: str, header: str, body: str, vocabulary: Sequence[tuple[str, str, Sequence[str]]], banned: Sequence[str] = ()) -> DataFrame:

@@ -139,7 +139,7 @@ def payloads(replies: DataFrame) -> DataFrame:
     df = df.withColumn("parsed", F.try_parse_json(t.strip_fence(F.col("reply"))).isNotNull())
     own = [c for c in replies.columns]
     df = df.select(*own, "parsed", "_j.*")
-    more = k.refocus_warnings(F.col("focus_intent"), [F.col(f"fan_out_{i}") for i in range(1, 5)]) if {"focus_intent", "fan_out_1", "refocus"} <= set(own) else None
+    more = k.refocus_warnings(F.col("focus_intent"), F.col("fanout_answers")) if {"focus_intent", "refocus"} <= set(own) else None
     warnings = k.reply_warnings()
     if more is not None:
         warnings = F.concat(warnings, F.when(F.col("refocus").isNotNull(), more).otherwise(F.array().cast("array<string>")))

@@ -70,17 +70,17 @@ def page_texts(sections: DataFrame) -> DataFrame:
 
 
 def check_scores(files: DataFrame, groups: DataFrame, pages: DataFrame) -> DataFrame:
-    """Score files with their group's page: errors, and scores where there are none."""
-    known = groups.select(F.col("variant_group").alias("file"), "category", F.lit(True).alias("known")).dropDuplicates(["file"])
-    rows = files.join(known, "file", "left").join(pages.withColumnRenamed("variant_group", "file"), "file", "left")
+    """Score files with the page of the group that they name: errors, and scores where there are none."""
+    known = groups.select("variant_group", "category", F.lit(True).alias("known")).dropDuplicates(["variant_group"])
+    rows = files.join(known, "variant_group", "left").join(pages, "variant_group", "left")
     return k.validate_scores(rows.withColumns({"known": F.coalesce("known", F.lit(False)), "captured": F.col("page").isNotNull()}))
 
 
 def score_counts(checked: DataFrame, groups: DataFrame) -> DataFrame:
     """One row: groups with a valid score, files that aren't valid, groups not scored yet."""
     files = checked.agg(F.count_if(F.size("errors") == 0).alias("valid"), F.count_if(F.size("errors") > 0).alias("invalid"))
-    left = groups.select(F.col("variant_group").alias("file")).distinct().join(checked.select("file"), "file", "left_anti").agg(F.count(F.lit(1)).alias("not_scored"))
-    return files.crossJoin(left)  # one row each
+    known = groups.agg(F.count_distinct("variant_group").alias("n"))
+    return files.crossJoin(known).select("valid", "invalid", (F.col("n") - F.col("valid") - F.col("invalid")).alias("not_scored"))  # one row each
 
 
 def select_groups(index: DataFrame, group: str | None = None, refresh: bool = False, done: DataFrame | None = None) -> DataFrame:
@@ -98,7 +98,7 @@ def check_briefs(files: DataFrame, groups: DataFrame, pages: DataFrame, scores:
     rows = rows.join(scores.select("file", F.col("cosmo_score").alias("now"), F.col("questions").alias("_q")), "file", "left")
     lacking = k.messages(("B0", F.col("category").isNull(), "not in the index"), ("B0", F.col("page").isNull(), "page not captured"), ("B0", F.col("now").isNull(), "no valid score"))
     target = F.when(F.map_keys("target_scores").isNotNull(), cosmo(F.map_values("target_scores")))
-    return rows.withColumns({"errors": F.concat(lacking, k.brief_errors()), "target": target})
+    return rows.withColumns({"errors": F.concat(lacking, k.brief_errors(raw=F.col("raw") if "raw" in files.columns else None)), "target": target})
 
 
 def brief_markdown(keys: Sequence[str] = QUESTION_KEYS) -> Column:

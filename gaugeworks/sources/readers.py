@@ -108,9 +108,9 @@ def cached_pages(spark: SparkSession, path: str, key: str = "slug") -> DataFrame
 
 
 def json_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One JSON document for each file: its columns, `file` (the stem) and `parsed`."""
+    """One JSON document for each file: its columns, `file` (the stem), `raw` (the text) and `parsed`."""
     raw = spark.read.option("wholetext", True).text(path).select(F.regexp_extract("_metadata.file_name", r"^(.*)\.json$", 1).alias("file"), "value")
-    return parse_json(raw, "value", schema).select("file", "parsed", *T.StructType.fromDDL(schema).names)
+    return parse_json(raw.withColumnRenamed("value", "raw"), "raw", schema)
 
 
 def parse_json(df: DataFrame, text: str, schema: str) -> DataFrame:

@@ -107,16 +107,34 @@ def workbook(df: DataFrame, sheet: str = "worklist", most_rows: int = 100_000) -
 
 
 def document(markdown: str) -> bytes:
-    """A word-processing document of a Markdown text: headings, bullets and paragraphs."""
+    """A word-processing document of a Markdown text: headings, bullets, paragraphs, and tables with a shaded head row."""
     ns = "http://schemas.openxmlformats.org"
     head = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-    paragraphs = []
+    paragraphs: list[str] = []
+    table: list[list[str]] = []
+
+    def close_table() -> None:
+        if table:
+            edges = "".join(f'<w:{e} w:val="single" w:sz="4" w:color="999999"/>' for e in ("top", "left", "bottom", "right", "insideH", "insideV"))
+            shade = '<w:tcPr><w:shd w:val="clear" w:fill="E7E6E6"/></w:tcPr>'
+            cell = lambda text, head: f'<w:tc>{shade if head else ""}<w:p><w:r>{"<w:rPr><w:b/></w:rPr>" if head else ""}<w:t xml:space="preserve">{escape(text)}</w:t></w:r></w:p></w:tc>'
+            rows = "".join("<w:tr>" + "".join(cell(x, not i) for x in r) + "</w:tr>" for i, r in enumerate(table))
+            paragraphs.append(f"<w:tbl><w:tblPr><w:tblBorders>{edges}</w:tblBorders></w:tblPr>{rows}</w:tbl><w:p/>")
+            table.clear()
+
     for line in markdown.split("\n"):
+        if line.startswith("|") and line.rstrip().endswith("|"):
+            cells = [x.strip() for x in line.strip().strip("|").split("|")]
+            if not all(set(x) <= set("-: ") and x for x in cells):
+                table.append(cells)
+            continue
+        close_table()
         level = len(line) - len(line.lstrip("#"))
         style = f"Heading{level}" if 0 < level <= 6 and line[level : level + 1] == " " else "ListBullet" if line.startswith("- ") else ""
         text = line[level + 1 :] if style.startswith("H") else line[2:] if style else line
         props = f'<w:pPr><w:pStyle w:val="{style}"/></w:pPr>' if style else ""
         paragraphs.append(f'<w:p>{props}<w:r><w:t xml:space="preserve">{escape(text)}</w:t></w:r></w:p>')
+    close_table()
     parts = {
         "[Content_Types].xml": f'{head}<Types xmlns="{ns}/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/word/document.xml" ContentType="application/vnd.openxmlformats-officedocument.wordprocessingml.document.main+xml"/></Types>',
         "_rels/.rels": f'{head}<Relationships xmlns="{ns}/package/2006/relationships"><Relationship Id="r1" Type="{ns}/officeDocument/2006/relationships/officeDocument" Target="word/document.xml"/></Relationships>',

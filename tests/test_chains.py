@@ -93,6 +93,11 @@ def test_spreadsheet(spark, tmp_path):
         sinks.workbook(df, most_rows=1)
     docs = sinks.documents(spark.createDataFrame([("f", "# T\n- b\ntext")], "n string, m string"), "n", "m").first()
     assert docs.file == "f.docx" and "Heading1" in zipfile.ZipFile(io.BytesIO(docs.content)).read("word/document.xml").decode()
+    table = zipfile.ZipFile(io.BytesIO(sinks.document("# T\n| a | b |\n|---|---|\n| 1 | <2> |\nend"))).read("word/document.xml").decode()
+    assert table.count("<w:tr>") == 2 and table.count("<w:shd") == 2 and "&lt;2&gt;" in table and "---" not in table
+    (tmp_path / "book.xlsx").write_bytes(sinks.workbook(df))
+    read = readers.workbook(spark, f"{tmp_path}/book.xlsx", "n long, s string, d double, b boolean, l string").orderBy("row_no").collect()
+    assert [tuple(x) for x in read] == [(1, 1, "a & b", 2.5, True, None), (2, 2, "x" * 90, None, False, "p; q")]
     sinks.stage_csv(df, f"{tmp_path}/out")
     assert sinks.read_back(df, spark, f"{tmp_path}/out") == 2
     assert sinks.quarantine(df, F.col("d").isNotNull(), f"{tmp_path}/bad").count() == 1 and spark.read.parquet(f"{tmp_path}/bad").count() == 1

@@ -242,7 +242,7 @@ def test_score_rules(spark):
     kind = "file string, variant_group string, parsed boolean, known boolean, captured boolean, page string, questions map<string,struct<score:string,evidence:array<struct<quote:string>>,gap:string,missing_attributes:array<string>>>"
     got = {x.file: x for x in k.validate_scores(spark.createDataFrame(rows, kind)).collect()}
     rules = {f: sorted({e.rule for e in x.errors}) for f, x in got.items()}
-    assert rules == {"g1": [], "g2": sorted(["V2", "V6", "V9", "V10", "V11", "V12"]), "g3": ["V3"], "g4": ["V4"], "g5": ["V1"], "g6": ["V5"]}
+    assert rules == {"g1": [], "g2": sorted(["V2", "V8", "V9", "V10", "V11", "V12"]), "g3": ["V3"], "g4": ["V4"], "g5": ["V1"], "g6": ["V5", "V6"]}
     assert got["g1"].cosmo_score == 89 and got["g1"].missing == 1 and got["g2"].cosmo_score is None
 
 
@@ -254,7 +254,7 @@ def test_brief_rules(spark):
     kind = f"file string, variant_group string, page string, edits array<{k.EDIT_SCHEMA}>, for_client_editor array<struct<ask:string,if_confirmed:string,if_not:string>>, for_owner array<string>, gifting_bullet struct<where:string,text:string>, target_scores map<string,int>, warnings array<string>"
     df = spark.createDataFrame([tuple(x[c.split()[0]] for c in ("file", "variant_group", "page", "edits", "for_client_editor", "for_owner", "gifting_bullet", "target_scores", "warnings")) for x in (good, bad, none)], kind)
     got = [sorted({e.rule for e in x.e}, key=lambda s: int(s[1:])) for x in df.select(k.brief_errors().alias("e")).collect()]
-    assert got == [[], ["B1", "B3", "B4", "B5", "B6", "B7", "B8", "B9", "B10", "B11", "B12", "B13", "B14"], ["B2"]]
+    assert got == [[], ["B1", "B3", "B4", "B5", "B6", "B7", "B8", "B9", "B10", "B11", "B13", "B14"], ["B2"]]
 
 
 def test_long_deny_list(spark, tmp_path):
@@ -270,3 +270,10 @@ def test_long_deny_list(spark, tmp_path):
     assert sorted(map(tuple, found.collect())) == [("a.txt", 1, "term 7"), ("acme/b.txt", 0, "acme")] and (hits, scanned) == (2, 2)
     with pytest.raises(GateError):
         m.scan_report(files.limit(0), ["x"])
+
+
+def test_lists_that_are_none(spark):
+    raw = '{"questions": {"isA": {"score": 2, "evidence": "text"}, "capable_of": {"evidence": []}}, "for_owner": {"a": 1}}'
+    df = spark.createDataFrame([(raw,), ('{"for_owner": []}',), ("{}",)], "raw string")
+    got = df.select(*[k._no_list(F.col("raw"), p).alias(n) for n, p in (("a", "$.questions.isA.evidence"), ("b", "$.questions.capable_of.evidence"), ("c", "$.for_owner"))]).collect()
+    assert [tuple(x) for x in got] == [(True, False, True), (False, False, False), (False, False, False)]
