@@ -46,7 +46,7 @@ def numbered_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def html_cache(spark: SparkSession, folder: str) -> DataFrame:
     """(slug, html) of cached pages, one file each; the slug is the file's stem."""
-    df = spark.read.option("wholetext", True).text(f"{folder}/*.html")
+    df = spark.read.text(f"{folder}/*.html", wholetext=True)
     return df.select(F.regexp_extract("_metadata.file_name", r"^(.*)\.html$", 1).alias("slug"), F.col("value").alias("html"))
 
 
@@ -109,7 +109,7 @@ def cached_pages(spark: SparkSession, path: str, key: str = "slug") -> DataFrame
 
 def json_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One JSON document for each file: its columns, `file` (the stem), `raw` (the text) and `parsed`."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.regexp_extract("_metadata.file_name", r"^(.*)\.json$", 1).alias("file"), "value")
+    raw = spark.read.text(path, wholetext=True).select(F.regexp_extract("_metadata.file_name", r"^(.*)\.json$", 1).alias("file"), "value")
     return parse_json(raw.withColumnRenamed("value", "raw"), "raw", schema)
 
 
@@ -119,8 +119,8 @@ def parse_json(df: DataFrame, text: str, schema: str) -> DataFrame:
     return read.select(*df.columns, "parsed", "_j.*")
 
 
-def workbook_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a spreadsheet's first sheet as maps from its header to text, with `row_no` (from 1); empty cells are left out."""
+def workbook_rows(books: DataFrame) -> DataFrame:
+    """Rows of the first sheet of each spreadsheet (binary `content`) as maps from its header to text, with `row_no` (from 1); empty cells are left out."""
 
     def run(batches):
         import io
@@ -148,12 +148,15 @@ def workbook_rows(spark: SparkSession, path: str) -> DataFrame:
                 head = rows[0] if rows else {}
                 yield pd.DataFrame({"row_no": range(1, len(rows)), "cells": [{head[k]: v for k, v in x.items() if k in head} for x in rows[1:]]})
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "row_no long, cells map<string,string>")
+    return books.select("content").mapInPandas(run, "row_no long, cells map<string,string>")
 
 
-def workbook(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A spreadsheet's columns by name and type; what can't be cast is null.  A missing column is an error."""
-    rows = workbook_rows(spark, path)
+def workbook(books: DataFrame, schema: str) -> DataFrame:
+    """Spreadsheets' columns by name and type; what can't be cast is null.  Sheets with none of the columns are an error.
+
+    `books` has their bytes in `content`, as `spark.read.format("binaryFile")` gives them.
+    """
+    rows = workbook_rows(books)
     kinds = {f.name: f.dataType for f in T.StructType.fromDDL(schema).fields}
     seen = {r.k for r in rows.select(F.explode(F.map_keys("cells")).alias("k")).distinct().collect()}
     if rows.head(1) and not seen & set(kinds):
@@ -163,7 +166,7 @@ def workbook(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def text_tree(spark: SparkSession, folder: str, skip: Sequence[str] = (".git", "node_modules", "__pycache__")) -> DataFrame:
     """(path, text) of all files below a folder, without those in skipped folders."""
-    df = spark.read.option("recursiveFileLookup", True).option("wholetext", True).text(folder)
+    df = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)
     df = df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     for s in skip:
         df = df.where(~F.contains("path", F.lit(f"/{s}/")))
@@ -183,6 +186,6 @@ def labelled_text(spark: SparkSession, paths: Sequence[str]) -> str:
     """Files' texts one after another, each under its name: a prompt's spec data."""
     parts = []
     for p in paths:
-        r = spark.read.option("wholetext", True).text(p).select(F.col("_metadata.file_name").alias("n"), "value").first()
+        r = spark.read.text(p, wholetext=True).select(F.col("_metadata.file_name").alias("n"), "value").first()
         parts.append(f"### {r.n}\n{r.value}")
     return "\n\n".join(parts)

@@ -46,8 +46,10 @@ def read_version(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(spark.read.text(f"{base}/current").first().value)
 
 
-def json_lines(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+def json_lines(df: DataFrame, path: str, each: bool = False) -> None:
+    """JSON, a document in a line; with `each`, a document in a file."""
+    writer = df.write.mode("overwrite")
+    (writer.option("maxRecordsPerFile", 1) if each else writer).json(path)
 
 
 def quarantine(df: DataFrame, ok: F.Column, path: str) -> DataFrame:

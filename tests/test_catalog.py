@@ -6,8 +6,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from gaugeworks.plans import catalog
+from gaugeworks.plans import catalog, pages_catalog
 
+QUERIES, ORACLES = catalog.QUERIES | pages_catalog.QUERIES, catalog.ORACLES | pages_catalog.ORACLES
 DIR = "/root/testdata/sf0.001"
 
 
@@ -29,8 +30,8 @@ def rows(df):
     return sorted(tuple(show(float(v) if isinstance(v, int) and not isinstance(v, bool) else v) for v in r) for r in df.astype(object).itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    got, want = catalog.QUERIES[name](spark, DIR).toPandas(), duck.execute(catalog.ORACLES[name]).df()
+    got, want = QUERIES[name](spark, DIR).toPandas(), duck.execute(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got) == rows(want)

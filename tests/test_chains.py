@@ -20,7 +20,7 @@ SLUGS = ["best-irons", "a-vs-b", "gift-ideas", "how-to"]
 def folder(tmp_path):
     (tmp_path / "html").mkdir()
     for s, h in zip(SLUGS, (P.FULL, P.POOR, P.NO_ANSWER, P.SHORT_ANSWER)):
-        (tmp_path / "html" / f"{s}.html").write_text(h)
+        (tmp_path / "html" / f"{s}.html").write_text(h.replace("<body>", "\n<body>\n"))
     (tmp_path / "bank.csv").write_text("﻿slug,url,category\n" + "".join(f"{s},https://x.example/{s}/,iron\n" for s in SLUGS))
     (tmp_path / "inv.csv").write_text("Original Url,Slug,Title 1,Meta Description 1,Meta Keywords 1,H1-1,H2-1,H2-2,Unique Inlinks\n" + "".join(f"u,/{s.upper()}/,Title,,\"a, b\",,,,{i}\n" for i, s in enumerate(SLUGS)).replace("/", "", 0).replace(",/", ",").replace("/,", "/,"))
     return tmp_path
@@ -96,7 +96,7 @@ def test_spreadsheet(spark, tmp_path):
     table = zipfile.ZipFile(io.BytesIO(sinks.document("# T\n| a | b |\n|---|---|\n| 1 | <2> |\nend"))).read("word/document.xml").decode()
     assert table.count("<w:tr>") == 2 and table.count("<w:shd") == 2 and "&lt;2&gt;" in table and "---" not in table
     (tmp_path / "book.xlsx").write_bytes(sinks.workbook(df))
-    read = readers.workbook(spark, f"{tmp_path}/book.xlsx", "n long, s string, d double, b boolean, l string").orderBy("row_no").collect()
+    read = readers.workbook(spark.read.format("binaryFile").load(f"{tmp_path}/book.xlsx"), "n long, s string, d double, b boolean, l string").orderBy("row_no").collect()
     assert [tuple(x) for x in read] == [(1, 1, "a & b", 2.5, True, None), (2, 2, "x" * 90, None, False, "p; q")]
     sinks.stage_csv(df, f"{tmp_path}/out")
     assert sinks.read_back(df, spark, f"{tmp_path}/out") == 2
@@ -131,7 +131,7 @@ def test_index_and_ranks(spark):
 
 def test_scores_and_briefs(spark, tmp_path):
     (tmp_path / "s").mkdir()
-    (tmp_path / "s" / "air.json").write_text(json.dumps({"variant_group": "air", "questions": good_score()}))
+    (tmp_path / "s" / "air.json").write_text(json.dumps({"variant_group": "air", "questions": good_score()}, indent=2))
     (tmp_path / "s" / "bad.json").write_text("{nope")
     sections = spark.createDataFrame([("air", "Air", 0, "Top", "a quote"), ("air", "Air", 1, "Care", "old text")], "variant_group string, h1 string, index int, heading string, text string")
     pages = pdp.page_texts(sections)
