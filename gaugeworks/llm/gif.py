@@ -1,13 +1,14 @@
 """Media columns in GIF: LZW code streams, palettes, disposal and transparency, timed frames.
 
-`decode` reads any GIF87a / GIF89a stream: general LZW with growing code widths, local palettes,
+`decode` reads any GIF87a / GIF89a stream: LZW with growing code widths, local palettes,
 interlace, the four disposal methods and transparency, composited on the logical screen.  `encode`
-writes 8-bit samples losslessly as grey frames; its code stream clears the table before codes grow
-past nine bits, so both ends of that stream are plain array arithmetic.
+writes 8-bit samples losslessly as timed grey frames that replace each other, compressed by LZW with a table that
+grows to 4096 entries and is then cleared.  Codes are packed and read in whole runs up to a clear code, as arrays.
 
 Edge cases: a null or empty payload is stored as one row of zeros; a broken or cut stream gives
-no frames and an `error`; repeated rows are stored each on its own; payloads of any length are cut
-into frames of bounded height; an empty table gives an empty result.
+the frames before the break and then a row with `error`; a screen of over MAX_PIXELS is such an error, whatever
+its header says, and so is a frame outside the screen; repeated rows are stored each on its own; a null id stays null;
+payloads of any length are cut into frames of bounded height; extra columns are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,11 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeworks.llm.common import durable
+
 WIDTH = 64
 FRAME_ROWS = 1024
 DELAY_CS = 4
-#: Literals after each clear code: few enough that codes stay nine bits wide.
-RUN = 240
+#: Pixels of the largest screen that is decoded; bytes of media that a worker hands on at once.
+MAX_PIXELS, HELD = 1 << 24, 1 << 23
+#: Entries of a full table, and codes that are read at once.
+FULL, READ = 4096, 4096
 GREY = np.repeat(np.arange(256, dtype=np.uint8), 3).reshape(256, 3)
 BINS = 8
 
@@ -59,25 +64,55 @@ def _blocks(data: np.ndarray) -> bytes:
     return full.tobytes() + (bytes([len(rest)]) + rest if rest else b"") + b"\0"
 
 
-def literal_codes(samples: np.ndarray) -> bytes:
-    """Nine-bit codes, least significant bit first: a clear code before each RUN literals, then the end code."""
-    n = len(samples)
-    runs = -(-n // RUN)
-    codes = np.full((-(-(n + runs + 1) // 8) * 8,), 0, np.uint64)
-    grid = np.full((runs, RUN + 1), 256, np.uint64)
-    filled = np.zeros(runs * RUN, np.uint8)
-    filled[:n] = samples
-    grid[:, 1:] = filled.reshape(runs, RUN)
-    codes[: n + runs] = grid.ravel()[: n + runs]
-    codes[n + runs] = 257
-    eight = codes.reshape(-1, 8)
-    low = eight[:, 0].copy()
-    for i in range(1, 8):
-        low |= eight[:, i] << np.uint64(9 * i)
-    out = np.empty((len(eight), 9), np.uint8)
-    out[:, :8] = low.view(np.uint8).reshape(-1, 8)
-    out[:, 8] = (eight[:, 7] >> np.uint64(1)).astype(np.uint8)
-    return out.ravel()[: -(-9 * (n + runs + 1) // 8)]
+def code_widths(minimum: int, n: int) -> np.ndarray:
+    """Bits of each of n codes after a clear code.  A reader's table grows with each code but the first."""
+    size = np.minimum((1 << minimum) + 1 + np.arange(n), FULL - 1)
+    return np.maximum(minimum + 1, np.frexp(size)[1].astype(np.int64))
+
+
+def compress(samples: bytes, minimum: int = 8) -> list[int]:
+    """LZW codes: clear codes where the table is new, the end code last."""
+    clear = 1 << minimum
+    out = [clear]
+    put, table, size = out.append, {}, clear + 2
+    word = -1
+    for x in samples:
+        if word < 0:
+            word = x
+            continue
+        longer = word << 8 | x
+        known = table.get(longer)
+        if known is not None:
+            word = known
+            continue
+        put(word)
+        word = x
+        if size < FULL:
+            table[longer] = size
+            size += 1
+        else:
+            put(clear)
+            table.clear()
+            size = clear + 2
+    if word >= 0:
+        put(word)
+    put(clear + 1)
+    return out
+
+
+def pack(codes: list[int], minimum: int = 8) -> np.ndarray:
+    """Codes as bytes, least significant bit first, each as wide as its place after a clear code says."""
+    codes = np.array(codes, np.int64)
+    starts = np.flatnonzero(codes == 1 << minimum) + 1
+    place = np.arange(len(codes))
+    place -= np.concatenate([[0], starts])[np.searchsorted(starts, place, "right")]
+    width = code_widths(minimum, int(place.max(initial=0)) + 1)[place]
+    at = np.cumsum(width) - width
+    shifted = codes << (at & 7)
+    out = np.zeros(int(-(-(at[-1] + width[-1]) // 8)) + 3)
+    for k in range(3):  # no two codes share a bit, so sums are unions
+        out += np.bincount((at >> 3) + k, weights=(shifted >> (8 * k)) & 255, minlength=len(out))
+    return out[: int(-(-(at[-1] + width[-1]) // 8))].astype(np.uint8)
 
 
 def encode(samples: np.ndarray, width: int = WIDTH, frame_rows: int = FRAME_ROWS, delay_cs: int = DELAY_CS) -> bytes:
@@ -87,7 +122,7 @@ def encode(samples: np.ndarray, width: int = WIDTH, frame_rows: int = FRAME_ROWS
     for at in range(0, rows, frame_rows):
         h = min(frame_rows, rows - at)
         parts += [b"\x21\xf9\x04", struct.pack("<BHB", 1 << 2, delay_cs, 0), b"\0", b"\x2c", struct.pack("<HHHHB", 0, 0, width, h, 0), b"\x08"]
-        parts.append(_blocks(literal_codes(samples[at * width : (at + h) * width])))
+        parts.append(_blocks(pack(compress(samples[at * width : (at + h) * width].tobytes()))))
     return b"".join([*parts, b"\x3b"])
 
 
@@ -114,68 +149,61 @@ def _unblock(data: np.ndarray, at: int) -> tuple[np.ndarray, int]:
     return (np.concatenate(parts) if parts else np.zeros(0, np.uint8)), at
 
 
-def _nine_bit(data: np.ndarray) -> np.ndarray | None:
-    """Samples of a stream that clears before codes grow and holds literals only; None for any other."""
-    count = len(data) * 8 // 9
-    padded = np.zeros(-(-len(data) // 9) * 9, np.uint8)
-    padded[: len(data)] = data
-    nine = padded.reshape(-1, 9)
-    low = np.ascontiguousarray(nine[:, :8]).view("<u8").ravel()
-    codes = np.empty((len(nine), 8), np.uint16)
-    for i in range(7):
-        codes[:, i] = (low >> np.uint64(9 * i)) & np.uint64(511)
-    codes[:, 7] = (low >> np.uint64(63)).astype(np.uint16) | (nine[:, 8].astype(np.uint16) << 1)
-    codes = codes.ravel()[:count]
-    ends = np.flatnonzero(codes == 257)
-    if not len(ends):
-        return None
-    codes = codes[: ends[0]]
-    clears = np.flatnonzero(codes == 256)
-    if not len(clears) or clears[0] or codes.max() > 256 or np.diff(clears, append=len(codes)).max() > 255:
-        return None
-    return codes[codes < 256].astype(np.uint8)
+def unpack(data: np.ndarray, minimum: int) -> Iterator[list[int]]:
+    """Codes of a stream, run by run: what stands between clear codes, the last up to the end code or the stream's end."""
+    clear, end = 1 << minimum, (1 << minimum) + 1
+    wide = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.int64)
+    wide = wide[:-2] | wide[1:-1] << 8 | np.append(wide[2:], 0)[: len(wide) - 2] << 16
+    widths, bits, at, run = code_widths(minimum, READ), 8 * len(data), 0, []
+    place = 0
+    while True:
+        width = widths[place:] if place < READ else np.full(READ, 12)
+        past = at + np.cumsum(width)
+        width = width[: np.searchsorted(past, bits, "right")]
+        past = past[: len(width)]
+        first = past - width
+        codes = wide[first >> 3] >> (first & 7) & ((1 << width) - 1)
+        stop = np.flatnonzero((codes == clear) | (codes == end))
+        if len(stop):
+            run += codes[: stop[0]].tolist()
+            yield run
+            if codes[stop[0]] == end:
+                return
+            at, run, place = int(past[stop[0]]), [], 0
+        elif not len(width):
+            yield run
+            return
+        else:
+            run += codes.tolist()
+            at, place = int(past[-1]), place + len(width)
 
 
 def lzw(data: np.ndarray, minimum: int) -> np.ndarray:
     """Samples of an LZW code stream."""
     if not 1 <= minimum <= 8:
         raise ValueError("code size")
-    if minimum == 8 and (quick := _nine_bit(data)) is not None:
-        return quick
-    clear, end = 1 << minimum, (1 << minimum) + 1
-    bits, held, width, out = 0, 0, minimum + 1, bytearray()
-    entries: list[bytes] = [bytes([i]) for i in range(clear)] + [b"", b""]
-    previous = None
-    for byte in data.tobytes():
-        bits |= byte << held
-        held += 8
-        while held >= width:
-            code = bits & ((1 << width) - 1)
-            bits >>= width
-            held -= width
-            if code == clear:
-                del entries[end + 1 :]
-                width, previous = minimum + 1, None
-                continue
-            if code == end:
-                return np.frombuffer(bytes(out), np.uint8)
-            if previous is None:
-                if code >= clear:
-                    raise ValueError("code before any literal")
-                word = entries[code]
-            elif code < len(entries):
+    clear, out = 1 << minimum, []
+    fresh = [bytes([i]) for i in range(clear)] + [b"", b""]
+    for run in unpack(data, minimum):
+        if not run:
+            continue
+        if run[0] >= clear:
+            raise ValueError("code before any literal")
+        entries, previous = fresh[:], fresh[run[0]]
+        out.append(previous)
+        for code in run[1:]:
+            size = len(entries)
+            if code < size:
                 word = entries[code]
-            elif code == len(entries):
+            elif code == size and size < FULL:
                 word = previous + previous[:1]
             else:
                 raise ValueError("code beyond the table")
-            out += word
-            if previous is not None and len(entries) < 4096:
+            out.append(word)
+            if size < FULL:
                 entries.append(previous + word[:1])
-                if len(entries) == 1 << width and width < 12:
-                    width += 1
             previous = word
-    return np.frombuffer(bytes(out), np.uint8)
+    return np.frombuffer(b"".join(out), np.uint8)
 
 
 def decode(media: bytes) -> Iterator[Frame]:
@@ -189,6 +217,8 @@ def decode(media: bytes) -> Iterator[Frame]:
         n = 2 << (flags & 7)
         shared = data[at : at + 3 * n].reshape(n, 3)
         at += 3 * n
+    if rows * columns > MAX_PIXELS:
+        raise ValueError("screen too large")
     screen = np.zeros((rows, columns, 4), np.uint8)
     delay, disposal, transparent = 0, 0, None
     while at < len(data):
@@ -263,10 +293,18 @@ def to_gif(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     def run(batches):
         for batch in batches:
-            for i, t in zip(batch.column(0), batch.column(1)):
-                t = t.as_py()
-                media = encode(np.frombuffer(payload(t), np.uint8))
-                yield pa.RecordBatch.from_arrays([pa.array([i.as_py()], batch.schema.field(0).type), pa.array([len((t or "").encode())], pa.int64()), pa.array([media], pa.binary())], ["doc_id", "n_bytes", "media"])
+            sizes, media, held, first = [], [], 0, 0
+            for t in batch.column(1):
+                raw = t.as_py()
+                sizes.append(len((raw or "").encode()))
+                media.append(encode(np.frombuffer(payload(raw), np.uint8)))
+                held += len(media[-1])
+                if held > HELD:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(media)), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
+                    first += len(media)
+                    sizes, media, held = [], [], 0
+            if media:
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(media)), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, n_bytes bigint, media binary")
@@ -298,31 +336,29 @@ def frames(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") -
     return media.select(F.col(id_col).alias("doc_id"), F.col(media_col).alias("media")).mapInPandas(run, schema)
 
 
-def digest(text: str | None) -> tuple:
-    """Stores a text, reads the stored bytes back and measures what was read."""
-    stored = payload(text)
-    media = encode(np.frombuffer(stored, np.uint8))
-    parts, bins = [], np.zeros(BINS, np.int64)
+def read_back(media: bytes) -> tuple:
+    """What a stored form holds: its samples' length, hashes and the feature: frames, their time and the colour histogram."""
+    parts, bins, clock = [], np.zeros(3 * BINS, np.int64), 0
     for f in decode(media):
-        red = f.own()[..., 0]
-        parts.append(red.tobytes())
-        bins += np.bincount(red.ravel() >> 5, minlength=BINS)
+        parts.append(f.own()[..., 0].tobytes())
+        bins += histogram(f)
+        clock += f.delay_cs
     back = b"".join(parts)
-    if back != stored:
-        raise ValueError("the stored form does not give the payload back")
-    return len((text or "").encode()), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-WIDTH:]), len(media), hashlib.sha256(media).hexdigest(), f"{len(parts)}x{len(parts) * DELAY_CS}cs:" + ".".join(map(str, bins))
+    feature = f"{len(parts)}x{clock}cs:" + ".".join(map(str, bins[:BINS]))
+    return len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-WIDTH:]), len(media), hashlib.sha256(media).hexdigest(), feature
 
 
 def media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Digest columns of every text's stored form, in one pass and without keeping the media."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    """Digest columns of every text's stored form: the media are written, and what is read of the written bytes is digested."""
+    stored = durable(to_gif(docs, id_col, text_col))
+    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
 
     def run(batches):
         for batch in batches:
-            rows = [digest(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(types))], ["doc_id", *names])
+            rows = [read_back(m.as_py()) for m in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(types))], ["doc_id", "n_bytes", *names])
 
+    kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return stored.mapInArrow(run, schema)

@@ -4,6 +4,8 @@ import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from gaugeworks.llm import gif
 from tests.llm.cases import frame, rows
@@ -56,12 +58,33 @@ def test_round_trip(n):
     samples = np.random.default_rng(n).integers(0, 256, n).astype(np.uint8)
     media = gif.encode(samples)
     assert b"".join(f.own()[..., 1].tobytes() for f in gif.decode(media)) == samples.tobytes()
-    body, _ = gif._unblock(np.frombuffer(gif._blocks(gif.literal_codes(samples[:4096])), np.uint8), 0)
-    quick, gif._nine_bit = gif._nine_bit, lambda d: None
-    try:
-        assert (gif.lzw(body, 8) == samples[:4096]).all()
-    finally:
-        gif._nine_bit = quick
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.binary(max_size=400), st.integers(0, 3))
+def test_codes_are_those_of_a_plain_encoder(some, times):
+    """Until the table is full the stream is that of an encoder that never clears."""
+    data = some * (times + 1)
+    assert gif.pack(gif.compress(data)).tobytes() == compress(data, 8).tobytes()
+    assert gif.lzw(gif.pack(gif.compress(data)), 8).tobytes() == data
+
+
+def test_full_tables_are_cleared_and_texts_shrink():
+    rng = np.random.default_rng(7)
+    text = " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega"], 30_000)).encode()
+    noise = rng.integers(0, 256, 60_000).astype(np.uint8).tobytes()
+    for data in (text, noise, b"a" * 100_000):
+        codes = gif.compress(data)
+        assert gif.lzw(gif.pack(codes), 8).tobytes() == data
+    assert codes.count(256) == 1 and gif.compress(noise).count(256) > 10 and gif.compress(text).count(256) > 2
+    raw = gif.payload(text.decode())
+    assert len(gif.encode(np.frombuffer(raw, np.uint8))) < 0.4 * len(raw)
+
+
+def test_screens_are_bounded():
+    head = b"GIF89a" + struct.pack("<HHBBB", 65535, 65535, 0, 0, 0)
+    with pytest.raises(ValueError, match="too large"):
+        list(gif.decode(head + b"\x3b"))
 
 
 def build(frames, columns=3, rows=2, palette=((0, 0, 0), (255, 0, 0), (0, 255, 0), (0, 0, 255))):
@@ -90,6 +113,37 @@ def test_interlace():
     assert shown(build([(0, 0, 1, 5, 0, None, 0, [0, 3, 2, 1, 1], 0x40)], 1, 5)) == ["01213"]
 
 
+def store(payload):
+    """The stored form, made with the plain encoder: a table that is full is cleared."""
+    out = b"GIF89a" + struct.pack("<HHBBB", 64, min(1024, len(payload) // 64), 0xF7, 0, 0) + bytes(v for i in range(256) for v in (i, i, i))
+    for a in range(0, len(payload), 64 * 1024):
+        part = payload[a : a + 64 * 1024]
+        codes, table, word = [256], {bytes([i]): i for i in range(256)}, b""
+        size = 258
+        for x in part:
+            longer = word + bytes([x])
+            if longer in table:
+                word = longer
+                continue
+            codes.append(table[word])
+            if size < 4096:
+                table[longer] = size
+                size += 1
+            else:
+                codes.append(256)
+                table, size = {bytes([i]): i for i in range(256)}, 258
+            word = bytes([x])
+        codes += [table[word], 257]
+        wide, entries = [], 256
+        for c in codes:
+            wide.append((c, min(12, max(9, (entries + 1).bit_length()))))
+            entries = 256 if c == 256 else entries + 1
+        body = pack(wide).tobytes()
+        blocks = b"".join(bytes([len(body[k : k + 255])]) + body[k : k + 255] for k in range(0, len(body), 255))
+        out += b"\x21\xf9\x04" + struct.pack("<BHB", 1 << 2, 4, 0) + b"\0\x2c" + struct.pack("<HHHHB", 0, 0, 64, len(part) // 64, 0) + b"\x08" + blocks + b"\0"
+    return out + b"\x3b"
+
+
 def test_table(spark):
     data = rows()
     docs = frame(spark, data)
@@ -98,8 +152,11 @@ def test_table(spark):
     for r in data:
         p = gif.payload(r[1])
         assert len(p) % 64 == 0 and p
-        want.append((r[0], len((r[1] or "").encode()), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), hashlib.sha256(gif.encode(np.frombuffer(p, np.uint8))).hexdigest()))
-    assert [g[:5] + g[6:7] for g in got] == sorted(want, key=str)
+        media = store(p)
+        shown = -(-len(p) // (64 * 1024))
+        bins = np.bincount(np.frombuffer(p, np.uint8) >> 5, minlength=8)
+        want.append((r[0], len((r[1] or "").encode()), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), len(media), hashlib.sha256(media).hexdigest(), f"{shown}x{4 * shown}cs:" + ".".join(map(str, bins))))
+    assert got == sorted(want, key=str)
     media = gif.to_gif(docs)
     f = gif.frames(media).where("doc_id = 8").orderBy("frame").collect()
     assert [x.start_cs for x in f] == [4 * k for k in range(len(f))] and len(f) > 1 and sum(f[0].red) == 64 * 1024
