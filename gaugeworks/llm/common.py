@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Java and Python both read this class as the six ASCII white-space characters.
@@ -18,12 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where none is set (local tests)."""
+    """The folder of spark.checkpoint.dir; a temporary one only where none is set and all runs on one machine (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="gaugeworks-"))
     return sc.getCheckpointDir().rstrip("/")
 
@@ -46,9 +48,18 @@ def fold(col: str, modulus: int) -> F.Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(modulus)
 
 
-def bounded_sample(keys: DataFrame, limit: int, key: str = "doc_id") -> DataFrame:
-    """At most `limit` rows, those of the smallest key hash: a documented bound for model fitting."""
-    return keys.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(limit)
+def bounded_sample(rows: DataFrame, limit: int, key: str, by: str | None = None) -> DataFrame:
+    """At most `limit` rows, or as many of each value of `by`: those of the smallest `key`, a hash.  A documented bound for model fitting.
+
+    Rows are counted first, and only those below a threshold that lets a few more than `limit` through are sorted.
+    """
+    group = F.col(by) if by else F.lit(0)
+    sizes = rows.groupBy(group.alias("_by")).agg(F.count(F.lit(1)).alias("_n"))
+    share = F.least(F.lit(1.0), (limit + 6 * limit**0.5 + 20) / F.col("_n"))
+    below = (share * 2.0**64 - 2.0**63).alias("_below")
+    few = rows.withColumn("_by", group).join(sizes.select("_by", below), "_by").where(F.col(key).cast("double") <= F.col("_below"))
+    rank = F.row_number().over(Window.partitionBy("_by").orderBy(key))
+    return few.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_by", "_below", "_rank")
 
 
 def whole_rows(docs: DataFrame) -> DataFrame:

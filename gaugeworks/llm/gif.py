@@ -18,6 +18,8 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,8 @@ from gaugeworks.llm.common import durable
 WIDTH = 64
 FRAME_ROWS = 1024
 DELAY_CS = 4
-#: Pixels of the largest screen that is decoded; bytes of media that a worker hands on at once.
-MAX_PIXELS, HELD = 1 << 24, 1 << 23
+#: Pixels of the largest screen that is decoded; bytes of texts that a worker codes at once.
+MAX_PIXELS, HELD = 1 << 24, 1 << 21
 #: Entries of a full table, and codes that are read at once.
 FULL, READ = 4096, 4096
 GREY = np.repeat(np.arange(256, dtype=np.uint8), 3).reshape(256, 3)
@@ -73,57 +75,62 @@ def code_widths(minimum: int, n: int) -> np.ndarray:
 def compress(samples: bytes, minimum: int = 8) -> list[int]:
     """LZW codes: clear codes where the table is new, the end code last."""
     clear = 1 << minimum
-    out = [clear]
-    put, table, size = out.append, {}, clear + 2
-    word = -1
-    for x in samples:
-        if word < 0:
+    out, table, size, rest = [clear], {}, clear + 2, iter(samples)
+    put, known = out.append, table.get
+    word = next(rest, None)
+    if word is not None:
+        for x in rest:
+            longer = word << 8 | x
+            code = known(longer)
+            if code is not None:
+                word = code
+                continue
+            put(word)
             word = x
-            continue
-        longer = word << 8 | x
-        known = table.get(longer)
-        if known is not None:
-            word = known
-            continue
-        put(word)
-        word = x
-        if size < FULL:
-            table[longer] = size
-            size += 1
-        else:
-            put(clear)
-            table.clear()
-            size = clear + 2
-    if word >= 0:
+            if size < FULL:
+                table[longer] = size
+                size += 1
+            else:
+                put(clear)
+                table.clear()
+                size = clear + 2
         put(word)
     put(clear + 1)
     return out
 
 
-def pack(codes: list[int], minimum: int = 8) -> np.ndarray:
-    """Codes as bytes, least significant bit first, each as wide as its place after a clear code says."""
-    codes = np.array(codes, np.int64)
-    starts = np.flatnonzero(codes == 1 << minimum) + 1
+def pack(streams: list[list[int]], minimum: int = 8) -> list[np.ndarray]:
+    """Each stream's codes as bytes, least significant bit first, each code as wide as its place after a clear code says."""
+    sizes = np.array([len(x) for x in streams])
+    codes = np.fromiter(chain.from_iterable(streams), np.int64, int(sizes.sum()))
+    first = np.cumsum(sizes) - sizes
+    starts = np.unique(np.concatenate([first, np.flatnonzero(codes == 1 << minimum) + 1]))
     place = np.arange(len(codes))
-    place -= np.concatenate([[0], starts])[np.searchsorted(starts, place, "right")]
+    place -= starts[np.searchsorted(starts, place, "right") - 1]
     width = code_widths(minimum, int(place.max(initial=0)) + 1)[place]
+    length = -(-np.add.reduceat(width, first) // 8)
+    byte = np.cumsum(length) - length
     at = np.cumsum(width) - width
+    at += np.repeat(8 * byte - at[first], sizes)
     shifted = codes << (at & 7)
-    out = np.zeros(int(-(-(at[-1] + width[-1]) // 8)) + 3)
+    out = np.zeros(int(length.sum()) + 3)
     for k in range(3):  # no two codes share a bit, so sums are unions
         out += np.bincount((at >> 3) + k, weights=(shifted >> (8 * k)) & 255, minlength=len(out))
-    return out[: int(-(-(at[-1] + width[-1]) // 8))].astype(np.uint8)
-
-
-def encode(samples: np.ndarray, width: int = WIDTH, frame_rows: int = FRAME_ROWS, delay_cs: int = DELAY_CS) -> bytes:
-    """Samples (a multiple of `width`) as grey frames of at most `frame_rows` rows, one after another."""
-    rows = len(samples) // width
-    parts = [b"GIF89a", struct.pack("<HHBBB", width, min(rows, frame_rows), 0xF7, 0, 0), GREY.tobytes()]
-    for at in range(0, rows, frame_rows):
-        h = min(frame_rows, rows - at)
-        parts += [b"\x21\xf9\x04", struct.pack("<BHB", 1 << 2, delay_cs, 0), b"\0", b"\x2c", struct.pack("<HHHHB", 0, 0, width, h, 0), b"\x08"]
-        parts.append(_blocks(pack(compress(samples[at * width : (at + h) * width].tobytes()))))
-    return b"".join([*parts, b"\x3b"])
+    out = out.astype(np.uint8)
+    return [out[a : a + n] for a, n in zip(byte.tolist(), length.tolist())]
+
+
+def encode(payloads: list[bytes], width: int = WIDTH, frame_rows: int = FRAME_ROWS, delay_cs: int = DELAY_CS) -> list[bytes]:
+    """Each payload (samples, a multiple of `width`) as grey frames of at most `frame_rows` rows, one after another."""
+    step = width * frame_rows
+    bodies = iter(pack([compress(p[a : a + step]) for p in payloads for a in range(0, len(p), step)]) if payloads else ())
+    out = []
+    for p in payloads:
+        parts = [b"GIF89a", struct.pack("<HHBBB", width, min(len(p) // width, frame_rows), 0xF7, 0, 0), GREY.tobytes()]
+        for a in range(0, len(p), step):
+            parts += [b"\x21\xf9\x04", struct.pack("<BHB", 1 << 2, delay_cs, 0), b"\0", b"\x2c", struct.pack("<HHHHB", 0, 0, width, min(step, len(p) - a) // width, 0), b"\x08", _blocks(next(bodies))]
+        out.append(b"".join([*parts, b"\x3b"]))
+    return out
 
 
 def _unblock(data: np.ndarray, at: int) -> tuple[np.ndarray, int]:
@@ -149,12 +156,17 @@ def _unblock(data: np.ndarray, at: int) -> tuple[np.ndarray, int]:
     return (np.concatenate(parts) if parts else np.zeros(0, np.uint8)), at
 
 
+@cache
+def _reading(minimum: int) -> np.ndarray:
+    return code_widths(minimum, READ)
+
+
 def unpack(data: np.ndarray, minimum: int) -> Iterator[list[int]]:
     """Codes of a stream, run by run: what stands between clear codes, the last up to the end code or the stream's end."""
     clear, end = 1 << minimum, (1 << minimum) + 1
     wide = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.int64)
     wide = wide[:-2] | wide[1:-1] << 8 | np.append(wide[2:], 0)[: len(wide) - 2] << 16
-    widths, bits, at, run = code_widths(minimum, READ), 8 * len(data), 0, []
+    widths, bits, at, run = _reading(minimum), 8 * len(data), 0, []
     place = 0
     while True:
         width = widths[place:] if place < READ else np.full(READ, 12)
@@ -191,18 +203,18 @@ def lzw(data: np.ndarray, minimum: int) -> np.ndarray:
             raise ValueError("code before any literal")
         entries, previous = fresh[:], fresh[run[0]]
         out.append(previous)
-        for code in run[1:]:
-            size = len(entries)
-            if code < size:
+        room = FULL - len(entries)  # the table grows with so many codes
+        for code in run[1 : room + 1]:
+            try:
                 word = entries[code]
-            elif code == size and size < FULL:
+            except IndexError:
+                if code > len(entries):
+                    raise ValueError("code beyond the table") from None
                 word = previous + previous[:1]
-            else:
-                raise ValueError("code beyond the table")
             out.append(word)
-            if size < FULL:
-                entries.append(previous + word[:1])
+            entries.append(previous + word[:1])
             previous = word
+        out += [entries[code] for code in run[room + 1 :]]
     return np.frombuffer(b"".join(out), np.uint8)
 
 
@@ -282,9 +294,8 @@ def histogram(frame: Frame) -> np.ndarray:
     return np.concatenate([np.bincount(seen[:, c] >> 5, minlength=BINS) for c in range(3)])
 
 
-def payload(text: str | None) -> bytes:
-    """UTF-8 bytes and zeros up to a positive multiple of WIDTH."""
-    raw = (text or "").encode()
+def payload(raw: bytes) -> bytes:
+    """Bytes and zeros up to a positive multiple of WIDTH."""
     return raw + bytes(-len(raw) % WIDTH if raw else WIDTH)
 
 
@@ -293,18 +304,14 @@ def to_gif(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     def run(batches):
         for batch in batches:
-            sizes, media, held, first = [], [], 0, 0
-            for t in batch.column(1):
-                raw = t.as_py()
-                sizes.append(len((raw or "").encode()))
-                media.append(encode(np.frombuffer(payload(raw), np.uint8)))
-                held += len(media[-1])
-                if held > HELD:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(media)), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
-                    first += len(media)
-                    sizes, media, held = [], [], 0
-            if media:
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(media)), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
+            first, held, texts = 0, 0, []
+            for i, t in enumerate(batch.column(1)):
+                texts.append((t.as_py() or "").encode())
+                held += len(texts[-1])
+                if held > HELD or i == batch.num_rows - 1:
+                    media = encode([payload(x) for x in texts])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(map(len, texts), pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
+                    first, held, texts = i + 1, 0, []
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, n_bytes bigint, media binary")

@@ -5,9 +5,10 @@ of an n-gram's slots returns every language that contains it (a bit-sliced filte
 popcount for a language is corrected for the filter's false positives,
 (hits - n * rate) / (1 - rate), and the largest decides.
 
-Model fitting reads at most `SAMPLE` labelled rows, those of the smallest id hash.  An n-gram enters a
-language's filter if `SHARE` of that language's sample rows hold it, so the number of entries is
-bounded by the texts' mean number of n-grams over SHARE, whatever the corpus.
+The languages are those of all labelled rows.  Model fitting reads at most `SAMPLE` labelled rows of each language,
+those of the smallest hash of id and text.  An n-gram enters a language's filter if `SHARE` of that language's sample
+rows hold it, so the number of entries is bounded by the texts' mean number of n-grams over SHARE, whatever the
+corpus.  A mask has 64 languages; more have further masks.
 
 Edge cases: null texts and texts without a letter give `und` and score 0; texts too short for an
 n-gram, or without a known one, get the commonest learned language and score 0; ties go to the
@@ -25,14 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import bounded_sample, field, whole_rows
+from gaugeworks.llm.common import bounded_sample, durable, field, whole_rows
 from gaugeworks.llm.textbatch import LOWER, text_slices
 
-#: Bytes of an n-gram, labelled rows read at most, least share of a language's rows, bits of the slot number.
+#: Bytes of an n-gram, labelled rows of a language read at most, least share of a language's rows, bits of the slot number.
 GRAM = 4
-SAMPLE = 10_000
+SAMPLE = 5_000
 SHARE = 0.002
 SLOT_BITS = 20
+#: Languages of a mask.
+MASK = 64
 _MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93))
 _LETTERS = LOWER.copy()
 _LETTERS[[b for b in range(128) if not chr(b).isalpha()]] = 32
@@ -41,7 +44,7 @@ _LETTERS[[b for b in range(128) if not chr(b).isalpha()]] = 32
 @dataclass
 class Filter:
     languages: list[str]
-    slots: np.ndarray
+    slots: list[np.ndarray]
     rates: np.ndarray
     default: str
 
@@ -77,10 +80,11 @@ def places(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, share: float = SHARE) -> Filter:
-    """Learns the filter from text and language of a bounded sample of the rows."""
+    """Learns the filter from text and language of a bounded sample of each language's rows."""
     rows = labelled.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("doc_id is not null and lang is not null")
-    ids = bounded_sample(rows.select("doc_id"), sample)
-    taken = rows.join(F.broadcast(ids.distinct()), "doc_id", "left_semi")
+    rows = rows.withColumn("h", F.xxhash64("doc_id", "text"))
+    chosen = bounded_sample(rows.select("h", "lang"), sample, "h", "lang").distinct()
+    taken = durable(rows.join(F.broadcast(chosen), ["h", "lang"]).dropDuplicates(["h", "lang"]).select("text", "lang"))
 
     def count(batches):
         for batch in batches:
@@ -96,33 +100,37 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
             yield pa.RecordBatch.from_arrays([names, pa.array((keys & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
 
     sizes = {r.lang: r.n for r in taken.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    all_rows = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(sizes)
-    kind = np.min_scalar_type((1 << len(languages)) - 1) if len(languages) <= 64 else None
-    if kind is None:
-        raise ValueError("a mask holds 64 languages")
-    slots = np.zeros(1 << SLOT_BITS, kind if languages else np.uint8)
+    slots = [np.zeros(1 << SLOT_BITS, np.min_scalar_type((1 << min(MASK, len(languages) - a)) - 1)) for a in range(0, len(languages), MASK)]
     if languages:
-        least = F.coalesce(*[F.when(F.col("lang") == x, max(2.0 if sizes[x] > 20 else 1.0, share * sizes[x])) for x in languages])
-        kept = taken.select("text", "lang").mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("lang", "gram").toPandas()
-        for bit, x in enumerate(languages):
-            for at in places(kept["gram"].to_numpy(np.int64)[(kept["lang"] == x).to_numpy()]):
-                slots[at] |= slots.dtype.type(1 << bit)
-    fill = np.array([np.mean((slots >> slots.dtype.type(b)) & slots.dtype.type(1)) for b in range(len(languages))])
-    return Filter(languages, slots, fill ** len(_MIX), max(languages, key=lambda x: (sizes[x], x), default="und"))
+        least = F.create_map(*[x for n in languages for x in (F.lit(n), F.lit(max(2.0 if sizes[n] > 20 else 1.0, share * sizes[n])))])
+        kept = taken.select("text", "lang").mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= F.element_at(least, F.col("lang"))).select("lang", "gram").toPandas()
+        for lang, own in kept.groupby("lang")["gram"]:
+            k, bit = divmod(languages.index(lang), MASK)
+            for at in places(own.to_numpy(np.int64)):
+                slots[k][at] |= slots[k].dtype.type(1 << bit)
+    fill = np.array([np.mean(_bit(slots[b // MASK], b % MASK)) for b in range(len(languages))])
+    return Filter(languages, slots, fill ** len(_MIX), max(languages, key=lambda x: (all_rows[x], x), default="und"))
+
+
+def _bit(masks: np.ndarray, bit: int) -> np.ndarray:
+    return (masks >> masks.dtype.type(bit)) & masks.dtype.type(1)
 
 
 def decide(model: Filter, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Language numbers (-1: none known) and scores: the corrected share of the n-grams that it holds."""
     g, n = grams(buf, offs)
     first, second = places(g)
-    masks = model.slots[first] & model.slots[second]
     ends = np.cumsum(n)
     corrected = np.zeros((len(n), len(model.languages)))
-    for b in range(len(model.languages)):
-        ones = np.zeros(len(masks) + 1, np.int64)
-        np.cumsum((masks >> masks.dtype.type(b)) & masks.dtype.type(1), out=ones[1:])
-        hits = ones[ends] - ones[ends - n]
-        corrected[:, b] = np.maximum(0, hits - n * model.rates[b]) / max(1e-9, 1 - model.rates[b])
+    for k, slots in enumerate(model.slots):
+        masks = slots[first] & slots[second]
+        for b in range(k * MASK, min((k + 1) * MASK, len(model.languages))):
+            ones = np.zeros(len(masks) + 1, np.int64)
+            np.cumsum(_bit(masks, b % MASK), out=ones[1:])
+            hits = ones[ends] - ones[ends - n]
+            corrected[:, b] = np.maximum(0, hits - n * model.rates[b]) / max(1e-9, 1 - model.rates[b])
     if not model.languages:
         return np.full(len(n), -1), np.zeros(len(n))
     best = corrected.argmax(axis=1)
@@ -161,7 +169,9 @@ def identify(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: s
 
 
 def accepted(docs: DataFrame, model: Filter, least: float = 0.05, text_col: str = "text") -> DataFrame:
-    """The rows whose text is in a learned language: not `und`, and LEAST of its n-grams are the language's."""
+    """The rows whose text is in a learned language: not `und`, and LEAST of its n-grams are the language's.  All, if none was learned."""
+    if not model.languages:
+        return docs
     rows = whole_rows(docs).withColumn("_text", field(text_col))
     found = with_language(rows, model, "_text", ("_lang_pred", "_lang_score"))
     return found.where((F.col("_lang_pred") != "und") & (F.col("_lang_score") >= least)).select("_all.*")

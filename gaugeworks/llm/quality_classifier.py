@@ -5,8 +5,9 @@ the log-ratio of the classes' smoothed counts, brought to unit length, and separ
 hinge-loss model fitted by dual coordinate descent.  Margins become probabilities by a logistic
 curve fitted on rows that the hinge fit doesn't see.
 
-Fitting reads at most `SAMPLE` labelled rows, those of the smallest id hash.  Scoring covers every
-whole text and ships a model of fixed size.
+Fitting reads at most `SAMPLE` of the labelled texts that it may learn from, those of the smallest hash of id and text,
+and of these, in that order, as many as have COLUMNS_HELD indicators together.  Scoring covers every whole text and
+ships a model of fixed size.
 
 Edge cases: null and empty texts have no indicator and get the score of margin `bias`; rows with a
 null label, id or text teach nothing (an empty text does); repeated labels of one id count by their mean; if
@@ -22,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import bounded_sample
+from gaugeworks.llm.common import bounded_sample, durable
 from gaugeworks.llm.textbatch import LOWER, Words, text_slices, xxh64
 
 SAMPLE = 10_000
+#: Indicators of all sampled texts that the driver holds: 64 MB.
+COLUMNS_HELD = 1 << 24
 BITS = 18
 #: Added to each column's count; the dual box; passes of coordinate descent.
 ALPHA, BOX, PASSES = 1.0, 1.0, 12
@@ -167,7 +170,8 @@ def train(columns: np.ndarray, n: np.ndarray, y: np.ndarray) -> Model:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Model:
     """Learns from a bounded sample of the labelled documents."""
     marks = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label")).where("doc_id is not null and label is not null").groupBy("doc_id").agg((F.avg("label") >= 0.5).alias("label"))
-    chosen = bounded_sample(marks, sample)
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text is not null").withColumn("h", F.xxhash64("doc_id", "text"))
+    chosen = bounded_sample(texts.select("doc_id", "h").join(marks, "doc_id"), sample, "h").dropDuplicates(["h"])
 
     def columns_of(batches):
         for batch in batches:
@@ -178,8 +182,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             if lists:
                 yield pa.RecordBatch.from_arrays([pa.concat_arrays(lists), batch.column(1), batch.column(2)], ["c", "label", "h"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text is not null").join(F.broadcast(chosen), "doc_id")
-    got = rows.select("text", "label", F.xxhash64("doc_id").alias("h")).mapInArrow(columns_of, "c array<int>, label boolean, h bigint").toArrow().sort_by("h").combine_chunks()
+    rows = texts.drop("doc_id").join(F.broadcast(chosen.select("h", "label")), "h").dropDuplicates(["h"])
+    made = durable(rows.select("text", "label", "h").mapInArrow(columns_of, "c array<int>, label boolean, h bigint"))
+    sizes = made.select("h", F.size("c").alias("n")).toArrow().sort_by("h")
+    fits = int(np.searchsorted(np.cumsum(sizes.column("n").to_numpy()), COLUMNS_HELD, "right"))
+    last = int(sizes.column("h")[max(0, min(fits, len(sizes)) - 1)].as_py()) if len(sizes) else 0
+    got = made.where(F.col("h") <= last).toArrow().sort_by("h").combine_chunks()
     lists = got.column("c").combine_chunks()
     n = lists.value_lengths().to_numpy().astype(np.int64)
     return train(lists.flatten().to_numpy().astype(np.int64), n, got.column("label").to_numpy().astype(bool))
