@@ -160,6 +160,17 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "h bigint, cls int, n bigint").groupBy("h").agg(F.min("cls").alias("cls"), F.sum("n").alias("n"))
 
 
+def common_from(counts: DataFrame, most: int = FREQUENT) -> int:
+    """The least count of which at most `most` words have as much or more, from a histogram of powers of 2**(1/16)."""
+    step = F.floor(F.log2("n") * 16).cast("int")
+    have = 0
+    for r in sorted(counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least"), F.max("n").alias("top")).collect(), key=lambda r: -r.step):
+        have += r.words
+        if have > most:
+            return r.top + 1
+    return 1
+
+
 def gradient_round(texts: DataFrame, weights: np.ndarray, workers: int) -> np.ndarray:
     """One distributed update: workers' changes, each feature row averaged by its uses."""
     sent = texts.sparkSession.sparkContext.broadcast(weights)
@@ -209,7 +220,7 @@ def score(docs: DataFrame, training: F.Column, id_col: str = "doc_id", text_col:
     by_class = {r.cls: (r.n, r.v) for r in counts.groupBy("cls").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
     total, types = sum(n for n, _ in by_class.values()), sum(v for _, v in by_class.values())
     room = np.array([sum(by_class.get(c, (0, 0))) + 1 for c in range(CLASSES)], np.float64)
-    common = counts.orderBy(F.desc("n"), "h").limit(FREQUENT).select("h", "n").toArrow()
+    common = counts.where(F.col("n") >= common_from(counts)).select("h", "n").toArrow()
     keys, known = common.column("h").to_numpy().view(np.uint64), common.column("n").to_numpy()
     order = np.argsort(keys)
     weights = np.zeros((ROWS, CLASSES), np.float32)
