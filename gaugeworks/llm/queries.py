@@ -167,6 +167,6 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline from documents to packed sequences."""
-    import corpus_pipeline
+    from gaugeworks.llm import pipeline as stages
 
-    return corpus_pipeline.run(spark, sf_dir)
+    return stages.run(spark, sf_dir)

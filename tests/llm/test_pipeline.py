@@ -2,12 +2,13 @@ from collections import Counter
 
 import public_tokenizers
 
-import corpus_pipeline as cp
-from gaugeworks.llm import language_id, simhash
+from gaugeworks.llm import language_id, mixing, simhash
+from gaugeworks.llm import pipeline as cp
 from tests.llm.cases import frame, rows
 from tests.llm.test_line_dedup import brute as brute_lines
+from tests.llm.test_mixing import brute as brute_mix
 from tests.llm.test_packing import brute_pieces, check
-from tests.llm.test_simhash import shingle_set
+from tests.llm.test_simhash import closure, shingle_set, similarities
 
 DIR = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -36,20 +37,30 @@ def test_each_stage(spark):
             assert after == sorted((x for x in brute_lines(before) if x[1] == had[x[0]] or (x[1] or "").strip()), key=str)
             assert all(r.n_chars == len(r.text) for r in out.collect())
         elif name == "simhash":
-            near = {r.doc_id: r.component_id for r in simhash.similar_documents(docs).collect()}
-            assert after == [x for x in before if near[x[0]] == x[0]]
-            sets = [shingle_set(t) for _, t in after]
-            close = [len(a & b) / len(a | b) for k, a in enumerate(sets) for b in sets[k + 1 :] if a & b]
-            assert max(close, default=0) < 0.85 and len(after) >= 0.9 * len(before)
+            assert after == brute_near(before)
         else:
             assert after == before
         docs = spark.createDataFrame(out.collect(), out.schema)
 
 
 def test_mix_is_the_order_of_the_rows(spark):
-    docs = spark.read.parquet(f"{DIR}/documents.parquet")
-    got = [r.source for r in cp.mix(spark, docs, DIR).collect()]
-    assert Counter(got) == Counter(r.source for r in docs.collect())
+    """Files hold the rows in the order of the schedule: each block of 64 rows is of the source that brute force puts there."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sizes = Counter(r.source for r in docs.collect())
+    planned = mixing.phases({s: -(-n // mixing.BLOCK_DOCS) for s, n in sizes.items()}, cp.WEIGHTS)
+    left, want = Counter(sizes), []
+    for _, (s, _) in sorted(brute_mix(planned).items()):
+        n = min(mixing.BLOCK_DOCS, left[s])
+        want += [s] * n
+        left[s] -= n
+    assert [r.source for r in cp.mix(spark, docs, DIR).collect()] == want
+
+
+def brute_near(rows_):
+    """One text of each component of the pairs of similarity 0.8, that of the smallest id."""
+    data = sorted(rows_)
+    groups = closure(len(data), [p for p, v in similarities([shingle_set(t) for _, t in data]).items() if v >= 0.8])
+    return sorted((r for k, r in enumerate(data) if groups[k] == k), key=str)
 
 
 def test_edge_cases(spark, tmp_path):
@@ -65,5 +76,11 @@ def test_edge_cases(spark, tmp_path):
 
 
 def test_run(spark):
-    got = cp.run(spark, DIR).collect()
-    assert len(got) > 100 and public_tokenizers.path("word_bpe_49k.json") == cp.TOKENIZER
+    """All stages together against brute force: which texts are left, and their pieces."""
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    found = {r.doc_id: r for r in language_id.identify(docs, language_id.fit(docs)).collect()}
+    left = [x for x in text_of(docs) if found[x[0]].lang_pred != "und" and found[x[0]].score >= 0.05]
+    had = dict(left)
+    left = brute_near([x for x in brute_lines(left) if x[1] == had[x[0]] or (x[1] or "").strip()])
+    check(cp.run(spark, DIR).collect(), brute_pieces(left), 2)
+    assert len(left) > 100 and public_tokenizers.path("word_bpe_49k.json") == cp.TOKENIZER
