@@ -1,59 +1,5 @@
-"""A corpus pipeline: each stage works on all that the one before kept.
+"""The corpus pipeline (language ID, line dedup, SimHash, mixing, packing); its stages are in gaugeworks/llm/pipeline.py."""
 
-Every stage takes (spark, docs, sf_dir) and returns a frame, which run() writes as Parquet into the
-shared folder and reads again, so a lost executor costs a re-read of files.
-"""
+from gaugeworks.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-import uuid
-
-import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-
-from gaugeworks.llm import language_id, line_dedup, mixing, packing, simhash
-from gaugeworks.llm.common import shared_dir, table
-
-#: Target weights of the mix; sources that aren't named weigh 1.
-WEIGHTS: dict[str, float] = {}
-TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-
-
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts in none of the languages that `lang` teaches go."""
-    return language_id.accepted(docs, language_id.fit(docs))
-
-
-def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Blocks that an earlier document has go; documents of which nothing is left go with them."""
-    left = line_dedup.dedup_lines(docs, windows=True)
-    return left.where("dedup_removed = 0 or text rlike '[^\\\\s]'").selectExpr(*["if(dedup_removed = 0, n_chars, char_length(text)) as n_chars" if c == "n_chars" else f"`{c}`" for c in docs.columns])
-
-
-def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return simhash.keep_one(docs, width=5)
-
-
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mix."""
-    return mixing.in_order(mixing.interleave(docs, WEIGHTS)).select(docs.columns)
-
-
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, packed into sequences."""
-    return packing.pack(docs, TOKENIZER)
-
-
-STAGES = [("language_id", identify_language), ("line_dedup", dedup_lines), ("simhash", dedup_near), ("mixing", mix), ("packing", pack)]
-#: Tokens and alignments can't be expressed in SQL; tests hold each stage against brute force.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
-        docs = spark.read.parquet(f"{base}/{name}")
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
