@@ -274,22 +274,20 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 yield keys[a + doc], hashes[a + doc], start - offs[doc], windows, bucket, code, buf, start
 
     def all_of(batches):
+        """All fragments; the first of each kind in a slice counts them all, the others none."""
         for key, text, local, windows, bucket, code, _, _ in cut(batches):
-            packed = local << 28 | windows << 16 | (bucket & np.uint64(0xFFFF)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(key), pa.array(text), pa.array(packed)], ["code", "doc_key", "text_hash", "packed"])
-
-    def merged(batches):
-        """A row for each distinct fragment of a slice, with its first occurrence there."""
-        for key, _, local, _, bucket, code, _, _ in cut(batches):
             order = np.lexsort((local, key, code, bucket))
             b, c = bucket[order], code[order]
             new = np.ones(len(order), bool)
             new[1:] = (b[1:] != b[:-1]) | (c[1:] != c[:-1])
             at = np.flatnonzero(new)
-            times = np.diff(np.append(at, len(order)))
-            yield pa.RecordBatch.from_arrays([pa.array(b[at].view(np.int64)), pa.array(c[at].view(np.int64)), pa.array(key[order][at]), pa.array(local[order][at]), pa.array(times.astype(np.int64))], ["bucket", "code", "doc_key", "start", "times"])
+            times = np.zeros(len(order), np.int32)
+            times[order[at]] = np.diff(np.append(at, len(order)))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(code.view(np.int64)), pa.array(key), pa.array(text), pa.array(local << 12 | windows), pa.array(times)], ["bucket", "code", "doc_key", "text_hash", "place", "times"])
 
-    distinct = texts.mapInArrow(merged, "bucket bigint, code bigint, doc_key bigint, start bigint, times bigint").groupBy("bucket", "code").agg(F.min(F.struct("doc_key", "start")).alias("first"), F.sum("times").alias("times"))
+    # written once; read for the first occurrences and again for the verdicts
+    seen = durable(texts.mapInArrow(all_of, "bucket bigint, code bigint, doc_key bigint, text_hash bigint, place bigint, times int"))
+    distinct = seen.where("times > 0").groupBy("bucket", "code").agg(F.min(F.struct("doc_key", F.shiftright("place", 12).alias("start"))).alias("first"), F.sum("times").alias("times"))
     distinct = durable(distinct.select("bucket", "code", F.col("first.doc_key").alias("first_key"), F.col("first.start").alias("first_start"), "times"))
     _release(spark)
     several = distinct.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
@@ -336,11 +334,9 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     parts = texts.mapInArrow(bytes_of, "bucket bigint, code bigint, doc_key bigint, start bigint, raw binary").repartition(n, "bucket").sortWithinPartitions("bucket", "code", "doc_key", "start")
     judged = durable(parts.mapInArrow(judge, "bucket bigint, code bigint, begin array<int>, past array<int>"))
     _release(spark)
-    tag = F.col("bucket").bitwiseAND(F.lit(0xFFFF))
-    verdicts = distinct.join(judged, ["bucket", "code"], "left").where("times > 1 or begin is not null").select("code", tag.alias("tag"), "first_key", "first_start", "begin", "past")
-    seen = texts.mapInArrow(all_of, "code bigint, doc_key bigint, text_hash bigint, packed bigint")
-    both = seen.join(verdicts, "code").where(F.col("packed").bitwiseAND(F.lit(0xFFFF)) == F.col("tag"))
-    start, windows = F.shiftright("packed", 28), F.shiftright("packed", 16).bitwiseAND(F.lit(0xFFF)).cast("int")
+    verdicts = distinct.join(judged, ["bucket", "code"], "left").where("times > 1 or begin is not null").select("bucket", "code", "first_key", "first_start", "begin", "past")
+    both = seen.drop("times").join(verdicts, ["bucket", "code"])
+    start, windows = F.shiftright("place", 12), F.col("place").bitwiseAND(F.lit(0xFFF)).cast("int")
     own = (F.col("doc_key") == F.col("first_key")) & (start == F.col("first_start"))
     runs = F.when(own, F.arrays_zip("begin", "past")).otherwise(F.array(F.struct(F.lit(0).alias("begin"), windows.alias("past"))))
     found = both.select("doc_key", "text_hash", start.alias("start"), F.explode(runs).alias("r")).select("doc_key", "text_hash", (F.col("start") + F.col("r.begin")).alias("begin"), (F.col("start") + F.col("r.past") + (length - 1)).alias("past"))
