@@ -334,7 +334,8 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     parts = texts.mapInArrow(bytes_of, "bucket bigint, code bigint, doc_key bigint, start bigint, raw binary").repartition(n, "bucket").sortWithinPartitions("bucket", "code", "doc_key", "start")
     judged = durable(parts.mapInArrow(judge, "bucket bigint, code bigint, begin array<int>, past array<int>"))
     _release(spark)
-    verdicts = distinct.join(judged, ["bucket", "code"], "left").where("times > 1 or begin is not null").select("bucket", "code", "first_key", "first_start", "begin", "past")
+    # written, so that the join can split the rows of a fragment that very many texts have
+    verdicts = durable(distinct.join(judged, ["bucket", "code"], "left").where("times > 1 or begin is not null").select("bucket", "code", "first_key", "first_start", "begin", "past"))
     both = seen.drop("times").join(verdicts, ["bucket", "code"])
     start, windows = F.shiftright("place", 12), F.col("place").bitwiseAND(F.lit(0xFFF)).cast("int")
     own = (F.col("doc_key") == F.col("first_key")) & (start == F.col("first_start"))
