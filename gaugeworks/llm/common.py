@@ -51,15 +51,17 @@ def fold(col: str, modulus: int) -> F.Column:
 def bounded_sample(rows: DataFrame, limit: int, key: str, by: str | None = None) -> DataFrame:
     """At most `limit` rows, or as many of each value of `by`: those of the smallest `key`, a hash.  A documented bound for model fitting.
 
-    Rows are counted first, and only those below a threshold that lets a few more than `limit` through are sorted.
+    Rows are counted first (a number for each value of `by` goes to the driver), and only those below a threshold
+    that lets a few more than `limit` through are dealt out and sorted.
     """
     group = F.col(by) if by else F.lit(0)
-    sizes = rows.groupBy(group.alias("_by")).agg(F.count(F.lit(1)).alias("_n"))
-    share = F.least(F.lit(1.0), (limit + 6 * limit**0.5 + 20) / F.col("_n"))
-    below = (share * 2.0**64 - 2.0**63).alias("_below")
-    few = rows.withColumn("_by", group).join(sizes.select("_by", below), "_by").where(F.col(key).cast("double") <= F.col("_below"))
+    sizes = {r.v: r.n for r in rows.groupBy(group.alias("v")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = {v: min(1.0, (limit + 6 * limit**0.5 + 20) / n) for v, n in sizes.items() if v is not None}
+    if not share:
+        return rows.limit(0)
+    below = F.element_at(F.create_map(*[x for v, p in share.items() for x in (F.lit(v), F.lit(p * 2.0**64 - 2.0**63))]), group)
     rank = F.row_number().over(Window.partitionBy("_by").orderBy(key))
-    return few.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_by", "_below", "_rank")
+    return rows.where(F.col(key).cast("double") <= below).withColumn("_by", group).withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_by", "_rank")
 
 
 def whole_rows(docs: DataFrame) -> DataFrame:
