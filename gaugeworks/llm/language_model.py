@@ -33,7 +33,7 @@ CLASSES = 64
 PARTS = (4096, 2048, 2048)
 ROWS = sum(PARTS) + 1
 FREQUENT = 1 << 18
-ROUNDS, BATCH, RATE = 2, 4096, 0.12
+ROUNDS, BATCH, RATE = 2, 16_384, 0.12
 BLOCK = 128
 #: Distinct words that a task counts before it hands them on.
 HELD = 1 << 20
@@ -94,9 +94,9 @@ def features(h: np.ndarray, c: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def _softmax(weights: np.ndarray, f: np.ndarray) -> np.ndarray:
-    s = weights[f[0]]
-    s += weights[f[1]]
-    s += weights[f[2]]
+    s = weights.take(f[0], axis=0)
+    s += weights.take(f[1], axis=0)
+    s += weights.take(f[2], axis=0)
     s += weights[-1]
     s -= s.max(axis=1, keepdims=True)
     np.exp(s, out=s)
@@ -115,10 +115,17 @@ def steps(weights: np.ndarray, squares: np.ndarray, uses: np.ndarray, f: np.ndar
                 at, total, k = np.array([ROWS - 1]), g.sum(axis=0, keepdims=True), np.array([len(y)])
             else:
                 order = np.argsort(rows, kind="stable")
-                at, first, k = np.unique(rows[order], return_index=True, return_counts=True)
-                total = np.add.reduceat(g[order], first, axis=0)
-            squares[at] += total * total
-            weights[at] -= RATE * total / np.sqrt(squares[at] + 1e-2)
+                ranked = rows[order]
+                first = np.flatnonzero(np.diff(ranked, prepend=-1))
+                at, k = ranked[first], np.diff(first, append=len(ranked))
+                total = np.add.reduceat(g.take(order, axis=0), first, axis=0)
+            square = squares.take(at, axis=0) + total * total
+            squares[at] = square
+            square += 1e-2
+            np.sqrt(square, out=square)
+            total *= RATE
+            total /= square
+            weights[at] -= total
             uses[at] += k
 
 
