@@ -2,9 +2,9 @@
 
 P(word | history) = P(class | history) * P(group | class, history) * P(word | class, group).  The class
 of a word is a hash of its ending and its group a hash of the word, so every word has both, seen or not.
-The first two factors are softmaxes over hashed features of the history, of the class too in the second: the
-word before, the pair of classes before, and a skip feature, the word before that.  The last factor is
-the group's unigram with one added for each type and for the unseen: CLASSES * GROUPS groups tell most
+The first two factors are softmaxes over hashed features of the history: the word before, a skip
+feature, the word before that, and, in the first, the pair of classes before; in the second each goes with the
+class.  The last factor is the group's unigram with one added for each type and for the unseen: CLASSES * GROUPS groups tell most
 of the common words apart.  There are more feature rows the more distinct words were learned (`Shape.of`).
 
 Counts cover all training rows.  Weights come from distributed gradient updates: in each round,
@@ -38,7 +38,7 @@ CLASSES = GROUPS = 32
 FREQUENT = 1 << 18
 ROUNDS, BATCH, RATE = 2, 32_768, 0.12
 BLOCK = 128
-#: Tokens that a worker of a gradient round learns from, until there are `WORKERS` of them.
+#: Tokens that a worker of a gradient round learns from, for each time the least number of feature rows, until there are `WORKERS` of them.
 SHARE, WORKERS = 1 << 21, 4096
 #: Distinct words that a task counts before it hands them on.
 HELD = 1 << 20
@@ -49,18 +49,20 @@ _A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F,
 
 
 class Shape(NamedTuple):
-    """Feature rows of the class softmax (word before, classes before, word before that, one bias), then of the group softmax (the same by class, a bias for each class)."""
+    """Feature rows of the class softmax (word before, word before that, classes before; one bias), then of the group softmax (the first two by class; a bias for each class)."""
 
-    first: tuple[int, int, int] = (4096, 2048, 2048)
-    second: tuple[int, int, int] = (8192, 4096, 4096)
+    first: tuple[int, ...] = (4096, 2048, 2048)
+    second: tuple[int, ...] = (8192, 4096)
+    times: int = 1
 
     @staticmethod
     def of(types: int) -> Shape:
-        """Twice the rows for each doubling of the distinct words beyond 2**18, up to eight times (25 MB of weights)."""
+        """Rows grow with the root of the distinct words: twice as many for four times the words beyond 2**22, up to 16 times (40 MB of weights)."""
         times = 1
-        while times < 8 and types > times << 18:
+        while times < 16 and types > (times * times) << 22:
             times *= 2
-        return Shape(*(tuple(x * times for x in part) for part in Shape()))
+        first, second, _ = Shape()
+        return Shape(tuple(x * times for x in first), tuple(x * times for x in second), times)
 
     @property
     def bias(self) -> tuple[int, int]:
@@ -115,8 +117,8 @@ def features(h: np.ndarray, leaf: np.ndarray, n: np.ndarray, shape: Shape) -> tu
     out: tuple[list, list] = ([], [])
     base = 0
     with np.errstate(over="ignore"):
-        hashed = before * _A, (c1 * np.uint64(CLASSES + 1) + c2) * _B, skip * _C
-        for k, (rows, sizes) in enumerate(zip(out, shape)):
+        hashed = before * _A, skip * _C, (c1 * np.uint64(CLASSES + 1) + c2) * _B
+        for k, (rows, sizes) in enumerate(zip(out, shape[:2])):
             for x, size in zip(hashed, sizes):
                 x = ((x >> np.uint64(24)) + c + np.uint64(1)) * _D if k else x
                 rows.append(((x >> np.uint64(32)) % np.uint64(size)).astype(np.int64) + base)
@@ -251,7 +253,7 @@ def gradient_round(texts: DataFrame, weights: np.ndarray, shape: Shape, workers:
 
     schema = "block int, uses binary, change binary"
     out = weights.copy()
-    for r in texts.repartition(workers, "k").sortWithinPartitions("k").mapInArrow(run, schema).repartition(8, "block").mapInArrow(add, schema).collect():
+    for r in texts.repartition(workers, "k").sortWithinPartitions("k").mapInArrow(run, schema).repartition("block").mapInArrow(add, schema).collect():
         a = r.block * BLOCK
         u = np.frombuffer(r.uses, np.int64)
         out[a : a + BLOCK] += (np.frombuffer(r.change, np.float64).reshape(len(u), -1) / np.maximum(u, 1)[:, None]).astype(np.float32)
@@ -279,7 +281,7 @@ def score(docs: DataFrame, training: F.Column, id_col: str = "doc_id", text_col:
     one, many = shape.bias
     weights[one] = np.log(room.sum(axis=1)) - np.log(room.sum(axis=1)).mean()
     weights[many:] = np.log(room) - np.log(room).mean(axis=1, keepdims=True)
-    workers = min(WORKERS, max(1, -(-total // (ROUNDS * SHARE))))
+    workers = min(WORKERS, max(1, -(-total // (ROUNDS * SHARE * shape.times))))
     for r in range(ROUNDS if total else 0):
         # Bits apart from those that the dealing out reads.
         weights = gradient_round(learn.where(F.pmod(F.shiftright("k", 40), F.lit(ROUNDS)) == r), weights, shape, workers)

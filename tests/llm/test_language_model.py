@@ -94,7 +94,7 @@ def test_gradient():
     lm.steps(moved, unit, np.zeros(shape.rows, np.int64), f, leaf)
     assert lm._leaf_log10(moved, f, leaf).sum() > before
     gradient = (w - moved).astype(np.float64) * 1e4 / lm.RATE
-    for row in (f[0][0][2], f[1][0][2], f[0][3], f[1][3][1]):
+    for row in (f[0][0][2], f[1][0][2], f[0][3], f[1][2][1]):
         for col in (0, int(leaf[2]) // lm.GROUPS, int(leaf[2]) % lm.GROUPS):
             side = []
             for d in (1e-2, -1e-2):
@@ -125,8 +125,8 @@ def test_score_does_not_depend_on_partitions(spark, monkeypatch):
 
 
 def test_shape_grows_with_the_words():
-    sizes = [lm.Shape.of(n).rows for n in (0, 1 << 18, (1 << 18) + 1, 1 << 20, 1 << 40)]
-    assert sizes[0] == sizes[1] < sizes[2] < sizes[3] < sizes[4] < 1 << 18
+    sizes = [lm.Shape.of(n).rows for n in (0, 1 << 22, (1 << 22) + 1, 1 << 26, 1 << 40)]
+    assert sizes[0] == sizes[1] < sizes[2] < sizes[3] < sizes[4] < 1 << 19
 
 
 def test_edge_cases(spark):
