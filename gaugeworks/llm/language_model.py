@@ -253,7 +253,8 @@ def gradient_round(texts: DataFrame, weights: np.ndarray, shape: Shape, workers:
 
     schema = "block int, uses binary, change binary"
     out = weights.copy()
-    for r in texts.repartition(workers, "k").sortWithinPartitions("k").mapInArrow(run, schema).repartition("block").mapInArrow(add, schema).collect():
+    # The bound on workers, and so on the changes they send, holds where a session deals into more partitions too.
+    for r in texts.repartition(workers, "k").coalesce(workers).sortWithinPartitions("k").mapInArrow(run, schema).repartition("block").mapInArrow(add, schema).collect():
         a = r.block * BLOCK
         u = np.frombuffer(r.uses, np.int64)
         out[a : a + BLOCK] += (np.frombuffer(r.change, np.float64).reshape(len(u), -1) / np.maximum(u, 1)[:, None]).astype(np.float32)
