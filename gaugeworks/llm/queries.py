@@ -164,6 +164,121 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", F.col("dedup_lines").alias("n_lines"), F.col("dedup_removed").alias("n_removed"), F.col("dedup_copy").alias("is_copy"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+#: crc32 in DuckDB: of a list `b` of byte numbers, by the eight steps of each byte.
+_CRC_BYTE = "list_reduce(list_prepend(xor(c, v), [0, 1, 2, 3, 4, 5, 6, 7]), lambda r, k: case when r % 2 = 1 then xor(r // 2, 3988292384) else r // 2 end)"
+
+
+def _crc32(b: str) -> str:
+    return f"xor(list_reduce(list_prepend(4294967295, {b}), lambda c, v: {_CRC_BYTE}), 4294967295)"
+
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op11_lexical_search",
+    f"""
+    with d as (select row_number() over () as r, doc_id, {_TERMS} as t from documents),
+    q as (select row_number() over () as q, item_id, {_TERMS} as t from benchmark),
+    e as (select q, item_id, term, count(*) as times from (select q, item_id, unnest(t) as term from q) group by q, item_id, term),
+    p as (select r, term, count(*) as tf from (select r, unnest(t) as term from d) where term in (select term from e) group by r, term),
+    c as (select count(*) filter (len(t) > 0) as n, sum(len(t))::bigint as l from d),
+    w as (select term, floor(1000 * ln((2 * n + 2)::double / (2 * df + 1)::double))::bigint as w from (select term, count(*) as df from p group by term), c),
+    m as (select r, doc_id, 75 + (25 * len(t) * n) // l as m from d, c where l > 0),
+    s as (
+      select q, item_id, m.r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+      from e join w on e.term = w.term join p on e.term = p.term join m on p.r = m.r
+      group by q, item_id, m.r, doc_id),
+    k as (select item_id, row_number() over (partition by q order by score desc, doc_id nulls last)::int as rank, doc_id, score from s where score > 0)
+    select item_id, rank, doc_id, score from k where rank <= 20
+    """,
+)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all documents for every item."""
+    from gaugeworks.llm.lexical_search import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+@query(
+    "op12_periodic_runs",
+    rf"""
+    with t as (
+      select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x09-\x0D ]+'), lambda x: x <> '') as w,
+        {_crc32("list_transform(string_split(doc_id::varchar, ''), lambda x: ord(x)::bigint)")} as h
+      from documents),
+    g as (select r, doc_id, w, len(w)::bigint as n, h, h // 10 as g from t),
+    a as (select *, if(h % 10 = 0 and n > 0, g % n, n) as a from g),
+    b as (select *, 1 + (n - a) // (3 + g % 8) as p from a),
+    v as (select r, i, w[if(i < a, i, a + (i - a) % p) + 1] as x from (select *, unnest(range(n)) as i from b)),
+    k as (select r, i, row(x, lead(x) over o, lead(x, 2) over o) as k, lead(x, 2) over o is not null as whole from v window o as (partition by r order by i)),
+    e as (
+      select x.r, x.i, y.i - x.i as q
+      from k x join k y on x.r = y.r and x.k = y.k and y.i > x.i join b on b.r = x.r
+      where x.whole and y.whole and 4 * (y.i - x.i) <= n),
+    s as (select r, q, min(i) as start, max(i) - min(i) + 3 + q as length from (select *, i - row_number() over (partition by r, q order by i) as z from e) group by r, q, z),
+    u as (select r, start, length, min(q) as period from s where length >= greatest(6, 4 * q) group by r, start, length),
+    gone as (select distinct r, unnest(range(start + period, start + length)) as i from u),
+    kept as (select v.r, string_agg(x, ' ' order by v.i) as t from v left join gone on v.r = gone.r and v.i = gone.i where gone.r is null group by v.r),
+    runs as (
+      select r, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as t,
+        max(row(length, -start, -period)) as best
+      from u group by r)
+    select doc_id, coalesce(n_runs, 0)::bigint as n_runs, (-best[2])::bigint as start, best[1]::bigint as length, (-best[3])::bigint as period,
+      (1000 * best[1] // -best[3])::bigint as exponent_milli, sha256(coalesce(runs.t, '')) as runs_sha256, sha256(coalesce(kept.t, '')) as collapsed_sha256
+    from b left join runs on b.r = runs.r left join kept on b.r = kept.r
+    """,
+)
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document; in one of ten, words repeat from some place on."""
+    from gaugeworks.llm.periodic_runs import digests, periodic_runs, with_planted_runs
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    planted = with_planted_runs(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    return digests(periodic_runs(planted, carried=["doc_id"]), "doc_id")
+
+
+def _feistel(x: str) -> str:
+    """Select list of one pass of the permutation of `x` over the grid a x b, by the rounds of `sharding`; the last column is `y`."""
+    from gaugeworks.llm.sharding import PRIME, SEED, round_keys
+
+    cells, l, r = [f"{x} // b as l", f"{x} % b as r"], "l", "r"  # noqa: E741
+    for i, (k, c) in enumerate(round_keys(SEED)):
+        own, other, size = (l, r, "a") if i % 2 == 0 else (r, l, "b")
+        cells += [f"({other} % {PRIME} * {k} + {c}) % {PRIME} as h{i}", f"({own} + (h{i} * h{i} + {c}) % {PRIME}) % {size} as x{i}"]
+        l, r = (f"x{i}", r) if i % 2 == 0 else (l, f"x{i}")  # noqa: E741
+    return ", ".join([*cells, f"{l} * b + {r} as y"])
+
+
+@query(
+    "op13_sharding",
+    f"""
+    with recursive crc as materialized (select list_transform(range(256), lambda v: {_CRC_BYTE.replace("xor(c, v)", "v")}) as crc),
+    t as materialized (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+    p as (select r, k, substring(h, 1024 * k + 1, 1024) as s from (select r, h, unnest(range(0, (length(h) // 2 + 511) // 512)) as k from t)),
+    b as (select r, flatten(list(list_transform(range(0, length(s) // 2), lambda i: ('0x' || s[2 * i + 1:2 * i + 2])::bigint) order by k)) as b from p group by r),
+    c as (select r, xor(list_reduce(list_prepend(4294967295::bigint, b), lambda c, v: xor(c // 256, crc[xor(c % 256, v) + 1])), 4294967295)::bigint as crc from b, crc),
+    d as materialized (
+      select doc_id, (length(h) // 2 + 16)::bigint as size, coalesce(crc, 0)::bigint as text_crc32,
+        row_number() over (order by doc_id nulls last, coalesce(crc, 0), length(h)) - 1 as row_number
+      from t left join c on t.r = c.r),
+    g as (select n, a, (n + a - 1) // a as b from (select n, floor(sqrt(n - 1))::bigint + 1 as a from (select count(*) as n from documents))),
+    walk as (
+      select row_number, y, n from (select row_number, n, a, b, {_feistel("row_number")} from d, g)
+      union all
+      select row_number, y, n from (select row_number, n, a, b, {_feistel("z")} from (select row_number, w.y as z, g.n, a, b from walk w, g where w.y >= w.n)))
+    select doc_id, size, text_crc32, 'rows' as law, (y % 40)::int as shard, (y // 40)::bigint as slot, null::int as grown_shard, row_number::bigint as row_number
+    from d join walk using (row_number) where y < n
+    """,
+)
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document: counts at most one apart.  Equal texts aren't kept together, as no such counts could be."""
+    from gaugeworks.llm.sharding import shard_documents
+
+    found = shard_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row_number")
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline from documents to packed sequences."""

@@ -37,11 +37,11 @@ def text_slices(column: pa.Array, target: int = 1 << 20) -> Iterator[tuple[int,
 
 
 class Words:
-    """Words `[^\\x20\\x09-\\x0D]+` of a slice: starts, ends, counts for each text, and text numbers."""
+    """Words `[^\\x20\\x09-\\x0D]+` of a slice (or what other bytes than white space part): starts, ends, counts for each text, and text numbers."""
 
-    def __init__(self, buf: np.ndarray, offs: np.ndarray):
+    def __init__(self, buf: np.ndarray, offs: np.ndarray, apart: np.ndarray = WS):
         n = len(buf)
-        inside = ~WS[buf]
+        inside = ~apart[buf]
         edges = offs[1:-1]
         before = np.zeros(n, bool)
         before[1:] = inside[:-1]
