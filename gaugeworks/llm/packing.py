@@ -3,7 +3,8 @@
 1. Texts become token ids (one end id each); those of over CAPACITY tokens are cut into pieces.
 2. The histogram of piece lengths, at most CAPACITY numbers whatever the corpus, goes to the driver.
 3. Patterns of at most `DEPTH` documents that fill a sequence are enumerated over `BINS` length
-   classes, their repeat counts fitted by non-negative least squares and rounded down.
+   classes, their repeat counts fitted by non-negative least squares and rounded down.  Where the fit leaves
+   short pieces over, deeper patterns are added one by one, each the best for the residual, and fitted again.
 4. The rest goes, longest first, to the fullest sequence that still takes it: by counts, so that
    many equal sequences are filled in one step.
 5. The plan is a table of (length, first rank, count, first sequence, offset).  Pieces of a length
@@ -30,6 +31,8 @@ from gaugeworks.llm.textbatch import LOWER, Words, text_slices
 CAPACITY = 4096
 END_ID = 1
 BINS, DEPTH = 64, 4
+#: Rounds in which patterns of any depth are added where the fit leaves most.
+ROUNDS = 40
 #: Units whose ids a worker keeps before it starts anew.
 KEPT_UNITS = 600_000
 #: Marks that end a word as a unit of their own: none of those in contractions or special tokens.
@@ -209,59 +212,96 @@ def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
+def filling(price: np.ndarray, full: int) -> tuple[int, ...] | None:
+    """The pattern of any depth that sums to `full` or one less and whose classes' prices sum to most; None if no sum above 0 is there."""
+    best, last = np.full(full + 1, -np.inf), np.zeros(full + 1, np.int64)
+    best[0] = 0.0
+    classes = np.flatnonzero(np.isfinite(price)) + 1
+    for v in range(1, full + 1):
+        fits = classes[classes <= v]
+        if len(fits):
+            worth = best[v - fits] + price[fits - 1]
+            i = int(worth.argmax())
+            best[v], last[v] = worth[i], fits[i]
+    v = max((full, full - 1), key=lambda v: best[v])
+    if not best[v] > 0:
+        return None
+    out = []
+    while v:
+        out.append(int(last[v]))
+        v -= out[-1]
+    return tuple(sorted(out, reverse=True))
+
+
+def fit_patterns(size: np.ndarray, full: int) -> list[tuple[tuple[int, ...], float]]:
+    """Patterns and their fitted repeat counts for the number of pieces of each class.
+
+    All patterns of at most DEPTH pieces are fitted; then, round by round, the one of any depth that the residual of the
+    fit asks for most is added and all that are in use are fitted again, so that short pieces get patterns too.
+    """
+    columns = lambda known: np.array([np.bincount(np.array(p) - 1, minlength=len(size)) for p in known], float).reshape(-1, len(size)).T
+    price = np.where(size > 0, 0.0, -np.inf)
+    known = [p for p in patterns(full, DEPTH) if all(size[c - 1] for c in p)]
+    counts = nnls(columns(known), size) if known else np.zeros(0)
+    for _ in range(ROUNDS):
+        known, counts = [p for p, c in zip(known, counts) if c > 0], counts[counts > 0]
+        more = filling(price + (size - columns(known) @ counts), full)
+        if more is None or more in known:
+            break
+        known.append(more)
+        counts = nnls(columns(known), size)
+    return [(p, float(c)) for p, c in zip(known, counts) if c > 0]
+
+
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, shares: tuple[float, ...] = (1.0, 0.75, 0.5, 0.25, 0.0)) -> list[tuple[int, tuple]]:
     """(how many sequences, their lengths as nested pairs) for a histogram of lengths.
 
     Fitted counts are tried whole and in part: the more is left for best fit, the better its short
     pieces close the patterns' gaps; with none of them all is best fit.  The plan of fewest sequences counts.
     """
-    return min((_plan(histogram, capacity, s) for s in shares), key=lambda p: sum(n for n, _ in p))
+    width = -(-capacity // BINS)
+    size = np.zeros(BINS)
+    for k, n in histogram.items():
+        size[-(-k // width) - 1] += n
+    fitted = fit_patterns(size, capacity // width)
+    return min((_plan(histogram, capacity, [(p, int(s * c + 1e-6)) for p, c in fitted]) for s in shares), key=lambda p: sum(n for n, _ in p))
 
 
-def _plan(histogram: dict[int, int], capacity: int, share: float) -> list[tuple[int, tuple]]:
+def _plan(histogram: dict[int, int], capacity: int, fitted: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, tuple]]:
     left = {k: v for k, v in histogram.items() if v}
     width = -(-capacity // BINS)
     by_class: dict[int, list[int]] = {}
     for k in sorted(left, reverse=True):
         by_class.setdefault(-(-k // width), []).append(k)
-    size = np.array([sum(left[k] for k in by_class.get(c, ())) for c in range(1, BINS + 1)], float)
-    usable = [p for p in patterns(capacity // width, DEPTH) if all(c in by_class for c in p)]
     lengths_up = sorted(left)
     groups: list[tuple[int, int, tuple | None]] = []  # room, count, lengths
-    if usable:
-        a = np.zeros((BINS, len(usable)))
-        for j, p in enumerate(usable):
-            for c in p:
-                a[c - 1, j] += 1
-        fitted = np.floor(share * nnls(a, size) + 1e-6).astype(np.int64)
-        for j in sorted(np.flatnonzero(fitted), key=lambda j: (-max(usable[j]), j)):
-            todo = int(fitted[j])
-            while todo:
-                taken: list[int] = []
-                for c in usable[j][:-1]:
-                    at = next((k for k in by_class[c] if left[k] > taken.count(k)), None)
-                    if at is None:
-                        break
-                    taken.append(at)
-                if len(taken) < len(usable[j]) - 1:
+    for pattern, todo in sorted(fitted, reverse=True):
+        while todo:
+            taken: list[int] = []
+            for c in pattern[:-1]:
+                at = next((k for k in by_class[c] if left[k] > taken.count(k)), None)
+                if at is None:
                     break
-                # the last one is the longest that still fits
-                i = bisect_left(lengths_up, capacity - sum(taken) + 1) - 1
-                while i >= 0 and left[lengths_up[i]] <= taken.count(lengths_up[i]):
-                    if not left[lengths_up[i]]:
-                        lengths_up.pop(i)
-                    i -= 1
-                if i < 0 or -(-lengths_up[i] // width) < usable[j][-1] - 1:
-                    break
-                taken.append(lengths_up[i])
-                n = min([todo, *(left[k] // taken.count(k) for k in set(taken))])
-                for k in taken:
-                    left[k] -= n
-                todo -= n
-                lengths = None
-                for k in taken:
-                    lengths = (k, lengths)
-                groups.append((capacity - sum(taken), n, lengths))
+                taken.append(at)
+            if len(taken) < len(pattern) - 1:
+                break
+            # the last one is the longest that still fits
+            i = bisect_left(lengths_up, capacity - sum(taken) + 1) - 1
+            while i >= 0 and left[lengths_up[i]] <= taken.count(lengths_up[i]):
+                if not left[lengths_up[i]]:
+                    lengths_up.pop(i)
+                i -= 1
+            if i < 0 or -(-lengths_up[i] // width) < pattern[-1] - 1:
+                break
+            taken.append(lengths_up[i])
+            n = min([todo, *(left[k] // taken.count(k) for k in set(taken))])
+            for k in taken:
+                left[k] -= n
+            todo -= n
+            lengths = None
+            for k in taken:
+                lengths = (k, lengths)
+            groups.append((capacity - sum(taken), n, lengths))
     # best fit, longest first, over groups of equal sequences
     open_: dict[int, list[tuple[int, tuple | None]]] = {}
     for room, n, lengths in groups:
@@ -293,16 +333,19 @@ def _plan(histogram: dict[int, int], capacity: int, share: float) -> list[tuple[
             have, lengths = open_[room].pop()
             if not open_[room]:
                 rooms.pop(i)
-            each = max(1, min(room // k, n // have))
-            used = min(have, n)
+            fit = room // k
+            full = min(have, n // fit)
+            rest = n % fit if full < have else 0
             more = lengths
-            for _ in range(each if used == have else 1):
+            for i in range(1, fit + 1):
                 more = (k, more)
-            each = each if used == have else 1
-            if used < have:
-                put(room, have - used, lengths)
-            put(room - each * k, used, more)
-            n -= used * each
+                if i == rest:
+                    put(room - rest * k, 1, more)
+            if full:
+                put(room - fit * k, full, more)
+            if have > full + (rest > 0):
+                put(room, have - full - (rest > 0), lengths)
+            n -= full * fit + rest
     return [(n, lengths) for room in sorted(open_) for n, lengths in open_[room] if n]
 
 

@@ -144,6 +144,17 @@ def test_plan_uses_every_piece_once(histogram):
         assert 0 < total <= 4096
     assert used == Counter(histogram)
     assert sequences <= best_fit(histogram)
+    assert sum(n for n, _ in packing._plan(histogram, 4096, [])) == best_fit(histogram)
+
+
+def test_patterns_of_short_pieces():
+    """Deeper patterns than DEPTH are fitted where pieces are short, and their classes fill a sequence."""
+    size = np.zeros(64)
+    size[[2, 4, 6]] = 5000, 700, 900
+    fitted = packing.fit_patterns(size, 64)
+    assert any(len(p) > packing.DEPTH for p, _ in fitted) and all(63 <= sum(p) <= 64 for p, _ in fitted)
+    used = sum(c * np.bincount(np.array(p) - 1, minlength=64) for p, c in fitted)
+    assert np.abs(used - size).max() < 0.02 * size.max()
 
 
 def test_plan_is_tight():
