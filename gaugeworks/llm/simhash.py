@@ -30,6 +30,8 @@ from gaugeworks.llm.textbatch import LOWER, Words, text_slices, xxh64
 
 #: Distinct fingerprints of a block key that are still compared pairwise.
 PAIRWISE = 64
+#: Bins of the counts that order shingles by how common they are.
+ORDER_BINS = 1 << 20
 _MASKS = tuple(sum(0xFFFF << (16 * b) for b in pair) for pair in combinations(range(4), 2))
 
 
@@ -260,20 +262,65 @@ def still_apart(met: DataFrame, found: DataFrame) -> DataFrame:
     return both.where(F.coalesce("_r", "sid") != F.coalesce("_q", "first")).withColumn("root", F.coalesce("_r", "sid")).drop("_r", "_q")
 
 
-def open_pairs(members: DataFrame, found: DataFrame, keys: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) that share a key, are in different components and whose long fingerprints don't rule the similarity out.
+def with_roots(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, sid, root): members of keys with their components so far."""
+    return members.select("key", "sid").join(found.select(F.col("node").alias("sid"), "root"), "sid", "left").select("key", "sid", F.coalesce("root", "sid").alias("root"))
 
-    Each is made once, at the least key that it shares.  members: (key, sid); keys: (sid, keys).
-    """
-    at = members.select("key", "sid").join(found.select(F.col("node").alias("sid"), "root"), "sid", "left").select("key", "sid", F.coalesce("root", "sid").alias("root"))
+
+def mixed_keys(at: DataFrame) -> DataFrame:
+    """(key, main, others) of keys with several components: the largest of them, and how many members are outside it."""
     sizes = at.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    split = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    at = at.join(split.select("key", F.col("top.root").alias("main")), "key").join(sets.select("sid", "sig"), "sid").join(keys.select("sid", "keys"), "sid")
-    at = durable(at)
+    split = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    return split.select("key", F.col("top.root").alias("main"), (F.col("n") - F.col("top.n")).alias("others"))
+
+
+_APART = "x.key = y.key and x.root <> y.root and (y.root = y.main or x.sid < y.sid)"
+_PAIR = ("least(x.sid, y.sid) as a", "greatest(x.sid, y.sid) as b")
+
+
+def open_pairs(at: DataFrame, split: DataFrame, keys: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) that share a key of `split`, are in different components and whose long fingerprints don't rule the similarity out.
+
+    Each is made once, at the least key that it shares.  at: (key, sid, root); keys: (sid, keys).
+    """
+    at = durable(at.join(split.select("key", "main"), "key").join(sets.select("sid", "sig"), "sid").join(keys.select("sid", "keys"), "sid"))
     x, y = at.where("root <> main").alias("x"), at.alias("y")
-    own = F.expr("x.key = y.key and x.root <> y.root and (y.root = y.main or x.sid < y.sid)")
-    pairs = x.join(y, own & (far("x.sig", "y.sig") <= most_bits(similarity)) & F.expr("array_min(array_intersect(x.keys, y.keys)) = x.key"))
-    return pairs.select(F.expr("least(x.sid, y.sid)").alias("a"), F.expr("greatest(x.sid, y.sid)").alias("b"))
+    pairs = x.join(y, F.expr(_APART) & (far("x.sig", "y.sig") <= most_bits(similarity)) & F.expr("array_min(array_intersect(x.keys, y.keys)) = x.key"))
+    return pairs.selectExpr(*_PAIR)
+
+
+def rare_prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """(key, sid): each set's rarest hashes, so many that two sets of this similarity or more have one of them in common.
+
+    Of n hashes in one order for all sets, similar sets share one among the first n - ceil(similarity * n) + 1.  Any order
+    will do; hashes that many of the sets have come last, by counts in ORDER_BINS bins, so what unrelated
+    texts share is in no prefix unless a text has little else.
+    """
+    counted = sets.select(F.explode("hashes").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    bins = counted.groupBy(F.col("h").bitwiseAND(F.lit(ORDER_BINS - 1)).cast("int").alias("bin")).agg(F.max("n").alias("n")).toArrow()
+    weight = np.ones(ORDER_BINS, np.int64)
+    weight[bins.column(0).to_numpy()] = bins.column(1).to_numpy()
+    sent = sets.sparkSession.sparkContext.broadcast(weight)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            offs = lists.offsets.to_numpy().astype(np.int64)
+            h, n = lists.values.to_numpy()[offs[0] : offs[-1]], np.diff(offs)
+            doc = np.repeat(np.arange(len(n)), n)
+            h = h[np.lexsort((h, sent.value[h & (ORDER_BINS - 1)], doc))]
+            first = n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1
+            keep = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n) < np.minimum(first, n)[doc]
+            yield pa.RecordBatch.from_arrays([pa.array(h[keep]), batch.column(0).take(pa.array(doc[keep]))], ["key", "sid"])
+
+    return sets.select("sid", "hashes").mapInArrow(run, "key bigint, sid bigint")
+
+
+def prefix_pairs(sets: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of the sets that share a hash of their prefixes and are in different components."""
+    at = durable(with_roots(rare_prefixes(sets, similarity), found))
+    at = durable(at.join(mixed_keys(at), "key"))
+    return at.where("root <> main").alias("x").join(at.alias("y"), F.expr(_APART)).selectExpr(*_PAIR)
 
 
 def similar_components(blocks: DataFrame, docs: DataFrame, similarity: float, width: int, text_col: str = "text") -> DataFrame:
@@ -283,9 +330,10 @@ def similar_components(blocks: DataFrame, docs: DataFrame, similarity: float, wi
     keys, as the original of a group of copies does; a member first against the most met of all its
     keys, then against those to which no link joins it yet.  Members of keys of more than PAIRWISE that are
     still apart from it form the next round, while rounds at least halve them.  Then all pairs that share a key and that
-    no link has joined are compared, so none of them stays unjudged.  Stars make rows in proportion to
-    a key's size; the last step compares fingerprints of the members outside a key's largest component with the key's
-    others, and makes rows only of pairs that are close in them.
+    no link has joined are judged.  In keys with at most PAIRWISE members outside their largest component
+    these are compared with the key's others by fingerprints, which makes rows only of pairs that are close in them.
+    Larger keys hold texts that share some passage and little else; their members are dealt
+    anew by their rarest shingles (`rare_prefixes`), which loses no similar pair and brings no two together that share the passage alone.
     """
     keys = blocks.select("sid", F.explode("keys").alias("key"))
     sizes = durable(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
@@ -312,7 +360,14 @@ def similar_components(blocks: DataFrame, docs: DataFrame, similarity: float, wi
         if not left or before is not None and 2 * left > before:
             break
         before = left
-    links = durable(links.unionAll(alike(durable(open_pairs(members, found, blocks, sets, similarity)), sets, similarity)))
+    at = durable(with_roots(members, found))
+    split = durable(mixed_keys(at))
+    few = open_pairs(at, split.where(F.col("others") <= PAIRWISE), blocks, sets, similarity)
+    links = durable(links.unionAll(alike(durable(few), sets, similarity)))
+    many = durable(at.join(split.where(F.col("others") > PAIRWISE), "key", "left_semi").select("sid").distinct())
+    if not many.isEmpty():
+        dealt = durable(sets.join(many, "sid", "left_semi").select("sid", "hashes"))
+        links = durable(links.unionAll(close(prefix_pairs(dealt, found, similarity))))
     return connected_components(links)
 
 

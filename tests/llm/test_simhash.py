@@ -207,3 +207,41 @@ def test_copies_of_variants_in_a_large_group(spark):
     data = [(k, " ".join(t)) for k, t in enumerate([base, *variants, *copies])]
     got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(data, "doc_id long, text string")).collect()}
     assert all(got[601 + k] == got[1 + k] == 0 for k in range(80))
+
+
+def test_rare_prefixes(spark):
+    """Similar sets share a prefix hash; sets that share a common passage alone don't, so pairs stay linear in the texts."""
+    rng = np.random.default_rng(2)
+    new = lambda n: rng.integers(-(2**63), 2**63 - 1, n).tolist()
+    passage, sets = new(20), []
+    for k in range(400):
+        sets.append((k, sorted({*passage, *new(40)})))
+    for k in range(1000, 1200, 2):  # 0.8 and a little more, of which 20 of 60 or more are the passage
+        core, own = new(40 + k % 30), int((60 + k % 30) / 8)
+        for j in range(2):
+            sets.append((k + j, sorted({*passage, *core, *new(own)})))
+    df = spark.createDataFrame(sets, "sid long, hashes array<long>").repartition(5)
+    prefixes = {}
+    for r in simhash.rare_prefixes(df, 0.8).collect():
+        prefixes.setdefault(r.sid, set()).add(r.key)
+    jaccard = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b))
+    by = dict(sets)
+    similar = [k for k in range(1000, 1200, 2) if jaccard(by[k], by[k + 1]) >= 0.8]
+    assert len(similar) > 50 and all(prefixes[k] & prefixes[k + 1] for k in similar)
+    found = spark.createDataFrame([], "node long, root long")
+    pairs = {tuple(r) for r in simhash.prefix_pairs(df, found, 0.8).collect()}
+    assert {(k, k + 1) for k in similar} <= pairs and len(pairs) <= 110
+
+
+def test_licence_line_in_many_texts(spark, monkeypatch):
+    """Texts that share a licence line are dealt by rare shingles; the copies among them are found."""
+    monkeypatch.setattr(simhash, "PAIRWISE", 8)
+    line = " ".join(f"lic{i}" for i in range(24))
+    texts = [f"{line} " + " ".join(f"w{k}_{i}" for i in range(40)) for k in range(600)]
+    texts += [t.rsplit(" ", 3)[0] + f" changed{k}" for k, t in enumerate(texts[:40])]
+    dealt = []
+    real = simhash.prefix_pairs
+    monkeypatch.setattr(simhash, "prefix_pairs", lambda *a: dealt.append(real(*a).count()) or real(*a))
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert dealt and dealt[0] < 1000
+    assert got == {k: k - 600 if k >= 600 else k for k in range(640)}
