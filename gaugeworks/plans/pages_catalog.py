@@ -631,20 +631,19 @@ def version_round_trip(spark, d):
 
 @query(
     """
-    with l as (select doc_id, unnest(string_split(text, chr(10))) as content, unnest(range(1, len(string_split(text, chr(10))) + 1)) as line from documents where doc_id % 3 = 0),
-    t as (select unnest([['license', 'license'], ['the', '(?:^|[^a-z0-9_])the(?:$|[^a-z0-9_])'], ['e.t', 'e\\.t']]) as t)
-    select t[1] as term, line::bigint as line, count(*)::bigint as hits from l, t where regexp_matches(lower(content), t[2]) group by all
+    with l as (select doc_id, lang, unnest(string_split(text, chr(10))) as content from documents),
+    t as (select unnest([['license', 'license'], ['the', '(?:^|[^a-z0-9_])the(?:$|[^a-z0-9_])'], ['e.t', 'e\\.t'], ['sh in th', 'sh in th']]) as t)
+    select t[1] as term, lang as folder, count(*)::bigint as hits from l, t where regexp_matches(lower(content), t[2]) group by all
     """
 )
 def leak_scan(spark, d):
-    """Text files scanned for the terms of a deny list: hits by term and line number."""
+    """A tree of text files, a folder for each language, scanned for the terms of a deny list: hits by term and folder."""
     folder = _folder(spark)
-    _t(spark, d, "documents").where("doc_id % 3 = 0 and text is not null").select("text").write.option("maxRecordsPerFile", 1).text(f"{folder}/tree")
-    spark.createDataFrame([("# terms",), ("license",), (" the ",), ("",), ("e.t",)], "value string").coalesce(1).write.text(f"{folder}/deny")
+    _t(spark, d, "documents").where("text is not null").select("lang", "text").write.option("maxRecordsPerFile", 500).partitionBy("lang").text(f"{folder}/tree")
+    spark.createDataFrame([("# terms",), ("license",), (" the ",), ("",), ("e.t",), ("Sh in Th",)], "value string").coalesce(1).write.text(f"{folder}/deny")
     files = readers.text_tree(spark, f"{folder}/tree")
-    files = files.withColumn("path", F.regexp_extract("path", r"([^/]*)$", 1))
-    found, _, _ = m.scan_report(files, readers.deny_terms(spark, f"{folder}/deny"))
-    return found.where("line > 0").groupBy("term", F.col("line").cast("long").alias("line")).agg(F.count(F.lit(1)).alias("hits"))
+    found, _, _ = m.scan_report(files, readers.deny_list(spark, f"{folder}/deny"))
+    return found.where("line > 0").groupBy(F.lower("term").alias("term"), F.regexp_extract("path", "/lang=([^/]*)/", 1).alias("folder")).agg(F.count(F.lit(1)).alias("hits"))
 
 
 @query("select page_id, case when page_id % 2 = 0 then html when page_id % 10 = 5 then null else 'fetched ' || url end as html from pages where url is not null")

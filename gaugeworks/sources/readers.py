@@ -182,6 +182,14 @@ def deny_terms(spark: SparkSession, path: str) -> list[str]:
     return terms
 
 
+def deny_list(spark: SparkSession, path: str) -> DataFrame:
+    """The distinct terms of a deny list as a frame `term`, however many; an empty list is an error, as nothing could be certified by it."""
+    terms = spark.read.text(path).select(F.btrim("value").alias("term")).where("term <> '' and not startswith(term, '#')").distinct()
+    if terms.isEmpty():
+        raise GateError("the deny list is empty")
+    return terms
+
+
 def labelled_text(spark: SparkSession, paths: Sequence[str]) -> str:
     """Files' texts one after another, each under its name: a prompt's spec data."""
     parts = []
