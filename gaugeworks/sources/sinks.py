@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import uuid
 import zipfile
 from collections.abc import Sequence
 from xml.sax.saxutils import escape
@@ -12,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.operators.relational import GateError
+from gaugeworks.sources import state
 
 
 def stage_csv(df: DataFrame, path: str) -> None:
@@ -28,22 +28,18 @@ def read_back(df: DataFrame, spark: SparkSession, path: str) -> int:
     return n
 
 
-def write_version(df: DataFrame, base: str) -> str:
-    """A new version of a state table beside the old ones, as a plan may still read those; returns its path."""
-    path = f"{base}/v-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    df.sparkSession.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").text(f"{base}/current")
-    return path
+def write_version(df: DataFrame, base: str, read_version: int | None = None) -> int:
+    """A new version of a state table beside the old ones, as a plan may still read those; returns its number.  See `state.replace`."""
+    return state.replace(df, base, read_version)
 
 
 def has_version(spark: SparkSession, base: str) -> bool:
-    """Whether a version was written, by the file system that the path belongs to."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/current")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    """Whether a version was written."""
+    return state.latest(spark, base) is not None
 
 
 def read_version(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(spark.read.text(f"{base}/current").first().value)
+    return state.read(spark, base)
 
 
 def json_lines(df: DataFrame, path: str, each: bool = False) -> None:

@@ -5,30 +5,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugeworks.sources.sinks import has_version, read_version, write_version
+from gaugeworks.sources import state
 
 
 def capture_stream(spark: SparkSession, folder: str, schema: str, per_batch: int = 1000) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).json(folder)
 
 
-def upsert_batch(old: DataFrame | None, new: DataFrame, key: str, order: str) -> DataFrame:
-    """The last row of each key, of both frames."""
-    both = new if old is None else old.unionByName(new)
-    rest = [c for c in both.columns if c != key]
-    return both.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("_r")).select(key, "_r.*").select(*new.columns)
+def upsert_into(stream: DataFrame, base: str, key: str, order: str, checkpoint: str, available_now: bool = True, range_rows: int = state.RANGE_ROWS) -> StreamingQuery:
+    """Keeps `base` at the last row of each key.
 
+    A micro-batch rewrites only the key ranges that it touches; one that was committed before a crash is known by its number and skipped.
+    """
 
-def upsert_into(stream: DataFrame, base: str, key: str, order: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Keeps `base` at the last row of each key.  A repeated batch gives the same state."""
-
-    def each(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        old = read_version(spark, base) if has_version(spark, base) else None
-        write_version(upsert_batch(old, batch, key, order), base)
+    def each(batch: DataFrame, number: int) -> None:
+        state.merge(batch, base, key, order, writer=checkpoint, batch_id=number, range_rows=range_rows)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
