@@ -87,3 +87,13 @@ def two_strikes(df: DataFrame, by: Sequence[str], order: Sequence[str], fails: C
         tripped = tripped & x
     df = df.withColumn("_bad", bad).withColumn("_tripped", tripped.cast("int")).withColumn("_stopped", F.max("_tripped").over(_upto(by, order)))
     return df.where("_stopped = 0").drop("_bad", "_tripped", "_stopped")
+
+
+def while_progress(df: DataFrame, by: Sequence[str], order: Sequence[str], done: str, total: str, most: int = 12) -> DataFrame:
+    """The runs that are made: those of each entity until all is done, one gets no further than the one before, or there were `most`."""
+    w = Window.partitionBy(*by).orderBy(*order)
+    now, last = F.coalesce(F.col(done), F.lit(0)), F.coalesce(F.lag(F.coalesce(F.col(done), F.lit(0))).over(w), F.lit(0))
+    ends = (now <= last) | (now >= F.coalesce(F.col(total), F.lit(0)))
+    df = df.withColumn("_ends", ends.cast("int")).withColumn("_run", F.row_number().over(w))
+    df = df.withColumn("_stopped", F.coalesce(F.max("_ends").over(_upto(by, order, -1)), F.lit(0)))
+    return df.where((F.col("_stopped") == 0) & (F.col("_run") <= most)).drop("_ends", "_run", "_stopped")
