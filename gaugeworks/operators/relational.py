@@ -11,6 +11,10 @@ from gaugeworks.config import FALLBACK_TYPE, OVERRIDES, PATTERNS
 from gaugeworks.session import materialise
 
 
+#: Accuracy of the sketches that bracket quantiles, and values between a bracket's ends that are read.
+SKETCH, FEW = 10_000, 20_000
+
+
 class GateError(ValueError):
     """A check on cardinality or content failed."""
 
@@ -107,16 +111,80 @@ def describe(df: DataFrame, column: str) -> DataFrame:
 
 
 def quantiles(df: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
-    """One row of exact quantiles, linear between neighbours.  Values are ranked by a range sort, not gathered in one task."""
-    ranked = global_rank(df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("_v")), F.col("_v"), name="_rank")
-    n = ranked.count()
-    cells = []
-    for name, share in shares.items():
-        at = share * (n - 1)
-        low = int(at)
-        x, y = (F.max(F.when(F.col("_rank") == k, F.col("_v"))) for k in (low + 1, min(low + 2, max(n, 1))))
-        cells.append((x + (y - x) * (at - low)).alias(name))
-    return ranked.agg(*cells)
+    """One row of exact quantiles, linear between neighbours; nulls don't count, without values all are null."""
+    found = select_quantiles(df, {name: (column, share) for name, share in shares.items()})
+    return df.sparkSession.createDataFrame([tuple(found.values())], ", ".join(f"`{n}` double" for n in found))
+
+
+def select_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> dict[str, float | None]:
+    """Exact quantiles of (column, share), linear between neighbours, by selection: no sort and no writes.
+
+    A sketch of each column brackets the two ranks of each quantile; what lies below, at and between a
+    bracket's ends is counted, so a bracket that missed is known and widened.  One with more than FEW values between its ends is bracketed
+    again, among these alone.  At last the distinct values between the ends, few by then, are read with their counts.
+    The rows are read once for each of these steps, for all quantiles together: three times in all, up to some 10^8 values.
+    """
+    names = list(wanted)
+    v = {n: F.col(f"`{c}`").cast("double") for n, (c, _) in wanted.items()}
+    cells = [x for n in names for x in (F.count(v[n]).alias(f"n_{n}"), F.min(v[n]).alias(f"min_{n}"), F.max(v[n]).alias(f"max_{n}"), F.percentile_approx(v[n], F.lit(_around(wanted[n][1])), SKETCH).alias(f"q_{n}"))]
+    whole = df.agg(*cells).first()
+    size = {n: whole[f"n_{n}"] for n in names}
+    at = {n: wanted[n][1] * (size[n] - 1) for n in names if size[n]}
+    ends = {n: tuple(whole[f"q_{n}"]) for n in at}
+    for _ in range(12):
+        counts = df.agg(*[F.count_if(x).alias(f"{k}_{n}") for n in at for k, x in _zones(v[n], *ends[n]).items()]).first() if at else None
+        again = []
+        for n, (low, high) in ends.items():
+            below, edge, inner, top = (counts[f"{k}_{n}"] for k in ("below", "edge", "inner", "top"))
+            first, last = int(at[n]), min(int(at[n]) + 1, size[n] - 1)
+            if first < below or last >= below + edge + inner + top:  # the sketch missed
+                ends[n] = whole[f"min_{n}"], whole[f"max_{n}"]
+                again.append((n, None))
+            elif inner > FEW and (last < below + edge or first >= below + edge + inner):  # both ranks are at one end
+                ends[n] = (low, low) if last < below + edge else (high, high)
+                again.append((n, None))
+            elif inner > FEW:
+                again.append((n, tuple(min(1.0, max(0.0, (k - below - edge) / inner)) for k in (first, last))))
+        if not again:
+            break
+        narrow = [(n, x) for n, x in again if x]
+        if narrow:
+            inside = lambda n: F.when(_zones(v[n], *ends[n])["inner"], v[n])
+            found = df.agg(*[F.percentile_approx(inside(n), F.lit([_around(x)[0], _around(y)[1]]), SKETCH).alias(n) for n, (x, y) in narrow]).first()
+            for n, (x, y) in narrow:
+                low, high = found[n]
+                ends[n] = (ends[n][0] if x <= 2 / SKETCH else low, ends[n][1] if y >= 1 - 2 / SKETCH else high)
+    else:
+        raise GateError("quantiles were not found")  # each step leaves some 1/2,000 of the values between the ends
+    out: dict[str, float | None] = dict.fromkeys(names)
+    if not at:
+        return out
+    cases = F.array(*[F.when(_zones(v[n], *ends[n])["inner"], F.struct(F.lit(n).alias("name"), v[n].alias("v"))) for n in at])
+    between: dict[str, list] = {n: [] for n in at}
+    for r in df.select(F.explode(cases).alias("x")).where("x is not null").groupBy("x").agg(F.count(F.lit(1)).alias("n")).collect():
+        between[r.x.name].append((r.x.v, r.n))
+    for n, (low, high) in ends.items():
+        first, last = int(at[n]), min(int(at[n]) + 1, size[n] - 1)
+        steps = [(low, counts[f"edge_{n}"]), *sorted(between[n]), (high, counts[f"top_{n}"])]
+        passed, values = counts[f"below_{n}"], {}
+        for value, k in steps:
+            for rank in (first, last):
+                if passed <= rank < passed + k:
+                    values[rank] = value
+            passed += k
+        x, y = values[first], values[last]
+        out[n] = x + (y - x) * (at[n] - first)
+    return out
+
+
+def _around(share: float) -> list[float]:
+    return [max(0.0, share - 2 / SKETCH), min(1.0, share + 2 / SKETCH)]
+
+
+def _zones(v: Column, low: float, high: float) -> dict[str, Column]:
+    """Below a bracket, at its low end, between its ends, at its high end (if that is another)."""
+    low, high = F.lit(low), F.lit(high)
+    return {"below": v < low, "edge": v == low, "inner": (v > low) & (v < high), "top": (v == high) & (low < high)}
 
 
 def gaps(df: DataFrame, key: str, expected: Sequence[str], least: int = 1) -> DataFrame:
@@ -150,9 +218,8 @@ def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
 
 def gsc_signals(df: DataFrame, position: str, impressions: str, ctr: str) -> DataFrame:
     """striking_distance: a position in 5..20; low_ctr_high_impr: impressions above, rate below the medians."""
-    df = materialise(df)
-    mid = quantiles(df, impressions, {"_median_i": 0.5}).crossJoin(quantiles(df, ctr, {"_median_c": 0.5}))
-    out = df.crossJoin(F.broadcast(mid))  # one row of medians
+    mid = select_quantiles(df, {"i": (impressions, 0.5), "c": (ctr, 0.5)})
+    out = df.withColumns({"_median_i": F.lit(mid["i"]), "_median_c": F.lit(mid["c"])})
     return out.withColumns({"striking_distance": F.col(position).between(5, 20), "low_ctr_high_impr": (F.col(impressions) > F.col("_median_i")) & (F.col(ctr) < F.col("_median_c"))}).drop("_median_i", "_median_c")
 
 

@@ -56,19 +56,65 @@ def reindex(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str =
 
 
 def drag_fill(df: DataFrame, file: str, row: str, category: str, values: Sequence[str], least: int = 2, step: float = 1.0) -> DataFrame:
-    """Rows of which `least` values are exactly `step` over the row above in the file, if that is of the same category.
-
-    `row` counts a file's rows without gaps (`relational.global_rank` makes such numbers).
-    """
-    df = adjacent(df, [file], row, [category, *values], "_above")
+    """Rows of which `least` values are exactly `step` over the row above in the file, if that is of the same category.  `row` orders a file's rows."""
+    df = row_above(df, [file], [row], [category, *values], "_above")
     hits = F.filter(F.array(*[F.when(F.col(v) - F.col("_above")[v] == step, F.lit(v)) for v in values]), lambda x: x.isNotNull())
     return df.where(F.col("_above")[category] == F.col(category)).withColumn("hits", hits).where(F.size("hits") >= least).drop("_above")
 
 
-def adjacent(df: DataFrame, by: Sequence[str], row: str, columns: Sequence[str], name: str = "above") -> DataFrame:
-    """Adds a struct of the columns of the row above, by a join on consecutive row numbers: no window, so an entity may have any number of rows."""
-    above = df.select(*by, (F.col(row) + 1).alias(row), F.struct(*columns).alias(name))
-    return df.join(above, [*by, row], "left")
+def row_above(df: DataFrame, by: Sequence[str], order: Sequence[str], columns: Sequence[str], name: str = "above") -> DataFrame:
+    """Adds a struct of the columns of the row above in the order (nulls first) of an entity, null for its first row.  An entity may have any number of rows.
+
+    Rows are dealt out once, by ranges of (by, order) between keys of a sample; the last row of each range, a halo, goes
+    to the next range too, so `lag` within a range is that over the whole.  Those last rows are as few as the ranges.
+    """
+    key = F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate([*by, *order])])
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_all"), key.alias("_key"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_own"))
+    bounds = _bounds(rows)
+    part = F.lit(0)
+    if bounds is not None:
+        part = _bounds_up_to(F.col("_bounds"), F.col("_key"))
+        rows = rows.crossJoin(F.broadcast(bounds))  # one row with at most HALO_RANGES keys
+    rows = rows.select("_all", "_key", "_own", part.alias("_part"))
+    if bounds is not None:
+        edges = rows.groupBy("_part").agg(F.max_by(F.struct("_key", "_own"), "_key").alias("_edge"))
+        edges = edges.withColumn("_next", F.lead("_part").over(Window.orderBy("_part"))).where("_next is not null")
+        rows = rows.unionByName(edges.select(F.lit(None).cast(df.sparkSession.createDataFrame([], rows.schema).schema["_all"].dataType).alias("_all"), F.col("_edge._key").alias("_key"), F.col("_edge._own").alias("_own"), F.col("_next").alias("_part")))
+    w = Window.partitionBy("_part").orderBy("_key")
+    same = F.lit(True)
+    for i in range(len(by)):
+        same = same & F.col("_before._key")[f"k{i}"].eqNullSafe(F.col("_key")[f"k{i}"])
+    seen = rows.withColumn("_before", F.lag(F.struct("_key", "_own")).over(w)).where("_all is not null")
+    above = F.when(same, F.col("_before._own"))
+    return seen.select(*[F.col("_all")[c].alias(c) for c in df.columns if c != name], above.alias(name))
+
+
+#: Ranges of `row_above` at most, and keys of the sample that bounds them.
+HALO_RANGES, HALO_SAMPLE = 1000, 50_000
+
+
+def _bounds_up_to(bounds: Column, key: Column) -> Column:
+    """How many of the sorted bounds are at most the key, by halving."""
+
+    def step(s: Column, _: Column) -> Column:
+        mid = F.shiftright(s.low + s.high, 1)
+        here = F.get(bounds, mid) <= key
+        return F.when(s.low >= s.high, s).when(here, F.struct((mid + 1).alias("low"), s.high.alias("high"))).otherwise(F.struct(s.low.alias("low"), mid.alias("high")))
+
+    halvings = F.sequence(F.lit(1), F.lit(HALO_RANGES.bit_length()))
+    return F.aggregate(halvings, F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high")), step, lambda s: s.low)
+
+
+def _bounds(rows: DataFrame) -> DataFrame | None:
+    """One row, an array `_bounds` of the keys that part the ranges, in order; None where one range will do."""
+    n = rows.count()
+    parts = min(HALO_RANGES, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // max(1, HALO_SAMPLE // 100))
+    if parts < 2:
+        return None
+    sample = rows.where(F.pmod(F.xxhash64("_key"), F.lit(max(1, n // HALO_SAMPLE))) == 0).select("_key")
+    keys = sample.agg(F.sort_array(F.collect_list("_key")).alias("_k"))
+    every = F.greatest(F.lit(1), F.floor(F.size("_k") / parts).cast("int"))
+    return keys.select(F.array_distinct(F.filter("_k", lambda x, i: (i % every == 0) & (i > 0))).alias("_bounds"))
 
 
 def streaks(df: DataFrame, by: Sequence[str], order: Sequence[str], fails: Column, least: int = 2) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gaugeworks.config import SPEC_RESERVED
 from gaugeworks.functions import text as t
 from gaugeworks.operators.relational import GateError
+from gaugeworks.operators.sequence import row_above
 
 
 def long_specs(files: Sequence[DataFrame], reserved: Sequence[str] = SPEC_RESERVED) -> DataFrame:
@@ -55,7 +56,6 @@ def spec_numbers(rows: DataFrame) -> DataFrame:
 
 def drag_fill_suspects(rows: DataFrame, least: int = 2) -> DataFrame:
     """Rows whose numbers are one over the row above, in `least` columns, same file and category."""
-    above = F.lag(F.struct("category", "specs", "product_name")).over(Window.partitionBy("file_no").orderBy("row_no"))
-    df = rows.withColumn("_above", above).where(F.col("_above.category") == F.col("category"))
+    df = row_above(rows, ["file_no"], ["row_no"], ["category", "specs", "product_name"], "_above").where(F.col("_above.category") == F.col("category"))
     hits = F.filter(F.map_keys("specs"), lambda k: t.number(F.col("specs")[k]) - t.number(F.try_element_at(F.col("_above.specs"), k)) == 1)
     return df.withColumns({"above": F.col("_above.product_name"), "hits": F.array_sort(hits)}).where(F.size("hits") >= least).drop("_above")

@@ -22,7 +22,7 @@ from gaugeworks.operators import relational as r
 from gaugeworks.operators.scoring import score_pages
 from gaugeworks.plans import blog, pdp
 from gaugeworks.session import shared_dir
-from gaugeworks.sources import readers, sinks
+from gaugeworks.sources import readers, sinks, state
 
 QUERIES = {}
 ORACLES = {}
@@ -600,23 +600,34 @@ def csv_round_trip(spark, d):
     return typed.join(strings, "c_custkey")
 
 
-@query(f"select * from ({_CUSTOMERS}) where c_custkey < 1000")
+@query(f"select * from ({_CUSTOMERS})")
 def workbook_round_trip(spark, d):
-    """A spreadsheet of the first rows, read back by its header."""
-    folder, rows = _folder(spark), _customers(spark, d).where("c_custkey < 1000")
-    spark.createDataFrame([(bytearray(sinks.workbook(rows)),)], "content binary").write.parquet(folder)
+    """All rows in spreadsheets of a key range each, made on the executors and read back by their header."""
+    folder = _folder(spark)
+    sinks.workbooks(_customers(spark, d), "c_custkey", per_book=2000).write.parquet(folder)
     return readers.workbook(spark.read.parquet(folder), "c_custkey long, c_name string, c_acctbal double, even boolean, segment string").drop("row_no")
 
 
-@query("select conv_id, count(*)::bigint as sections, min(left(text, 9)) as first_text, bool_or(turn = 2) as any_shown from conversations where conv_id % 5 = 0 group by 1")
+@query("select conv_id, count(*)::bigint as sections, md5(string_agg(text, chr(10) order by turn, role, text)) as texts, bool_or(turn = 2) as any_shown from conversations group by 1")
 def json_round_trip(spark, d):
-    """Nested page captures, one JSON document in a file, read back by their schema."""
+    """Nested page captures as JSON documents, one in a line, read back by their schema."""
     folder = _folder(spark)
-    c = _t(spark, d, "conversations").where("conv_id % 5 = 0")
-    pages = c.groupBy(F.concat(F.lit("g"), "conv_id").alias("variant_group")).agg(F.sort_array(F.collect_list(F.struct(F.col("turn").cast("int").alias("index"), F.col("role").alias("heading"), F.left("text", F.lit(9)).alias("text"), (F.col("turn") == 2).alias("visible")))).alias("sections"))
-    sinks.json_lines(pages, folder, each=True)
-    got = readers.json_documents(spark, folder, readers.SECTIONS).where("parsed")
-    return got.select(F.expr("cast(substring(variant_group, 2) as bigint)").alias("conv_id"), F.size("sections").cast("long").alias("sections"), F.array_min(F.transform("sections", lambda s: s.text)).alias("first_text"), F.exists("sections", lambda s: s.visible).alias("any_shown"))
+    c = _t(spark, d, "conversations")
+    pages = c.groupBy(F.concat(F.lit("g"), "conv_id").alias("variant_group")).agg(F.sort_array(F.collect_list(F.struct(F.col("turn").cast("int").alias("index"), F.col("role").alias("heading"), "text", (F.col("turn") == 2).alias("visible")))).alias("sections"))
+    sinks.json_lines(pages, folder)
+    got = readers.parse_json(spark.read.text(folder), "value", readers.SECTIONS).where("parsed")
+    texts = F.md5(F.array_join(F.transform("sections", lambda s: s.text), "\n"))
+    return got.select(F.expr("cast(substring(variant_group, 2) as bigint)").alias("conv_id"), F.size("sections").cast("long").alias("sections"), texts.alias("texts"), F.exists("sections", lambda s: s.visible).alias("any_shown"))
+
+
+@query("select conv_id, count(*)::bigint as turns, arg_max(turn, turn)::bigint as turn, md5(arg_max(text, turn)) as text from conversations group by 1")
+def state_merge(spark, d):
+    """The last turn of every conversation, kept in a state table that batches of turns are merged into."""
+    base, c = _folder(spark), _t(spark, d, "conversations")
+    for k in range(2):
+        state.merge(c.where(F.col("turn") % 2 == k).groupBy("conv_id").agg(F.max("turn").alias("turn"), F.max_by("text", "turn").alias("text")), base, "conv_id", "turn", writer="turns", batch_id=k, range_rows=20_000)
+    turns = c.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"))
+    return state.read(spark, base).join(turns, "conv_id").select("conv_id", "turns", "turn", F.md5("text").alias("text"))
 
 
 @query("select c_custkey, case when c_custkey % 3 = 0 then 'new' else c_mktsegment end as segment from customer where c_custkey % 7 <> 0")
