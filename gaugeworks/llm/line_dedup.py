@@ -8,7 +8,9 @@
    (at most RARE texts have them) or the rarest that a text shares.
 3. A pair's line hashes are aligned with patience diff: lines that are unique in both are put in
    order by a longest increasing sequence, equal neighbours join them, gaps are aligned again.
-4. Aligned runs of MIN_BYTES or more are deleted from the later text.
+4. Aligned runs of MIN_BYTES or more are deleted from the later text.  So are its windows that the first text
+   has too and the alignment left out, as where no line of a block is unique, blocks are swapped or a block comes
+   twice: no window that names a pair is lost, and what they cover is the same as each common block of MIN_BYTES.
 
 A deleted line stands in an earlier text; the first text that has it is never a later one for it,
 so no line is lost.  Lines are compared without white space at their ends.
@@ -139,8 +141,8 @@ def candidates(lines: DataFrame, rare: int = RARE, least: int = MIN_BYTES) -> Da
     return by_first.join(text.where(F.col("all") >= least).drop("all"), "th").where(F.col("df") <= F.greatest(F.lit(rare), F.col("rarest"))).select(F.col("th").alias("later"), "first")
 
 
-def window_hashes(h: np.ndarray, b: np.ndarray, offs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Text numbers and hashes of the least runs of lines of `least` bytes that start or end at a line of each text."""
+def window_hashes(h: np.ndarray, b: np.ndarray, offs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text numbers, hashes, first and last lines of the least runs of lines of `least` bytes that start or end at a line of each text."""
     n = len(h)
     text = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
     past = np.cumsum(b)
@@ -156,7 +158,7 @@ def window_hashes(h: np.ndarray, b: np.ndarray, offs: np.ndarray, least: int) ->
         power = lambda x: np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, x, np.uint64)]), dtype=np.uint64)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h.view(np.uint64) * power(_BASE)[:n], dtype=np.uint64)])
         made = mixed((sums[end + 1] - sums[start]) * power(_BACK)[start], (end + 1 - start).astype(np.uint64))
-    return text[start], made.view(np.int64)
+    return text[start], made.view(np.int64), start - offs[text[start]], end - offs[text[start]]
 
 
 def window_candidates(lines: DataFrame, least: int = MIN_BYTES) -> DataFrame:
@@ -166,7 +168,7 @@ def window_candidates(lines: DataFrame, least: int = MIN_BYTES) -> DataFrame:
         for batch in batches:
             h, b = batch.column(2), batch.column(3)
             offs = h.offsets.to_numpy().astype(np.int64)
-            text, made = window_hashes(h.flatten().to_numpy(zero_copy_only=False), b.flatten().to_numpy(zero_copy_only=False).astype(np.int64), offs - offs[0], least)
+            text, made, _, _ = window_hashes(h.flatten().to_numpy(zero_copy_only=False), b.flatten().to_numpy(zero_copy_only=False).astype(np.int64), offs - offs[0], least)
             at = pa.array(text)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(made)], ["key", "th", "w"])
 
@@ -176,23 +178,40 @@ def window_candidates(lines: DataFrame, least: int = MIN_BYTES) -> DataFrame:
     return both.select(F.col("th").alias("later"), F.col("first.th").alias("first")).distinct()
 
 
+def shared_windows(later: tuple[pa.ListArray, pa.ListArray], first: tuple[pa.ListArray, pa.ListArray], least: int) -> list[list[tuple[int, int]]]:
+    """Of each pair, the windows [from, past) of the later text that the first has too, joined where they touch."""
+
+    def made(h: pa.ListArray, b: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        offs = h.offsets.to_numpy().astype(np.int64)
+        pair, w, start, end = window_hashes(h.flatten().to_numpy(zero_copy_only=False), b.flatten().to_numpy(zero_copy_only=False).astype(np.int64), offs - offs[0], least)
+        return mixed(pair, w), pair, start, end
+
+    own, pair, start, end = made(*later)
+    hit = np.flatnonzero(np.isin(own, made(*first)[0]))
+    spans: list[list[tuple[int, int]]] = [[] for _ in range(len(later[0]))]
+    for k, x, y in zip(pair[hit].tolist(), start[hit].tolist(), end[hit].tolist()):
+        spans[k].append((x, y + 1))
+    return spans
+
+
 def common_blocks(lines: DataFrame, pairs: DataFrame, least: int = MIN_BYTES) -> DataFrame:
     """(later, spans): line ranges of the later text to delete."""
     used = pairs.select(F.col("later").alias("th")).unionAll(pairs.select(F.col("first").alias("th"))).distinct()
     texts = durable(lines.select("th", "h", "b").join(used, "th", "left_semi").dropDuplicates(["th"]))
     later = texts.select(F.col("th").alias("later"), F.col("h").alias("lh"), F.col("b").alias("lb"))
-    first = texts.select(F.col("th").alias("first"), F.col("h").alias("fh"))
+    first = texts.select(F.col("th").alias("first"), F.col("h").alias("fh"), F.col("b").alias("fb"))
 
     def run(batches):
         for batch in batches:
             out = []
-            for lh, lb, fh in zip(*(batch.column(k) for k in (1, 2, 3))):
-                sizes = lb.as_py()
-                out.append([{"a": a, "z": z} for a, z in blocks(align(lh.as_py(), fh.as_py()), sizes, least)])
+            seeds = shared_windows((batch.column(1), batch.column(2)), (batch.column(3), batch.column(4)), least)
+            for lh, lb, fh, seen in zip(*(batch.column(k) for k in (1, 2, 3)), seeds):
+                found = blocks(align(lh.as_py(), fh.as_py()), lb.as_py(), least)
+                out.append([{"a": a, "z": z} for a, z in union(found + seen)])
             kind = pa.list_(pa.struct([("a", pa.int32()), ("z", pa.int32())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], ["later", "spans"])
 
-    both = pairs.join(later, "later").join(first, "first").select("later", "lh", "lb", "fh")
+    both = pairs.join(later, "later").join(first, "first").select("later", "lh", "lb", "fh", "fb")
     found = both.mapInArrow(run, "later bigint, spans array<struct<a:int,z:int>>").where(F.size("spans") > 0)
     return found.groupBy("later").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
 
