@@ -317,10 +317,17 @@ def rare_prefixes(sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def prefix_pairs(sets: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of the sets that share a hash of their prefixes and are in different components."""
+    """Distinct pairs (a, b) of the sets that share a hash of their prefixes and are in different components.
+
+    Where sets have their long fingerprint `sig`, those that it rules out are left out within the join.
+    """
     at = durable(with_roots(rare_prefixes(sets, similarity), found))
-    at = durable(at.join(mixed_keys(at), "key"))
-    return at.where("root <> main").alias("x").join(at.alias("y"), F.expr(_APART)).selectExpr(*_PAIR)
+    at = at.join(mixed_keys(at), "key")
+    close = F.lit(True)
+    if "sig" in sets.columns:
+        at, close = at.join(sets.select("sid", "sig"), "sid"), far("x.sig", "y.sig") <= most_bits(similarity)
+    at = durable(at)
+    return at.where("root <> main").alias("x").join(at.alias("y"), F.expr(_APART) & close).selectExpr(*_PAIR).distinct()
 
 
 def similar_components(blocks: DataFrame, docs: DataFrame, similarity: float, width: int, text_col: str = "text") -> DataFrame:
@@ -366,8 +373,8 @@ def similar_components(blocks: DataFrame, docs: DataFrame, similarity: float, wi
     links = durable(links.unionAll(alike(durable(few), sets, similarity)))
     many = durable(at.join(split.where(F.col("others") > PAIRWISE), "key", "left_semi").select("sid").distinct())
     if not many.isEmpty():
-        dealt = durable(sets.join(many, "sid", "left_semi").select("sid", "hashes"))
-        links = durable(links.unionAll(close(prefix_pairs(dealt, found, similarity))))
+        dealt = durable(sets.join(many, "sid", "left_semi"))
+        links = durable(links.unionAll(alike(durable(prefix_pairs(dealt, found, similarity)), sets, similarity)))
     return connected_components(links)
 
 
