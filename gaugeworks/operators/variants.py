@@ -25,6 +25,11 @@ def long_specs(files: Sequence[DataFrame], reserved: Sequence[str] = SPEC_RESERV
     return out
 
 
+def spec_tables(rows: DataFrame, reserved: Sequence[str] = SPEC_RESERVED) -> DataFrame:
+    """The same of all files of an ordered read (file_no, row_no, cells), whose headers may differ: see `sources.ordered`."""
+    return rows.select(*[F.coalesce(F.try_element_at("cells", F.lit(c)), F.lit("")).alias(c) for c in reserved], "file_no", "row_no", F.map_filter("cells", lambda k, _: ~k.isin(*reserved)).alias("specs"))
+
+
 def variant_groups(rows: DataFrame, colours=None, same: dict | None = None) -> DataFrame:
     """Adds base, spec_key and variant_group; a base with several specs is told apart by its first product's finish."""
     base = t.base_name(F.col("product_name"), **({"colours": colours} if colours else {}), same=same)

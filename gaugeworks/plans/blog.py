@@ -94,12 +94,12 @@ def focus_block() -> Column:
 def prompts(worklist: DataFrame, pages: DataFrame, focus: DataFrame, spec_text: str = "", vocabulary: str = "", slug: str | None = None, url_prefix: str = "") -> DataFrame:
     """(slug, priority_rank, prompt, ...): page facts, text and focus of each worklist row, the last focus row of a slug counting.
 
-    A worklist without urls gets them from `url_prefix` and the slug.
+    A worklist without urls gets them from `url_prefix` and the slug.  The order of focus rows is their `position`, where an ordered read gives one.
     """
     own_url = F.concat(F.lit(url_prefix), "slug")
     worklist = worklist.withColumn("url", F.coalesce("url", own_url) if "url" in worklist.columns else own_url)
     rows = worklist.where(F.lower("slug") == slug.lower()) if slug else worklist
-    own = focus.where(F.upper(F.btrim("refocus")) == "YES").withColumns({"_k": F.lower("slug"), "_o": F.monotonically_increasing_id()}).drop("slug")
+    own = focus.where(F.upper(F.btrim("refocus")) == "YES").withColumns({"_k": F.lower("slug"), "_o": F.col("position") if "position" in focus.columns else F.monotonically_increasing_id()}).drop("slug", "position")
     df = r.lookup_last(rows.withColumn("_k", F.lower("slug")), own, "_k", "_o").drop("_k")
     df = df.join(pages.select("slug", "html"), "slug", "left").withColumn("_n", html.nodes(F.col("html")))
     n = F.col("_n")

@@ -22,7 +22,7 @@ from gaugeworks.operators import relational as r
 from gaugeworks.operators.scoring import score_pages
 from gaugeworks.plans import blog, pdp
 from gaugeworks.session import shared_dir
-from gaugeworks.sources import readers, sinks, state
+from gaugeworks.sources import incremental, ordered, readers, sinks, state
 
 QUERIES = {}
 ORACLES = {}
@@ -630,6 +630,37 @@ def state_merge(spark, d):
     return state.read(spark, base).join(turns, "conv_id").select("conv_id", "turns", "turn", F.md5("text").alias("text"))
 
 
+@query("select p_partkey, p_name, p_type, row_number() over (order by p_partkey) as position from part")
+def ordered_files(spark, d):
+    """Parts in CSV files whose names follow their keys, read back in the order of files and rows."""
+    folder = _folder(spark)
+    p = _t(spark, d, "part").select("p_partkey", "p_name", "p_type").repartitionByRange(8, "p_partkey").sortWithinPartitions("p_partkey")
+    p.write.option("header", True).option("escape", '"').csv(folder)
+    rows = ordered.columns(ordered.csv_files(spark, folder), ["p_partkey", "p_name", "p_type"])
+    return rows.select(F.col("p_partkey").cast("long").alias("p_partkey"), "p_name", "p_type", "position")
+
+
+@query(
+    """
+    with o as (select o_custkey, o_orderstatus <> 'P' as stays, o_orderpriority = '1-URGENT' as urgent, cast(round(o_totalprice * 100) as bigint) as cents from orders where o_custkey is not null)
+    select o_custkey, case when not bool_or(stays) then 'gone' when bool_or(urgent or not stays) then 'changed' else 'same' end as change,
+        count(*) filter (stays) as orders, coalesce(sum(cents + case when urgent then 100 else 0 end) filter (stays), 0)::bigint as cents
+    from o group by 1
+    """
+)
+def refresh_groups(spark, d):
+    """Totals by customer, made again only for customers whose orders changed since the first run."""
+    base, o = _folder(spark), _t(spark, d, "orders")
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    old = o.select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority", cents.alias("cents"))
+    total = lambda rows: rows.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), F.sum("cents").alias("cents"))
+    incremental.refresh(old, base, "o_custkey", total)
+    new = old.where("o_orderstatus <> 'P'").withColumn("cents", F.col("cents") + F.when(F.col("o_orderpriority") == "1-URGENT", 100).otherwise(0))
+    run = incremental.refresh(new, base, "o_custkey", total)
+    both = incremental.results(spark, base).join(run.touched.drop("done"), "o_custkey", "full")
+    return both.select("o_custkey", F.coalesce("change", F.lit("same")).alias("change"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("orders", "cents")])
+
+
 @query("select c_custkey, case when c_custkey % 3 = 0 then 'new' else c_mktsegment end as segment from customer where c_custkey % 7 <> 0")
 def version_round_trip(spark, d):
     """A state table in two versions: the second is read."""

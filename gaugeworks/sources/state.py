@@ -61,6 +61,11 @@ def put_new(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def manifest(spark: SparkSession, base: str, version: int) -> dict:
+    """The manifest of a commit."""
+    return {"version": version, **json.loads(spark.read.text(f"{base}/log/{version:020d}.json", wholetext=True).first().value)}
+
+
 def latest(spark: SparkSession, base: str) -> dict | None:
     """The manifest of the highest commit; None if there is no table.  A folder with data but no log is an error, not an empty table."""
     log, fs = _at(spark, f"{base}/log")
@@ -70,8 +75,7 @@ def latest(spark: SparkSession, base: str) -> dict | None:
         if fs.exists(_at(spark, f"{base}/current")[0]):
             raise GateError(f"{base} is not a state table with a log")
         return None
-    path = f"{base}/log/{max(numbers):020d}.json"
-    return {"version": max(numbers), **json.loads(spark.read.text(path, wholetext=True).first().value)}
+    return manifest(spark, base, max(numbers))
 
 
 def commit(spark: SparkSession, base: str, now: dict | None, body: dict) -> bool:
