@@ -66,6 +66,12 @@ def score_errors(keys: Sequence[str] = QUESTION_KEYS, raw: Column | None = None)
     """
     q = F.col("questions")
     page = squash(F.coalesce("page", F.lit("")))
+
+    def of_quote(e: Column, k: str) -> Column:
+        at = lambda what: F.concat(F.lit(f"{k}: {what}"), F.left(e["quote"], F.lit(80)))
+        empty = F.struct(F.lit("V9").alias("rule"), F.lit(f"{k}: empty quote").alias("detail"))
+        return F.when(blank(e["quote"]), empty).when(~F.contains(page, squash(e["quote"])), F.struct(F.lit("V10").alias("rule"), at("not on the page: ").alias("detail")))
+
     valid = messages(("V1", ~F.col("parsed"), "not valid JSON"), ("V2", F.col("parsed") & ~F.col("variant_group").eqNullSafe(F.col("file")), "group differs from the file's name"))
     stop = messages(("V3", F.col("parsed") & ~F.col("known"), "unknown group"), ("V4", F.col("parsed") & F.col("known") & ~F.col("captured"), "page not captured"))
     parts = [messages(("V5", _keys_differ(q, keys), "questions are not the six"))]
@@ -83,12 +89,7 @@ def score_errors(keys: Sequence[str] = QUESTION_KEYS, raw: Column | None = None)
                 ("V11", have & (n < 3) & blank(x["gap"]), f"{k}: no gap"),
             )
         )
-        each = F.transform(
-            quotes,
-            lambda e, k=k: F.when(blank(e["quote"]), F.struct(F.lit("V9").alias("rule"), F.lit(f"{k}: empty quote").alias("detail"))).when(
-                ~F.contains(page, squash(e["quote"])), F.struct(F.lit("V10").alias("rule"), F.concat(F.lit(f"{k}: not on the page: "), F.left(e["quote"], F.lit(80))).alias("detail"))
-            ),
-        )
+        each = F.transform(quotes, lambda e: of_quote(e, k))  # noqa: B023
         parts.append(F.filter(each, lambda e: e.isNotNull()))
     parts.append(messages(("V12", F.try_element_at(q, F.lit("capable_of"))["missing_attributes"].isNull(), "capable_of: missing_attributes is no list")))
     return F.concat(valid, F.when(~F.col("parsed"), stop).when(F.size(stop) > 0, stop).otherwise(F.concat(*parts)))
