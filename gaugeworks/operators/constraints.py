@@ -65,34 +65,42 @@ def score_errors(keys: Sequence[str] = QUESTION_KEYS, raw: Column | None = None)
     question has no score, missing evidence is an empty list.  true and false count as 1 and 0.
     """
     q = F.col("questions")
-    page = squash(F.coalesce("page", F.lit("")))
+    no_quotes = F.array().cast("array<struct<quote:string>>")
+    parsed = F.lit(None).cast("variant") if raw is None else F.try_parse_json(raw)
+
+    def of_question(s: Column, page: Column) -> Column:
+        said = lambda what, *more: F.concat(s["k"], F.lit(f": {what}"), *more)
+        n, have = s["n"], s["n"].isNotNull() & s["listed"]
+        quotes = F.when(have, F.coalesce(s["x"]["evidence"], no_quotes)).otherwise(no_quotes)
+        own = messages(
+            ("V6", n.isNull(), said("score ", F.coalesce(s["x"]["score"], F.lit("null")))),
+            ("V7", n.isNotNull() & ~s["listed"], said("evidence is no list")),
+            ("V8", have & (n > 0) & (F.size(quotes) == 0), said("a score without a quote")),
+            ("V11", have & (n < 3) & blank(s["x"]["gap"]), said("no gap")),
+        )
+        of_quote = lambda e: F.when(blank(e["quote"]), F.struct(F.lit("V9").alias("rule"), said("empty quote").alias("detail"))).when(
+            ~F.contains(page, squash(e["quote"])), F.struct(F.lit("V10").alias("rule"), said("not on the page: ", F.left(e["quote"], F.lit(80))).alias("detail"))
+        )
+        return F.concat(own, F.filter(F.transform(quotes, of_quote), lambda e: e.isNotNull()))
 
-    def of_quote(e: Column, k: str) -> Column:
-        at = lambda what: F.concat(F.lit(f"{k}: {what}"), F.left(e["quote"], F.lit(80)))
-        empty = F.struct(F.lit("V9").alias("rule"), F.lit(f"{k}: empty quote").alias("detail"))
-        return F.when(blank(e["quote"]), empty).when(~F.contains(page, squash(e["quote"])), F.struct(F.lit("V10").alias("rule"), at("not on the page: ").alias("detail")))
+    def of_file(once: Column) -> Column:
+        def read(key: Column) -> Column:
+            evidence = F.try_variant_get(F.try_element_at(once["raw"], key), "$.evidence", "variant")
+            x = F.try_element_at(q, key)
+            return F.struct(key.alias("k"), x.alias("x"), whole_score(x["score"]).alias("n"), (evidence.isNull() | F.schema_of_variant(evidence).startswith("ARRAY")).alias("listed"))
+
+        return F.flatten(F.transform(F.transform(F.array(*map(F.lit, keys)), read), lambda s: of_question(s, once["page"])))
 
     valid = messages(("V1", ~F.col("parsed"), "not valid JSON"), ("V2", F.col("parsed") & ~F.col("variant_group").eqNullSafe(F.col("file")), "group differs from the file's name"))
     stop = messages(("V3", F.col("parsed") & ~F.col("known"), "unknown group"), ("V4", F.col("parsed") & F.col("known") & ~F.col("captured"), "page not captured"))
-    parts = [messages(("V5", _keys_differ(q, keys), "questions are not the six"))]
-    for k in keys:
-        x = F.try_element_at(q, F.lit(k))
-        n = whole_score(x["score"])
-        listed = ~_no_list(raw, f"$.questions.{k}.evidence")
-        have = n.isNotNull() & listed
-        quotes = F.when(have, F.coalesce(x["evidence"], F.array().cast("array<struct<quote:string>>"))).otherwise(F.array().cast("array<struct<quote:string>>"))
-        parts.append(
-            messages(
-                ("V6", n.isNull(), F.concat(F.lit(f"{k}: score "), F.coalesce(x["score"], F.lit("null")))),
-                ("V7", n.isNotNull() & ~listed, f"{k}: evidence is no list"),
-                ("V8", have & (n > 0) & (F.size(quotes) == 0), f"{k}: a score without a quote"),
-                ("V11", have & (n < 3) & blank(x["gap"]), f"{k}: no gap"),
-            )
-        )
-        each = F.transform(quotes, lambda e: of_quote(e, k))  # noqa: B023
-        parts.append(F.filter(each, lambda e: e.isNotNull()))
-    parts.append(messages(("V12", F.try_element_at(q, F.lit("capable_of"))["missing_attributes"].isNull(), "capable_of: missing_attributes is no list")))
-    return F.concat(valid, F.when(~F.col("parsed"), stop).when(F.size(stop) > 0, stop).otherwise(F.concat(*parts)))
+    # a list of one, so that the page and the text are read once for all questions
+    once = F.array(F.struct(squash(F.coalesce("page", F.lit(""))).alias("page"), F.try_variant_get(parsed, "$.questions", "map<string,variant>").alias("raw")))
+    body = F.concat(
+        messages(("V5", _keys_differ(q, keys), "questions are not the six")),
+        F.flatten(F.transform(once, of_file)),
+        messages(("V12", F.try_element_at(q, F.lit("capable_of"))["missing_attributes"].isNull(), "capable_of: missing_attributes is no list")),
+    )
+    return F.concat(valid, F.when(~F.col("parsed"), stop).when(F.size(stop) > 0, stop).otherwise(body))
 
 
 def validate_scores(scores: DataFrame) -> DataFrame:

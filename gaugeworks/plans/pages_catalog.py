@@ -22,7 +22,7 @@ from gaugeworks.operators import relational as r
 from gaugeworks.operators.scoring import score_pages
 from gaugeworks.plans import blog, pdp
 from gaugeworks.session import shared_dir
-from gaugeworks.sources import incremental, ordered, readers, sinks, state
+from gaugeworks.sources import fetching, incremental, ordered, readers, sinks, state
 
 QUERIES = {}
 ORACLES = {}
@@ -706,3 +706,15 @@ def fetch_pages(spark, d):
 
 
 assert set(EXPECTED_SCHEMA) == {"Article", "FAQPage", "BreadcrumbList"}
+
+
+@query("select distinct url, case when length(url) % 7 <> 0 then 'page of ' || url end as html from pages")
+def fetch_laps(spark, d):
+    """All urls of the pages, fetched in laps by host; a seventh of them never answers."""
+
+    def fetch(url):
+        if len(url) % 7 == 0:
+            raise OSError(url)
+        return f"page of {url}"
+
+    return fetching.fetch_all(_t(spark, d, "pages"), _folder(spark), fetch, pacing=0)

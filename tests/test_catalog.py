@@ -6,9 +6,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from gaugeworks.plans import catalog, pages_catalog
+from gaugeworks.plans import catalog, pages_catalog, rules_catalog
 
-QUERIES, ORACLES = catalog.QUERIES | pages_catalog.QUERIES, catalog.ORACLES | pages_catalog.ORACLES
+QUERIES, ORACLES = catalog.QUERIES | pages_catalog.QUERIES | rules_catalog.QUERIES, catalog.ORACLES | pages_catalog.ORACLES | rules_catalog.ORACLES
 DIR = "/root/testdata/sf0.001"
 
 
