@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import itertools
+import re
 import zipfile
 from collections.abc import Iterable, Sequence
 from xml.sax.saxutils import escape
@@ -130,8 +131,23 @@ def sheet_bytes(columns: Sequence[str], rows: Iterable[tuple], widths: Sequence[
     return out.getvalue()
 
 
+#: Fixed value: colour of a target above the score of now, which stands in bold.
+RAISED_COLOUR = "1E7B34"
+
+
+def _raised(table: list[list[str]], now: str = "now", target: str = "target") -> set[tuple[int, int]]:
+    """(row, column) of cells under `target` whose leading number is above that under `now`; none in a table without both."""
+    head = [x.lower() for x in table[0]]
+    if now not in head or target not in head:
+        return set()
+    a, b = head.index(now), head.index(target)
+    number = lambda r, i: re.match(r"\d+", r[i]) if i < len(r) else None
+    pairs = ((i, number(r, a), number(r, b)) for i, r in enumerate(table[1:], 1))
+    return {(i, b) for i, x, y in pairs if x and y and int(y[0]) > int(x[0])}
+
+
 def document(markdown: str) -> bytes:
-    """A word-processing document of a Markdown text: headings, bullets, paragraphs, and tables with a shaded head row."""
+    """A word-processing document of a Markdown text: headings, bullets, paragraphs, and tables with a shaded head row, targets above the score of now in bold and colour."""
     ns = "http://schemas.openxmlformats.org"
     head = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
     paragraphs: list[str] = []
@@ -141,8 +157,10 @@ def document(markdown: str) -> bytes:
         if table:
             edges = "".join(f'<w:{e} w:val="single" w:sz="4" w:color="999999"/>' for e in ("top", "left", "bottom", "right", "insideH", "insideV"))
             shade = '<w:tcPr><w:shd w:val="clear" w:fill="E7E6E6"/></w:tcPr>'
-            cell = lambda text, head: f'<w:tc>{shade if head else ""}<w:p><w:r>{"<w:rPr><w:b/></w:rPr>" if head else ""}<w:t xml:space="preserve">{escape(text)}</w:t></w:r></w:p></w:tc>'
-            rows = "".join("<w:tr>" + "".join(cell(x, not i) for x in r) + "</w:tr>" for i, r in enumerate(table))
+            raised = _raised(table)
+            bold = lambda up: "<w:rPr><w:b/>" + (f'<w:color w:val="{RAISED_COLOUR}"/>' if up else "") + "</w:rPr>"
+            cell = lambda text, head, up: f'<w:tc>{shade if head else ""}<w:p><w:r>{bold(up) if head or up else ""}<w:t xml:space="preserve">{escape(text)}</w:t></w:r></w:p></w:tc>'
+            rows = "".join("<w:tr>" + "".join(cell(x, not i, (i, j) in raised) for j, x in enumerate(r)) + "</w:tr>" for i, r in enumerate(table))
             paragraphs.append(f"<w:tbl><w:tblPr><w:tblBorders>{edges}</w:tblBorders></w:tblPr>{rows}</w:tbl><w:p/>")
             table.clear()
 

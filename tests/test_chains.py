@@ -185,3 +185,12 @@ def test_stream(spark, tmp_path):
         (tmp_path / "in" / f"{n}.json").write_text("\n".join(json.dumps(dict(zip(("k", "at", "v"), r))) for r in rows))
         captures.upsert_into(captures.capture_stream(spark, f"{tmp_path}/in", schema), base, "k", "at", f"{tmp_path}/cp").awaitTermination()
     assert {r.k: r.v for r in sinks.read_version(spark, base).collect()} == {"a": "z", "b": "y"}
+
+
+def test_raised_targets_are_marked():
+    card = "| question | now | target |\n|---|---|---|\n| a | 1 | 3 |\n| b | 3 | 3 |\n| c | - | 2 |\n| d | 2/3 | 10/3 |\n| e | 1 |"
+    xml = zipfile.ZipFile(io.BytesIO(sinks.document(card))).read("word/document.xml").decode()
+    cells = [x for x in xml.split("<w:tc>") if sinks.RAISED_COLOUR in x]
+    assert [x.split('preserve">')[1].split("<")[0] for x in cells] == ["3", "10/3"]
+    other = zipfile.ZipFile(io.BytesIO(sinks.document(card.replace("now", "then")))).read("word/document.xml").decode()
+    assert sinks.RAISED_COLOUR not in other and "E7E6E6" in other
