@@ -245,3 +245,38 @@ def test_licence_line_in_many_texts(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert dealt and dealt[0] < 1000
     assert got == {k: k - 600 if k >= 600 else k for k in range(640)}
+
+
+def test_copies_that_differ_too_much_do_not_meet(spark):
+    """Of copies of one set that each changed 15 % only the similar ones are paired, of whatever size; pairs stay linear in the copies."""
+    rng = np.random.default_rng(8)
+    new = lambda n: rng.integers(-(2**63), 2**63 - 1, n).tolist()
+    base = new(120)
+    sets = [(k, {*rng.permutation(base)[:85].tolist(), *new(15)}) for k in range(300)]
+    for k in range(1000, 1200, 2):  # near each other, from 0.8 by size or by change
+        x = [*rng.permutation(base)[:60].tolist(), *new(20 + k % 37)]
+        y = x[: len(x) - k // 2 % 9] + new(k // 3 % 5)
+        sets += [(k, set(x)), (k + 1, set(y))]
+    df = spark.createDataFrame([(k, sorted(x)) for k, x in sets], "sid long, hashes array<long>").repartition(5)
+    found = spark.createDataFrame([], "node long, root long")
+    pairs = {tuple(r) for r in simhash.prefix_pairs(df, found, 0.8).collect()}
+    similar = {(a, b) for i, (a, x) in enumerate(sets) for b, y in sets[i + 1 :] if len(x & y) >= 0.8 * len(x | y)}
+    assert len(similar) >= 100 and similar <= pairs and len(pairs) < 1000
+
+
+def test_members_of_many_keys_are_judged_once(spark, monkeypatch):
+    """Near copies share most of their keys, mostly with one first: a row for each pair, not for each key."""
+    seen = []
+    real = simhash.still_apart
+    monkeypatch.setattr(simhash, "still_apart", lambda met, found: seen.append((met.count(), met.select("sid", "first").distinct().count())) or real(met, found))
+    rng = np.random.default_rng(6)
+    data = []
+    for k in range(120):
+        t = [f"w{i}" for i in range(150)]
+        for i in rng.integers(0, 150, 1 + k % 9):
+            t[i] = f"x{k}_{i}"
+        data.append((k, " ".join(t)))
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    near = [p for p, v in similarities([shingle_set(t) for _, t in data]).items() if v >= 0.8]
+    assert got == dict(enumerate(closure(120, near)))
+    assert sum(n for n, _ in seen) > 100 and all(n == pairs for n, pairs in seen)
