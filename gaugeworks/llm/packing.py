@@ -10,6 +10,9 @@
 5. The plan is a table of (length, first rank, count, first sequence, offset).  Pieces of a length
    are ranked in two levels, so a length that a third of all pieces have is no single task.
 
+`pack_in_order` keeps the order of the rows, as a mix needs it: stretches of at most STRETCH tokens are each planned and
+packed on their own, by the executors, and sequences are numbered along the rows.
+
 Edge cases: null and empty texts are one piece of the end id; repeated rows are packed each; an
 empty table gives an empty result; extra columns are ignored; texts of any length are tokenised
 whole, a word at a time, as no token crosses white space.
@@ -19,10 +22,12 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import durable
@@ -30,6 +35,8 @@ from gaugeworks.llm.textbatch import LOWER, Words, text_slices
 
 CAPACITY = 4096
 END_ID = 1
+#: Tokens that are packed together where the order counts, and the least that a piece is taken for: so a stretch has 65,536 pieces at most.
+STRETCH, LEAST_TOKENS = 1 << 22, 64
 BINS, DEPTH = 64, 4
 #: Rounds in which patterns of any depth are added where the fit leaves most.
 ROUNDS = 40
@@ -137,9 +144,11 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32), and the `ids` themselves if asked for."""
-    kind = docs.schema[id_col].dataType.simpleString()
+def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, keep_ids: bool = False, carry: dict[str, Column] | None = None) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32), the `ids` themselves if asked for, and each row's values of `carry`."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[x.alias(c) for c, x in (carry or {}).items()])
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text"]
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids + list(carry or {})
 
     def run(batches):
         e = encoder(path)
@@ -157,12 +166,14 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 out = [batch.column(0).slice(a, b - a).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())]
                 if keep_ids:
                     out.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), pa.array(ids.astype(np.int32))))
-                yield pa.RecordBatch.from_arrays(out, ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(out)])
+                out += [batch.column(k).slice(a, b - a).take(pa.array(row)) for k in range(2, batch.num_columns)]
+                yield pa.RecordBatch.from_arrays(out, names)
 
-    schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * keep_ids
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    schema = [kinds[0], "piece int, start bigint, length bigint, ids_crc32 bigint", *["ids array<int>"] * keep_ids, *kinds[1:]]
+    return rows.mapInArrow(run, ", ".join(schema))
 
 
+@cache
 def patterns(full: int, depth: int) -> list[tuple[int, ...]]:
     """Descending class numbers, at most `depth`, that sum to `full` or one less."""
     out: list[tuple[int, ...]] = []
@@ -367,6 +378,13 @@ def slots(planned: list[tuple[int, tuple]]) -> dict[str, np.ndarray]:
     return dict(zip(("length", "first", "sequence", "offset"), table.T))
 
 
+def assigned(s: dict[str, np.ndarray], length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and offset of the pieces of these lengths and ranks, by the `slots` of a plan."""
+    at = np.searchsorted(s["length"] << 44 | s["first"], length << 44 | rank, "right") - 1
+    assert (at >= np.searchsorted(s["length"], length)).all()
+    return s["sequence"][at] + rank - s["first"][at], s["offset"][at]
+
+
 def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds sequence_id and offset to pieces (a frame with `length`, read from durable files)."""
     spark = cut.sparkSession
@@ -382,15 +400,9 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranked = ranked.join(parts.select("length", "_part", before.alias("_before")), ["length", "_part"]).select(*names, (F.col("_before") + F.col("_own")).alias("_rank"))
 
     def run(batches):
-        s = sent.value
-        starts = np.searchsorted(s["length"], np.arange(capacity + 2))
-        keys = s["length"] << 44 | s["first"]
         for batch in batches:
-            length = batch.column(names.index("length")).to_numpy()
-            rank = batch.column(len(names)).to_numpy()
-            at = np.searchsorted(keys, length << 44 | rank, "right") - 1
-            assert (at >= starts[length]).all()
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(s["sequence"][at] + rank - s["first"][at]), pa.array(s["offset"][at])], [*names, "sequence_id", "offset"])
+            found = assigned(sent.value, batch.column(names.index("length")).to_numpy(), batch.column(len(names)).to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *map(pa.array, found)], [*names, "sequence_id", "offset"])
 
     return ranked.mapInArrow(run, ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", sequence_id bigint, offset bigint")
 
@@ -398,3 +410,60 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all texts with their sequence and place."""
     return place(durable(pieces(docs, path, id_col, text_col, capacity)), capacity)
+
+
+def read_places(docs: DataFrame) -> dict[str, Column]:
+    """_file, _block, _row: what orders the rows of a frame.  Spark names no file in frames of several reads: these have their own order."""
+    row = {"_row": F.monotonically_increasing_id()}
+    named = {"_file": F.input_file_name(), "_block": F.input_file_block_start()}
+    try:
+        docs.select(*named.values())
+    except AnalysisException:
+        named = {"_file": F.lit(""), "_block": F.lit(-1).cast("long")}
+    return named | row
+
+
+def stretches(cut: DataFrame, stretch: int) -> DataFrame:
+    """Adds `_begin`, the tokens before a piece in the order of the rows, and `_stretch`, that divided by `stretch`.
+
+    cut: pieces with _file, _block, _row of their rows.  Rows are in order by the number in their file's name, the name, the
+    place in the file; of rows that come from no file, by partition.  What one task has read is summed in order on its own, after the sums
+    of all before it.
+    """
+    part = ["_file", "_block", "_task"]
+    rows = cut.withColumns({"_task": F.shiftright("_row", 33), "_tokens": F.greatest("length", F.lit(LEAST_TOKENS))})
+    ahead = lambda w: F.sum("_tokens").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_tokens")
+    number = F.regexp_extract("_file", "part-([0-9]+)[^/]*$", 1).try_cast("long")
+    sums = rows.groupBy(*part).agg(F.sum("_tokens").alias("_tokens"))
+    before = F.broadcast(sums.select(*part, ahead(Window.partitionBy(F.lit(0)).orderBy(number, *part)).alias("_before")))
+    own = rows.withColumn("_own", ahead(Window.partitionBy(*part).orderBy("_row", "piece")))
+    found = own.join(before, part).withColumn("_begin", F.col("_before") + F.col("_own"))
+    return found.select(*[c for c in cut.columns if c not in ("_file", "_block", "_row")], "_begin", F.expr(f"_begin div {stretch}").alias("_stretch"))
+
+
+def pack_in_order(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, stretch: int = STRETCH) -> DataFrame:
+    """Pieces of all texts with their sequence and place; ascending sequence_id (with gaps) follows the rows.
+
+    The sequences of a stretch hold its rows and no others; within it they are in the order of their first
+    pieces, and of pieces of one length the earlier have the lower sequences of the plan.
+    """
+    carry = read_places(docs)
+    cut = durable(pieces(docs, path, id_col, text_col, capacity, carry=carry))
+    names = [c for c in cut.columns if c not in carry]
+    kinds = {f.name: f.dataType.simpleString() for f in cut.schema}
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.take(pa.array(np.argsort(rows["_begin"].to_numpy())))
+        length = rows["length"].to_numpy()
+        by = np.argsort(length, kind="stable")
+        sizes, first, n = np.unique(length[by], return_index=True, return_counts=True)
+        rank = np.empty(len(by), np.int64)
+        rank[by] = np.arange(len(by)) - np.repeat(first, n)
+        sequence, offset = assigned(slots(plan(dict(zip(sizes.tolist(), n.tolist())), capacity)), length, rank)
+        begin = np.full(int(sequence.max()) + 1, len(by))
+        np.minimum.at(begin, sequence, np.arange(len(by)))
+        number = np.argsort(np.argsort(begin, kind="stable"))
+        return rows.select(names).append_column("sequence_id", pa.array((rows["_stretch"].to_numpy() << 32) + number[sequence])).append_column("offset", pa.array(offset))
+
+    schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", sequence_id bigint, offset bigint"
+    return stretches(cut, stretch).groupBy("_stretch").applyInArrow(run, schema)

@@ -54,8 +54,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all rows, packed into sequences; a null or empty text is a piece of the end id."""
-    return packing.pack(docs, TOKENIZER)
+    """Pieces of all rows, packed into sequences that follow the mix: ascending ids hold stretch after stretch of its rows.
+
+    The mix is the order of the rows in their files, or in the frame if it wasn't read from files.  A null or empty text is a piece of the end id.
+    """
+    return packing.pack_in_order(docs, TOKENIZER)
 
 
 STAGES = [("language_id", identify_language), ("line_dedup", dedup_lines), ("simhash", dedup_near), ("mixing", mix), ("packing", pack)]

@@ -172,3 +172,23 @@ def test_nnls(seed):
     x = packing.nnls(a, b)
     g = a.T @ (a @ x - b)
     assert (x >= 0).all() and (g >= -1e-6).all() and np.abs(g[x > 1e-9]).max(initial=0) < 1e-6
+
+
+def test_pack_in_order(spark, tmp_path):
+    """Files of unequal sizes, which Spark reads largest first, count in the order of their names; frames in their own."""
+    data = [(k, "w " * 9000 if k == 700 else None if k % 97 == 0 else "a b c " * (k % 60)) for k in range(1500)]
+    part = lambda a, b: spark.createDataFrame(data[a:b], "doc_id long, text string").coalesce(1)
+    docs = part(0, 20).union(part(20, 1200)).union(part(1200, 1500))
+    docs.write.parquet(f"{tmp_path}/docs")
+    found = []
+    for df in (spark.read.parquet(f"{tmp_path}/docs"), docs, spark.createDataFrame(data, "doc_id long, text string")):
+        got = packing.pack_in_order(df, PATH, stretch=1 << 15).collect()
+        check(got, brute_pieces(data), 10)
+        found.append(sorted((r.doc_id, r.piece, r.sequence_id, r.offset) for r in got))
+        held = {}
+        for r in got:
+            held.setdefault(r.sequence_id >> 32, []).append((r.doc_id, r.piece))
+        assert len(held) > 3 and sum((sorted(held[k]) for k in sorted(held)), []) == [x[:2] for x in found[0]]
+    assert found[0] == found[1] == found[2]
+    assert packing.pack_in_order(frame(spark, []), PATH).count() == 0
+    check(packing.pack_in_order(frame(spark), PATH).collect(), brute_pieces([r[:2] for r in rows()]), 1)

@@ -1,8 +1,9 @@
 from collections import Counter
 
 import public_tokenizers
+import pyarrow.parquet as pq
 
-from gaugeworks.llm import language_id, mixing, simhash
+from gaugeworks.llm import language_id, mixing, packing, simhash
 from gaugeworks.llm import pipeline as cp
 from tests.llm.cases import frame, rows
 from tests.llm.test_line_dedup import brute as brute_lines
@@ -56,6 +57,28 @@ def test_mix_is_the_order_of_the_rows(spark):
     assert [r.source for r in cp.mix(spark, docs, DIR).collect()] == want
 
 
+def test_packing_follows_the_mix(spark, tmp_path):
+    """Sequences are numbered along the mixed files; each stretch holds consecutive rows, so both sources in the mix's shares."""
+    data = [(k, " ".join(f"w{(k * 7 + i) % 50}" for i in range(20 + k * 37 % 300)), "en", "a" if k < 1300 else "b", 0) for k in range(2600)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    cp.mix(spark, docs, DIR).write.parquet(f"{tmp_path}/mix")
+    ids = [x for f in sorted(tmp_path.glob("mix/part-*")) for x in pq.read_table(f)["doc_id"].to_pylist()]
+    place = {x: k for k, x in enumerate(ids)}
+    got = cp.pack(spark, spark.read.parquet(f"{tmp_path}/mix"), DIR).collect()
+    check(got, brute_pieces([r[:2] for r in data]), 2)
+    first = {}
+    for r in got:
+        first[r.sequence_id] = min(place[r.doc_id], first.get(r.sequence_id, len(ids)))
+    assert len(first) > 50 and [first[x] for x in sorted(first)] == sorted(first.values())
+    held = {}
+    for r in packing.pack_in_order(spark.read.parquet(f"{tmp_path}/mix"), cp.TOKENIZER, stretch=1 << 16).collect():
+        held.setdefault(r.sequence_id >> 32, set()).add(place[r.doc_id])
+    assert len(held) > 5 and sum((sorted(held[k]) for k in sorted(held)), []) == list(range(len(ids)))
+    for rows_ in held.values():
+        n = Counter("a" if ids[k] < 1300 else "b" for k in rows_)
+        assert abs(n["a"] - n["b"]) <= 2 * mixing.BLOCK_DOCS
+
+
 def brute_near(rows_):
     """One text of each component of the pairs of similarity 0.8, that of the smallest id."""
     data = sorted(rows_)
